@@ -45,13 +45,16 @@ def _rows(columns, rows):
     return sorted(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
+SQL = oracle_sql()
+
+
 def differences(spark, con, name: str, sf_dir: str) -> list[str]:
     """What differs between the Spark result and its twin; nothing if they agree."""
     df = queries()[name](spark, sf_dir)
     spark_types = {f.name: KINDS.get(f.dataType.typeName().replace("long", "bigint"), f.dataType.typeName())
                    for f in df.schema.fields}
     ours = _rows(df.columns, [tuple(r) for r in df.collect()])
-    cur = con.execute(oracle_sql()[name])
+    cur = con.execute(SQL[name])
     columns = [d[0] for d in cur.description]
     duck_types = {d[0]: KINDS.get(str(d[1]).lower(), str(d[1]).lower()) for d in cur.description}
     theirs = _rows(columns, cur.fetchall())

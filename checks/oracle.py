@@ -678,39 +678,31 @@ QUERIES: dict[str, str] = {
 }
 
 
-def _used(sql: str, found: set[str]) -> None:
-    for name in PIECES:
-        if name not in found and re.search(rf"\b{name}\b", sql):
-            found.add(name)
-            _used(PIECES[name], found)
+def _named(sql: str) -> list[str]:
+    """The pieces a query names directly."""
+    words = set(re.findall(r"\w+", sql))
+    return [name for name in PIECES if name in words]
 
 
-def complete(sql: str) -> str:
+def complete(sql: str, needs: dict[str, list[str]]) -> str:
     """Prefix a query with the pieces it uses, each after those it needs itself."""
-    found: set[str] = set()
-    _used(sql, found)
     ordered: list[str] = []
 
     def place(name: str) -> None:
-        if name in ordered:
-            return
-        needs: set[str] = set()
-        _used(PIECES[name], needs)
-        for other in PIECES:
-            if other in needs:
+        if name not in ordered:
+            for other in needs[name]:
                 place(other)
-        ordered.append(name)
+            ordered.append(name)
 
-    for name in PIECES:
-        if name in found:
-            place(name)
+    for name in _named(sql):
+        place(name)
     if not ordered:
         return sql
     pieces = ",\n".join(f"{n} AS ({PIECES[n]})" for n in ordered)
-    if sql.lstrip().startswith("WITH "):
-        return f"WITH {pieces},\n{sql.lstrip()[5:]}"
-    return f"WITH {pieces}\n{sql}"
+    body = sql.lstrip()
+    return f"WITH {pieces},\n{body[5:]}" if body.startswith("WITH ") else f"WITH {pieces}\n{body}"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: complete(sql) for name, sql in QUERIES.items()}
+    needs = {name: _named(sql) for name, sql in PIECES.items()}
+    return {name: complete(sql, needs) for name, sql in QUERIES.items()}

@@ -66,8 +66,7 @@ def matched_quick(fleet: FleetData) -> DataFrame:
 
 
 def matched_slow(fleet: FleetData) -> DataFrame:
-    windows = trip_windows(rollup.bounded_trips(fleet.trips(), bounds(fleet)),
-                           ["min_temp", "max_temp"])
+    windows = rollup.bounded_windows(trip_windows(fleet.trips()), bounds(fleet))
     return match_trips(fleet.slow(), windows, "ts")
 
 

@@ -118,8 +118,14 @@ def outer_join_rollups(quick: DataFrame, slow: DataFrame) -> DataFrame:
     return fill_missing_measures(quick.join(slow, "trip_id", "full_outer"))
 
 
+def bounded_windows(windows: DataFrame, bounds: DataFrame) -> DataFrame:
+    return windows.join(bounds.select("trip_id", "min_temp", "max_temp"), "trip_id", "left")
+
+
 def trip_telemetry_agg(trips: DataFrame, bounds: DataFrame, quick: DataFrame,
                        slow: DataFrame) -> DataFrame:
-    quick_part = quick_rollup(match_trips(quick, trip_windows(trips), "ts"))
-    windows = trip_windows(bounded_trips(trips, bounds), ["min_temp", "max_temp"])
-    return outer_join_rollups(quick_part, slow_rollup(match_trips(slow, windows, "ts")))
+    """Both topics are matched to the same windows, whose shuffles Spark then reuses."""
+    windows = trip_windows(trips)
+    quick_part = quick_rollup(match_trips(quick, windows, "ts"))
+    slow_part = slow_rollup(match_trips(slow, bounded_windows(windows, bounds), "ts"))
+    return outer_join_rollups(quick_part, slow_part)

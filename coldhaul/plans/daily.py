@@ -212,8 +212,9 @@ def telemetry_day(lake: Lake, day: date) -> int:
     trips = lake.read("silver", "trips")
     bridge = lake.read("silver", "trip_cargo").join(touched.select("trip_id"), "trip_id", "left_semi")
     bounds = rollup.trip_thermal_bounds(bridge, lake.read("silver", "cargo"))
-    windows = cut(trip_windows(rollup.bounded_trips(trips, bounds), ["min_temp", "max_temp"])
-                  .join(touched.select("trip_id"), "trip_id", "left_semi"), "touched-windows")
+    windows = cut(rollup.bounded_windows(
+        trip_windows(trips).join(touched.select("trip_id"), "trip_id", "left_semi"), bounds),
+        "touched-windows")
     quick = rollup.quick_rollup(match_trips(lake.pings("quick", days), windows, "ts"))
     slow = rollup.slow_rollup(match_trips(lake.pings("slow", days), windows, "ts"))
     rolled = cut(rollup.outer_join_rollups(quick, slow).join(

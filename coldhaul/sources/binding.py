@@ -7,6 +7,8 @@ string tables of the landing layer with malformed values, blanks and repeated ke
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,16 @@ MAX_TEMP = {"Controlled ambient": 15.0, "Chilled": 8.0, "Frozen": -18.0, "Pharma
             "Deep frozen": -40.0, "Other": 25.0}
 
 
+def _once(method):
+    """Build each plan once per instance; nothing is cached but the plan."""
+    @functools.wraps(method)
+    def plan(self):
+        if method.__name__ not in self.plans:
+            self.plans[method.__name__] = method(self)
+        return self.plans[method.__name__]
+    return plan
+
+
 def _minutes(expr: str) -> Column:
     return F.expr(f"make_dt_interval(0, 0, cast({expr} as int), 0)")
 
@@ -54,10 +66,12 @@ class FleetData:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.plans: dict[str, DataFrame] = {}
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.schema(DRIVER_TABLES[table]).parquet(f"{self.sf_dir}/{table}.parquet")
 
+    @_once
     def trips(self) -> DataFrame:
         """One trip per group of consecutive orders."""
         first = (self.read("orders")
@@ -78,6 +92,7 @@ class FleetData:
             (F.col("actual_end_time") - _minutes("((trip_id * 11) % 120 - 24) * 60")).alias("scheduled_end_time"),
             "actual_start_time", "actual_end_time")
 
+    @_once
     def vehicles(self) -> DataFrame:
         """One vehicle per group of ten customers, described by the first of them."""
         first = (self.read("customer").groupBy(F.expr("c_custkey div 10").alias("vehicle_id"))
@@ -91,6 +106,7 @@ class FleetData:
             F.when(F.col("vehicle_id") % 4 == 0, "Petrol").otherwise("Diesel").alias("fuel_type"),
             (F.abs("balance") * 40).alias("current_mileage"))
 
+    @_once
     def drivers(self) -> DataFrame:
         key = F.col("s_suppkey")
         return self.read("supplier").select(
@@ -100,6 +116,7 @@ class FleetData:
             F.concat(F.lit("C"), (key % 3).cast("string")).alias("license_class"),
             F.concat(F.lit("0"), (key + 1000000000).cast("string")).alias("phone_number"))
 
+    @_once
     def cargo(self) -> DataFrame:
         kind = lookup(F.col("p_partkey") % 6, dict(enumerate(CARGO_TYPES[:-1])), CARGO_TYPES[-1])
         return self.read("part").select(
@@ -109,6 +126,7 @@ class FleetData:
             (F.col("p_size") * 3 / F.lit(10.0)).alias("weight_kg"),
             F.col("p_retailprice").alias("price_egp"))
 
+    @_once
     def depots(self) -> DataFrame:
         nation, region = self.read("nation"), self.read("region")
         key = F.col("n_nationkey")
@@ -119,12 +137,15 @@ class FleetData:
             (key * 4 / F.lit(10.0) + 22).alias("lat"),
             ((key * 7) % 25 / F.lit(2.0) + 25).alias("lon"))
 
+    @_once
     def route_ids(self) -> DataFrame:
         return self.trips().select("route_id").distinct()
 
+    @_once
     def route_pairs(self) -> DataFrame:
         return decode_routes(self.route_ids(), DEPOTS)
 
+    @_once
     def trip_cargo(self) -> DataFrame:
         """Whole lineitem. Most trips carry one cargo type, some mix types, some carry none."""
         item = self.read("lineitem").select(
@@ -144,6 +165,7 @@ class FleetData:
                         F.concat(F.lit("S"), F.col("event_id").cast("string")).alias("sensor_id"),
                         "ts", "event_id", "value", k.alias("k")))
 
+    @_once
     def quick(self) -> DataFrame:
         seconds = F.timestamp_diff("SECOND", F.expr(EPOCH), F.col("ts"))
         return self._events(QUICK_EVENTS).select(
@@ -156,6 +178,7 @@ class FleetData:
             (F.col("value") / 100).alias("accel_ay_abs"),
             ((F.lit(1400) - F.col("k") * 3) / F.lit(100.0)).alias("battery_v"))
 
+    @_once
     def slow(self) -> DataFrame:
         return self._events(SLOW_EVENTS).select(
             "vehicle_id", "sensor_id", "ts", F.col("value").alias("fuel_amount_l"),
