@@ -18,15 +18,14 @@ from coldhaul.operators.ordered import next_value
 def trip_windows(trips: DataFrame, extras: list[str] | None = None) -> DataFrame:
     """Disjoint trip windows: ``vehicle_id, start_ts, end_ts, next_start, trip_id, *extras``.
 
-    Of trips with equal starts on one vehicle the largest ``trip_id`` stays.
+    Of trips with equal starts on one vehicle the largest ``trip_id`` stays: in the order
+    (start, trip) it is the one whose next start differs from its own.
     """
-    extras = extras or []
-    kept = (trips.where(F.col("vehicle_id").isNotNull() & F.col("actual_start_time").isNotNull())
-            .groupBy("vehicle_id", F.col("actual_start_time").alias("start_ts"))
-            .agg(F.max(F.struct("trip_id", F.col("actual_end_time").alias("end_ts"), *extras))
-                 .alias("_t"))
-            .select("vehicle_id", "start_ts", "_t.*"))
-    return next_value(kept, ["vehicle_id"], "start_ts", [], "start_ts", "next_start")
+    dated = (trips.where(F.col("vehicle_id").isNotNull() & F.col("actual_start_time").isNotNull())
+             .select("vehicle_id", F.col("actual_start_time").alias("start_ts"),
+                     F.col("actual_end_time").alias("end_ts"), "trip_id", *(extras or [])))
+    following = next_value(dated, ["vehicle_id"], "start_ts", ["trip_id"], "start_ts", "next_start")
+    return following.where(F.col("next_start").isNull() | (F.col("next_start") > F.col("start_ts")))
 
 
 def window_days(windows: DataFrame) -> DataFrame:
@@ -42,17 +41,15 @@ def window_days(windows: DataFrame) -> DataFrame:
 
 
 def match_trips(pings: DataFrame, windows: DataFrame, ts: str, how: str = "inner") -> DataFrame:
-    """Attach the active trip's columns to each ping.
+    """Attach the active trip's columns, and the ping's day as ``_day``, to each ping.
 
     The day in the join key spreads a busy vehicle over the days of its history and leaves
     a ping one or two candidate windows. Spark broadcasts the windows when their size is
     under its threshold; above it the join is a shuffle join whose skewed (vehicle, day)
     partitions are split at run time.
     """
-    right = window_days(windows).withColumnRenamed("vehicle_id", "_vehicle")
-    t = F.col(ts)
-    active = ((F.col("vehicle_id") == F.col("_vehicle"))
-              & (F.to_date(t) == F.col("_day"))
-              & (t >= F.col("start_ts")) & (t <= F.col("end_ts"))
-              & (F.col("next_start").isNull() | (t < F.col("next_start"))))
-    return pings.join(right, active, how).drop("_vehicle", "_day")
+    right = window_days(windows).withColumnsRenamed({"vehicle_id": "_w_vehicle", "_day": "_w_day"})
+    active = F.expr(f"""vehicle_id = _w_vehicle AND _day = _w_day AND {ts} >= start_ts
+        AND {ts} <= end_ts AND (next_start IS NULL OR {ts} < next_start)""")
+    return (pings.withColumn("_day", F.to_date(ts)).join(right, active, how)
+            .drop("_w_vehicle", "_w_day"))

@@ -30,13 +30,16 @@ def _neighbour(df: DataFrame, keys: list[str], ts: str, tie: list[str], value: s
     order = [ts, *tie]
     chunked = df.withColumn("_chunk", time_chunk(ts, minutes))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    shift, edge_of = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
+    shift = F.lead if ahead else F.lag
+    if value == ts:
+        edge = F.min(value) if ahead else F.max(value)
+    else:
+        edge = (F.min_by if ahead else F.max_by)(value, F.struct(*order) if tie else F.col(ts))
 
-    edges = chunked.groupBy(*keys, "_chunk").agg(
-        edge_of(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_edge"))
+    edges = chunked.groupBy(*keys, "_chunk").agg(edge.alias("_edge"))
     carried = edges.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_chunk").alias("_k_chunk"),
-        shift(F.col("_edge.v")).over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_carry"))
+        shift("_edge").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_carry"))
 
     shifted = (chunked
                .withColumn("_inner", shift(value).over(inside))

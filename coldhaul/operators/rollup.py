@@ -75,22 +75,25 @@ def slow_rollup(matched: DataFrame, minutes: int = FUEL_CHUNK_MINUTES) -> DataFr
 
     Fuel needs the order of readings. Drops are summed inside each (trip, time chunk);
     the chunk rows, which carry their first and last reading, then add the drops between
-    chunks. No task sorts a whole trip's pings.
+    chunks. No task sorts a whole trip's pings. A chunk lies within one vehicle and day, so
+    after a shuffle join on those the window needs no further shuffle of the pings.
     """
-    order = ["ts", "sensor_id"]
+    keys = ["vehicle_id", "_day", "trip_id", "_chunk"]
     chunked = (breach_flags(matched)
                .withColumn("fuel", reading("fuel_amount_l"))
                .withColumn("_chunk", time_chunk("ts", minutes)))
-    inside = Window.partitionBy("trip_id", "_chunk").orderBy(*order)
+    inside = Window.partitionBy(*keys).orderBy("ts", "sensor_id")
     chunks = (chunked
-              .withColumn("_drop", fuel_drop(F.lag("fuel").over(inside), F.col("fuel")))
-              .groupBy("trip_id", "_chunk").agg(
+              .withColumns({"_drop": fuel_drop(F.lag("fuel").over(inside), F.col("fuel")),
+                            "_first": F.lag(F.lit(True)).over(inside).isNull(),
+                            "_last": F.lead(F.lit(True)).over(inside).isNull()})
+              .groupBy(*keys).agg(
                   F.count(F.lit(1)).alias("pings"),
                   F.sum("is_door_open").alias("door"),
                   F.sum("breach").alias("breach"),
                   F.sum("_drop").alias("drop"),
-                  F.min_by("fuel", F.struct(*order)).alias("first_fuel"),
-                  F.max_by("fuel", F.struct(*order)).alias("last_fuel")))
+                  F.max(F.when(F.col("_first"), F.col("fuel"))).alias("first_fuel"),
+                  F.max(F.when(F.col("_last"), F.col("fuel"))).alias("last_fuel")))
     across = Window.partitionBy("trip_id").orderBy("_chunk")
     return (chunks
             .withColumn("_between", fuel_drop(F.lag("last_fuel").over(across), F.col("first_fuel")))

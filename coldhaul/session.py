@@ -12,6 +12,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split skewed join partitions even where that costs the shuffle saved downstream
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # hash instead of sort when every partition of a join side is measured to be this small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "96MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
