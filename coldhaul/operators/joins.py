@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 def keep_known(df: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
     """Keep rows whose every foreign key exists in its parent table."""
+    columns = df.columns
     for key, parent in parents.items():
         df = df.join(parent.select(key), key, "left_semi")
-    return df
+    return df.select(*columns)
 
 
 def row_loss(df: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
