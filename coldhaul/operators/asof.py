@@ -41,6 +41,10 @@ def window_days(windows: DataFrame) -> DataFrame:
 
 
 def match_trips(pings: DataFrame, windows: DataFrame, ts: str, how: str = "inner") -> DataFrame:
+    return match_window_days(pings, window_days(windows), ts, how)
+
+
+def match_window_days(pings: DataFrame, days: DataFrame, ts: str, how: str = "inner") -> DataFrame:
     """Attach the active trip's columns, and the ping's day as ``_day``, to each ping.
 
     The day in the join key spreads a busy vehicle over the days of its history and leaves
@@ -48,7 +52,7 @@ def match_trips(pings: DataFrame, windows: DataFrame, ts: str, how: str = "inner
     under its threshold; above it the join is a shuffle join whose skewed (vehicle, day)
     partitions are split at run time.
     """
-    right = window_days(windows).withColumnsRenamed({"vehicle_id": "_w_vehicle", "_day": "_w_day"})
+    right = days.withColumnsRenamed({"vehicle_id": "_w_vehicle", "_day": "_w_day"})
     active = F.expr(f"""vehicle_id = _w_vehicle AND _day = _w_day AND {ts} >= start_ts
         AND {ts} <= end_ts AND (next_start IS NULL OR {ts} < next_start)""")
     return (pings.withColumn("_day", F.to_date(ts)).join(right, active, how)

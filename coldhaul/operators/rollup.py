@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coldhaul import schemas
@@ -12,6 +12,7 @@ from coldhaul.operators.asof import match_trips, trip_windows
 from coldhaul.operators.ordered import previous_value, time_chunk
 
 FUEL_CHUNK_MINUTES = 10
+LITRES = "decimal(28,6)"
 
 
 def trip_cargo_agg(trip_cargo: DataFrame, cargo: DataFrame) -> DataFrame:
@@ -42,16 +43,29 @@ def quick_flags(pings: DataFrame) -> DataFrame:
     })
 
 
-def quick_rollup(matched: DataFrame) -> DataFrame:
-    """Counts, tick totals and odometer span per trip; all partial sums combine map-side."""
+def quick_parts(matched: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts, tick totals and odometer range per group; all partial sums combine map-side."""
     odometer = reading("odometer_km")
-    return quick_flags(matched).groupBy("trip_id").agg(
+    return quick_flags(matched).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("quick_pings_count"),
         F.sum("engine_fault").alias("engine_fault_ticks"),
         F.sum("speeding").alias("speeding_ticks"),
         F.sum("drift").alias("drift_ticks"),
         F.sum("battery_fault").alias("battery_fault_ticks"),
-        amount(F.max(odometer) - F.min(odometer)).alias("total_distance_km"))
+        F.min(odometer).alias("first_km"), F.max(odometer).alias("last_km"))
+
+
+def quick_totals(parts: DataFrame) -> DataFrame:
+    """Parts of a trip added up, with the odometer span as its distance."""
+    sums = ["quick_pings_count", "engine_fault_ticks", "speeding_ticks", "drift_ticks",
+            "battery_fault_ticks"]
+    return parts.groupBy("trip_id").agg(
+        *[F.sum(c).alias(c) for c in sums],
+        amount(F.max("last_km") - F.min("first_km")).alias("total_distance_km"))
+
+
+def quick_rollup(matched: DataFrame) -> DataFrame:
+    return quick_totals(quick_parts(matched, ["trip_id"]))
 
 
 def breach_flags(matched: DataFrame) -> DataFrame:
@@ -70,38 +84,62 @@ def fuel_drop(prev, cur):
     return F.coalesce(F.greatest(prev - cur, F.lit(0)), F.lit(0))
 
 
-def slow_rollup(matched: DataFrame, minutes: int = FUEL_CHUNK_MINUTES) -> DataFrame:
-    """Counts, door and breach ticks and litres consumed per trip.
+def slow_chunks(matched: DataFrame, minutes: int = FUEL_CHUNK_MINUTES) -> DataFrame:
+    """Counts, ticks, litres and the first and last reading per (trip, time chunk).
 
-    Fuel needs the order of readings. Drops are summed inside each (trip, time chunk);
-    the chunk rows, which carry their first and last reading, then add the drops between
-    chunks. No task sorts a whole trip's pings. A chunk lies within one vehicle and day, so
-    after a shuffle join on those the window needs no further shuffle of the pings.
+    Fuel needs the order of readings, so the window runs inside a chunk and no task sorts a
+    whole trip's pings. A chunk lies within one vehicle and day: after a shuffle join on
+    those the window needs no further shuffle of the pings.
     """
     keys = ["vehicle_id", "_day", "trip_id", "_chunk"]
     chunked = (breach_flags(matched)
                .withColumn("fuel", reading("fuel_amount_l"))
                .withColumn("_chunk", time_chunk("ts", minutes)))
     inside = Window.partitionBy(*keys).orderBy("ts", "sensor_id")
-    chunks = (chunked
-              .withColumns({"_drop": fuel_drop(F.lag("fuel").over(inside), F.col("fuel")),
-                            "_first": F.lag(F.lit(True)).over(inside).isNull(),
-                            "_last": F.lead(F.lit(True)).over(inside).isNull()})
-              .groupBy(*keys).agg(
-                  F.count(F.lit(1)).alias("pings"),
-                  F.sum("is_door_open").alias("door"),
-                  F.sum("breach").alias("breach"),
-                  F.sum("_drop").alias("drop"),
-                  F.max(F.when(F.col("_first"), F.col("fuel"))).alias("first_fuel"),
-                  F.max(F.when(F.col("_last"), F.col("fuel"))).alias("last_fuel")))
-    across = Window.partitionBy("trip_id").orderBy("_chunk")
-    return (chunks
-            .withColumn("_between", fuel_drop(F.lag("last_fuel").over(across), F.col("first_fuel")))
-            .groupBy("trip_id").agg(
-                F.sum("pings").alias("slow_pings_count"),
-                F.coalesce(F.sum("door"), F.lit(0)).cast("bigint").alias("door_open_ticks"),
-                F.sum("breach").alias("cargo_breach_ticks"),
-                amount(F.sum(F.col("drop") + F.col("_between"))).alias("total_fuel_consumed_l")))
+    return (chunked
+            .withColumns({"_drop": fuel_drop(F.lag("fuel").over(inside), F.col("fuel")), **_ends(inside)})
+            .groupBy(*keys).agg(
+                F.count(F.lit(1)).alias("pings"),
+                F.sum("is_door_open").alias("door"),
+                F.sum("breach").alias("breach"),
+                F.sum("_drop").cast(LITRES).alias("drop"),
+                F.max(F.when(F.col("_first"), F.col("fuel"))).alias("first_fuel"),
+                F.max(F.when(F.col("_last"), F.col("fuel"))).alias("last_fuel")))
+
+
+def join_chunks(chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """Merge consecutive chunks of a group into one, adding the drops between them."""
+    across = Window.partitionBy(*keys).orderBy("_chunk")
+    between = fuel_drop(F.lag("last_fuel").over(across), F.col("first_fuel"))
+    return (chunks.withColumns({"_between": between, **_ends(across)})
+            .groupBy(*keys).agg(
+                F.min("_chunk").alias("_chunk"),
+                F.sum("pings").alias("pings"),
+                F.sum("door").alias("door"),
+                F.sum("breach").alias("breach"),
+                F.sum(F.col("drop") + F.col("_between")).cast(LITRES).alias("drop"),
+                F.max(F.when(F.col("_first"), F.col("first_fuel"))).alias("first_fuel"),
+                F.max(F.when(F.col("_last"), F.col("last_fuel"))).alias("last_fuel")))
+
+
+def _ends(window) -> dict[str, Column]:
+    """Flags of the first and last row of a window."""
+    return {"_first": F.lag(F.lit(True)).over(window).isNull(),
+            "_last": F.lead(F.lit(True)).over(window).isNull()}
+
+
+def slow_totals(chunks: DataFrame) -> DataFrame:
+    return join_chunks(chunks, ["trip_id"]).select(
+        "trip_id",
+        F.col("pings").alias("slow_pings_count"),
+        F.coalesce("door", F.lit(0)).cast("bigint").alias("door_open_ticks"),
+        F.col("breach").alias("cargo_breach_ticks"),
+        amount(F.col("drop")).alias("total_fuel_consumed_l"))
+
+
+def slow_rollup(matched: DataFrame, minutes: int = FUEL_CHUNK_MINUTES) -> DataFrame:
+    """Counts, door and breach ticks and litres consumed per trip."""
+    return slow_totals(slow_chunks(matched, minutes))
 
 
 def fill_missing_measures(df: DataFrame) -> DataFrame:

@@ -22,8 +22,9 @@ from coldhaul.plans import gold, silver
 from coldhaul.plans.control import UNKNOWN_ROWS, ControlTable
 from coldhaul.session import cut
 from coldhaul.sinks.tables import (
-    copy_partition_forward, merge_partitions, replace_partition, write_overwrite)
-from coldhaul.sources.files import path_exists, scan_daily_slice, scan_days
+    copy_partition_forward, merge_partitions, replace_partition, write_overwrite,
+    write_partitioned)
+from coldhaul.sources.files import scan_daily_slice, scan_days
 from coldhaul.streaming.messages import envelope, parse_json
 
 DIMENSIONS = ["vehicles", "drivers", "cargo", "depots", "routes"]
@@ -72,10 +73,9 @@ class Lake:
         days = trips.groupBy("trip_id").agg(F.min("dt").alias("dt"))
         bridge = raw["trip_cargo"].join(days, "trip_id", "left")
         for name, df in (("trips", trips), ("trip_cargo", bridge)):
-            df.write.mode("overwrite").partitionBy("dt").parquet(self.path("landing", name))
+            write_partitioned(df, self.path("landing", name), "dt")
         for kind, df in messages.items():
-            (envelope(df).write.mode("overwrite").partitionBy("ingest_date")
-             .parquet(self.path("landing", kind)))
+            write_partitioned(envelope(df), self.path("landing", kind), "ingest_date")
 
     # ---- gold pieces shared by both runs ----
 
@@ -104,10 +104,6 @@ def _fact(trips: DataFrame, cargo_agg: DataFrame, telemetry: DataFrame) -> DataF
         "start_date", F.to_date(F.col("start_date_key_sk").cast("string"), "yyyyMMdd"))
 
 
-def _partitioned(df: DataFrame, path: str, column: str) -> None:
-    df.write.mode("overwrite").partitionBy(column).parquet(path)
-
-
 def backfill_run(lake: Lake, until: date) -> None:
     """Rebuild every layer from the landing zone, up to and including ``until``."""
     def landed(name: str) -> DataFrame:
@@ -123,24 +119,27 @@ def backfill_run(lake: Lake, until: date) -> None:
     known = F.col("dt").isNull() | (F.col("dt") <= F.lit(until))
     trips = silver.silver_trips(landed("trips").where(known), dims["vehicles"], dims["drivers"],
                                 dims["routes"])
-    _partitioned(_by_start(trips), lake.path("silver", "trips"), "start_date")
+    write_partitioned(_by_start(trips), lake.path("silver", "trips"), "start_date")
     trips = lake.read("silver", "trips")
     bridge = silver.silver_trip_cargo(landed("trip_cargo").where(known), trips, dims["cargo"])
     starts = trips.select("trip_id", "start_date")
-    _partitioned(bridge.join(starts, "trip_id"), lake.path("silver", "trip_cargo"), "start_date")
+    write_partitioned(bridge.join(starts, "trip_id"), lake.path("silver", "trip_cargo"), "start_date")
     bridge = lake.read("silver", "trip_cargo")
 
     for kind in TOPICS:
         rows = clean_pings(landed(kind).where(F.col("ingest_date") <= F.lit(until)), kind)
-        _partitioned(rows.withColumn("dt", F.to_date("ts")), lake.path("silver", kind), "dt")
+        write_partitioned(rows.withColumn("dt", F.to_date("ts")), lake.path("silver", kind), "dt")
 
     bounds = rollup.trip_thermal_bounds(bridge, dims["cargo"])
-    telemetry = rollup.trip_telemetry_agg(trips, bounds, lake.read("silver", "quick"),
-                                          lake.read("silver", "slow"))
-    _partitioned(telemetry.join(starts, "trip_id"), lake.path("staging", "trip_telemetry_agg"),
+    windows = cut(trip_windows(trips), "windows")
+    for kind, part in _parts(lake.read("silver", "quick"), lake.read("silver", "slow"), windows, bounds).items():
+        write_partitioned(part, lake.path("staging", kind), "dt")
+    telemetry = rollup.outer_join_rollups(rollup.quick_totals(lake.read("staging", "quick_parts")),
+                                          rollup.slow_totals(lake.read("staging", "slow_parts")))
+    write_partitioned(telemetry.join(starts, "trip_id"), lake.path("staging", "trip_telemetry_agg"),
                  "start_date")
     cargo_agg = rollup.trip_cargo_agg(bridge, dims["cargo"])
-    _partitioned(cargo_agg.join(starts, "trip_id"), lake.path("staging", "trip_cargo_agg"),
+    write_partitioned(cargo_agg.join(starts, "trip_id"), lake.path("staging", "trip_cargo_agg"),
                  "start_date")
 
     write_overwrite(gold.dim_vehicles(dims["vehicles"]), lake.path("gold", "dim_vehicles"))
@@ -150,7 +149,7 @@ def backfill_run(lake: Lake, until: date) -> None:
     fact = _fact(trips.drop("start_date"),
                  lake.read("staging", "trip_cargo_agg").drop("start_date"),
                  lake.read("staging", "trip_telemetry_agg").drop("start_date"))
-    _partitioned(fact, lake.path("gold", "fct_trip_operations"), "start_date")
+    write_partitioned(fact, lake.path("gold", "fct_trip_operations"), "start_date")
     quality.enforce(lake.gate())
     lake.control.ensure()
 
@@ -188,37 +187,52 @@ def silver_day(lake: Lake, day: date) -> int:
     return rows
 
 
+def match_day(lake: Lake, day: date) -> None:
+    """Match the day's pings to trips and store its part of each trip's rollup.
+
+    Parts add up over days, so a day reads its own pings only.
+    """
+    nxt = day + timedelta(days=1)
+    windows = cut(trip_windows(lake.read("silver", "trips")).where(
+        (F.col("start_ts") < F.lit(str(nxt)).cast("timestamp_ntz"))
+        & (F.col("end_ts") >= F.lit(str(day)).cast("timestamp_ntz"))), "windows-of-day")
+    bridge = lake.read("silver", "trip_cargo").join(windows.select("trip_id"), "trip_id", "left_semi")
+    bounds = rollup.trip_thermal_bounds(bridge, lake.read("silver", "cargo"))
+    for kind, part in _parts(lake.pings("quick", [day]), lake.pings("slow", [day]), windows, bounds).items():
+        replace_partition(part, lake.path("staging", kind), "dt", day)
+
+
+def _parts(quick: DataFrame, slow: DataFrame, windows: DataFrame,
+           bounds: DataFrame) -> dict[str, DataFrame]:
+    """Rollup parts per trip and day of both topics."""
+    matched = match_trips(slow, rollup.bounded_windows(windows, bounds), "ts")
+    parts = {"quick_parts": rollup.quick_parts(match_trips(quick, windows, "ts"), ["trip_id", "_day"]),
+             "slow_parts": rollup.join_chunks(rollup.slow_chunks(matched), ["trip_id", "_day"])}
+    return {k: df.withColumnRenamed("_day", "dt") for k, df in parts.items()}
+
+
 def touched_trips(lake: Lake, day: date) -> DataFrame:
     """Trips that started on the day or received a ping on it, with their start."""
     trips = lake.read("silver", "trips")
-    windows = trip_windows(trips)
-    hit = [match_trips(lake.pings(kind, [day]), windows, "ts").select("trip_id") for kind in TOPICS]
-    started = trips.where(F.col("start_date") == F.lit(day)).select("trip_id")
-    ids = hit[0].unionByName(hit[1]).unionByName(started).distinct()
-    return trips.join(ids, "trip_id", "left_semi")
+    ids = trips.where(F.col("start_date") == F.lit(day)).select("trip_id")
+    for kind in ("quick_parts", "slow_parts"):
+        ids = ids.unionByName(lake.read("staging", kind).where(F.col("dt") == F.lit(day)).select("trip_id"))
+    return trips.join(ids.distinct(), "trip_id", "left_semi")
 
 
 def telemetry_day(lake: Lake, day: date) -> int:
-    """Roll the touched trips up again over all their pings so far.
-
-    Distance and fuel of a trip that spans days do not add up from daily parts, so its
-    pings are read from the day it started on; earlier partitions are not listed.
-    """
-    touched = cut(touched_trips(lake, day), "touched-trips")
-    first = touched.agg(F.min("start_date")).first()[0]
-    if first is None:
-        return 0
-    days = [first + timedelta(days=i) for i in range((day - first).days + 1)]
-    trips = lake.read("silver", "trips")
-    bridge = lake.read("silver", "trip_cargo").join(touched.select("trip_id"), "trip_id", "left_semi")
-    bounds = rollup.trip_thermal_bounds(bridge, lake.read("silver", "cargo"))
-    windows = cut(rollup.bounded_windows(
-        trip_windows(trips).join(touched.select("trip_id"), "trip_id", "left_semi"), bounds),
-        "touched-windows")
-    quick = rollup.quick_rollup(match_trips(lake.pings("quick", days), windows, "ts"))
-    slow = rollup.slow_rollup(match_trips(lake.pings("slow", days), windows, "ts"))
-    rolled = cut(rollup.outer_join_rollups(quick, slow).join(
-        touched.select("trip_id", "start_date"), "trip_id"), "rolled")
+    """Store the day's parts, then add up the parts of the trips it touched."""
+    match_day(lake, day)
+    touched = cut(touched_trips(lake, day).select("trip_id", "start_date"), "touched-trips")
+    since = touched.agg(F.min("start_date")).first()[0] or day
+
+    def parts(kind: str) -> DataFrame:
+        return (lake.read("staging", kind).where(F.col("dt").between(F.lit(since), F.lit(day)))
+                .join(touched.select("trip_id"), "trip_id", "left_semi"))
+
+    rolled = rollup.outer_join_rollups(rollup.quick_totals(parts("quick_parts")),
+                                       rollup.slow_totals(parts("slow_parts")))
+    rolled = cut(rolled.join(touched, "trip_id"), "rolled")
     merge_partitions(lake.path("staging", "trip_telemetry_agg"), rolled, "trip_id", "start_date")
     return rolled.count()
 

@@ -45,6 +45,17 @@ def write_staging(df: DataFrame, table: str, fmt: str = "parquet", **options: st
     return seen.get["rows"]
 
 
+def write_partitioned(df: DataFrame, path: str, column: str, dynamic: bool = False) -> None:
+    """Overwrite a partitioned table, or only the partitions present if ``dynamic``.
+
+    Rows are rebalanced by the partition column first: each partition gets few files, and a
+    large one is still written by many tasks.
+    """
+    (df.hint("rebalance", F.col(column)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+     .partitionBy(column).parquet(path))
+
+
 def replace_partition(day_rows: DataFrame, path: str, column: str, day: date) -> int:
     """Replace one date partition by ``day_rows``; an empty slice clears it."""
     counted, seen = _counted(day_rows.drop(column))
@@ -101,15 +112,14 @@ def merge_partitions(path: str, updates: DataFrame, key: str, part: str) -> None
     spark = updates.sparkSession
     updates = cut(updates, "merge-updates")
     if not path_exists(spark, path):
-        updates.write.partitionBy(part).parquet(path)
+        write_partitioned(updates, path, part)
         return
     target = spark.read.option("mergeSchema", True).parquet(path)
     held = target.join(updates.select(key), key, "left_semi").select(part)
     # one row per touched date at most
     touched = [r[0] for r in held.unionByName(updates.select(part)).distinct().collect()]
     merged = cut(merge_by_key(target.where(F.col(part).isin(touched)), updates, key), "merge")
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part).parquet(path))
+    write_partitioned(merged, path, part, dynamic=True)
     filled = {r[0] for r in merged.select(part).distinct().collect()}
     for emptied in set(touched) - filled:
         replace_partition(merged.limit(0), path, part, emptied)

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from coldhaul.session import cut
-from coldhaul.sinks.tables import upsert_positions
+from coldhaul.session import scratch_path
+from coldhaul.sinks.tables import upsert_positions, write_partitioned
 from coldhaul.sources.files import child_names
 from coldhaul.streaming import live
 from coldhaul.streaming.messages import envelope, quick_from_messages, slow_from_messages
@@ -68,6 +68,18 @@ def _write(df: DataFrame, table: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(batch_path(table, batch_id))
 
 
+def save_windows(days: DataFrame, path: str) -> DataFrame:
+    """Write the trip windows by day and read them back; a batch then scans only its days."""
+    write_partitioned(days, path, "_day")
+    return days.sparkSession.read.schema(days.schema).parquet(path)
+
+
+def windows_for(pings: DataFrame, days: DataFrame) -> DataFrame:
+    """The windows of the days a micro-batch has pings on."""
+    present = [r[0] for r in pings.select(F.to_date("event_time")).distinct().collect() if r[0]]
+    return days.where(F.col("_day").isin(present))
+
+
 def wall_clock() -> Column:
     return F.current_timestamp().cast("timestamp_ntz")
 
@@ -79,7 +91,7 @@ def quick_step(windows: DataFrame, out: str,
         spark = batch.sparkSession
         pings = quick_from_messages(batch).persist()
         try:
-            incidents = live.quick_incidents(pings, windows).withColumn("detected_at", clock())
+            incidents = live.quick_incidents(pings, windows_for(pings, windows)).withColumn("detected_at", clock())
             _write(incidents, f"{out}/feed/topic=quick", batch_id)
             status = read_state(spark, f"{out}/status", STATUS_SCHEMA, batch_id)
             _write(upsert_positions(status, live.latest_position(pings)), f"{out}/status", batch_id)
@@ -97,7 +109,7 @@ def slow_step(windows: DataFrame, out: str,
         try:
             state = read_state(spark, f"{out}/fuel", FUEL_SCHEMA, batch_id)
             drops = live.fuel_drop_step(pings, state)
-            incidents = live.slow_incidents(drops, windows).withColumn("detected_at", clock())
+            incidents = live.slow_incidents(drops, windows_for(pings, windows)).withColumn("detected_at", clock())
             _write(incidents, f"{out}/feed/topic=slow", batch_id)
             _write(live.next_fuel_state(pings, state), f"{out}/fuel", batch_id)
         finally:
@@ -115,7 +127,7 @@ def start_alerts(quick: DataFrame, slow: DataFrame, windows: DataFrame, out: str
                  quick_trigger: dict | None = None, slow_trigger: dict | None = None,
                  clock: Callable[[], Column] = wall_clock) -> list[StreamingQuery]:
     """Both alert streams, over trip windows that are written once and then only read."""
-    static = cut(windows, "trip-windows")
+    static = save_windows(windows, scratch_path(windows.sparkSession, "trip-windows"))
     return [
         run_each_batch(quick, quick_step(static, out, clock), f"{out}/_checkpoints/quick",
                        quick_trigger or QUICK_TRIGGER),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from coldhaul import schemas
 from coldhaul.functions import rules
 from coldhaul.functions.columns import reading, severity_code
-from coldhaul.operators.asof import match_trips, trip_windows
+from coldhaul.operators.asof import match_window_days, trip_windows, window_days
 from coldhaul.operators.joins import anti_join_reset, update_from_join
 from coldhaul.operators.ordered import latest_by_key, previous_value
 from coldhaul.operators.rollup import bounded_trips, fuel_drop, trip_thermal_bounds
@@ -18,27 +18,34 @@ EXTRAS = ["driver_id", "cargo_type", "min_temp", "max_temp"]
 
 def live_windows(trips: DataFrame, trip_cargo: DataFrame, cargo: DataFrame,
                  fleet_size: int | None = None) -> DataFrame:
-    """Active-trip windows with driver, cargo type and bounds; half-dated trips are skipped."""
+    """Active-trip windows by day, with driver, cargo type and bounds.
+
+    Half-dated trips are skipped.
+    """
     if fleet_size is not None:
         trips = trips.where(F.col("vehicle_id") < fleet_size)
     dated = trips.where(F.col("actual_end_time").isNotNull())
-    return trip_windows(bounded_trips(dated, trip_thermal_bounds(trip_cargo, cargo)), EXTRAS)
+    bounded = bounded_trips(dated, trip_thermal_bounds(trip_cargo, cargo))
+    return window_days(trip_windows(bounded, EXTRAS))
 
 
-def attach_trip(pings: DataFrame, windows: DataFrame) -> DataFrame:
-    """Every ping stays; without an active trip its trip columns are null."""
-    return match_trips(pings, windows, "event_time", "left")
+def attach_trip(pings: DataFrame, days: DataFrame) -> DataFrame:
+    """Every ping stays; without an active trip its trip columns are null.
+
+    ``days`` are the windows by day, see :func:`coldhaul.operators.asof.window_days`.
+    """
+    return match_window_days(pings, days, "event_time", "left")
 
 
-def quick_incidents(pings: DataFrame, windows: DataFrame) -> DataFrame:
+def quick_incidents(pings: DataFrame, days: DataFrame) -> DataFrame:
     """Only pings that raise something reach the trip lookup."""
     raised = pings.withColumn("i", F.explode(rules.quick_incident_list())).select("*", "i.*")
-    return attach_trip(raised, windows).select(*schemas.INCIDENT_COLUMNS)
+    return attach_trip(raised, days).select(*schemas.INCIDENT_COLUMNS)
 
 
-def slow_incidents(pings: DataFrame, windows: DataFrame) -> DataFrame:
+def slow_incidents(pings: DataFrame, days: DataFrame) -> DataFrame:
     """At most one incident per ping that carries its ``fuel_drop``."""
-    found = attach_trip(pings, windows).withColumn("i", rules.slow_incident())
+    found = attach_trip(pings, days).withColumn("i", rules.slow_incident())
     return (found.where(F.col("i").isNotNull()).select("*", "i.*")
             .withColumns({"lat": F.lit(None).cast("double"), "lon": F.lit(None).cast("double")})
             .select(*schemas.INCIDENT_COLUMNS))
