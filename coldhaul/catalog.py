@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from coldhaul.operators.asof import match_trips, trip_windows
 from coldhaul.operators.ordered import (
     dedupe_by_key, dedupe_full_row, drop_null_keys, previous_value, resequence, top_rows)
 from coldhaul.plans import bi, control, daily, gold, silver
-from coldhaul.session import cut, scratch_path
+from coldhaul.session import cut, scratch_path, together
 from coldhaul.sinks import tables
 from coldhaul.sources import files
 from coldhaul.sources.binding import DEPOTS, FleetData, RawFleetData
@@ -155,11 +155,12 @@ def scan_csv_strings(fleet):
 @query
 def land_static_tables(fleet):
     source, folder = raw(fleet), scratch_path(fleet.spark, "csv-tables")
-    for name in schemas.RAW:
-        source.table(name).write.csv(f"{folder}/{name}.csv", header=True)
+    together(*[partial(source.table(name).write.csv, f"{folder}/{name}.csv", header=True)
+               for name in schemas.RAW])
+    landed = files.scan_raw_tables(fleet.spark, folder)
+    together(*[partial(tables.write_overwrite, df, f"{folder}/bronze_{name}") for name, df in landed.items()])
     counts = []
-    for name, df in files.scan_raw_tables(fleet.spark, folder).items():
-        tables.write_overwrite(df, f"{folder}/bronze_{name}")
+    for name in landed:
         key = schemas.RAW_COLUMNS[name][0]
         counts.append(files.scan_parquet(fleet.spark, f"{folder}/bronze_{name}").agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),

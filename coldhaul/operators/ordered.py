@@ -53,7 +53,7 @@ def _neighbour(df: DataFrame, keys: list[str], ts: str, tie: list[str], value: s
 
 
 def previous_value(df: DataFrame, keys: list[str], ts: str, tie: list[str], value: str, out: str,
-                   minutes: int = 60) -> DataFrame:
+                   minutes: int = 10) -> DataFrame:
     """``lag(value)`` per key in the order ``(ts, *tie)``, safe for hot keys."""
     return _neighbour(df, keys, ts, tie, value, out, minutes, ahead=False)
 

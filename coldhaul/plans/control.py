@@ -78,8 +78,10 @@ class ControlTable:
             self._append(missing)
 
     def target(self, stage: str) -> date:
-        self.ensure()
         row = self.current().where(F.col("stage_name") == stage).first()
+        if row is None:
+            self.ensure()
+            row = self.current().where(F.col("stage_name") == stage).first()
         return row["last_processed_date"] + timedelta(days=1)
 
     def _set(self, stage: str, day: date, rows: int | None, status: str) -> None:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from coldhaul.operators.asof import match_trips, trip_windows
 from coldhaul.operators.ordered import dedupe_full_row, drop_null_keys
 from coldhaul.plans import gold, silver
 from coldhaul.plans.control import UNKNOWN_ROWS, ControlTable
-from coldhaul.session import cut
+from coldhaul.session import cut, together
 from coldhaul.sinks.tables import (
     copy_partition_forward, merge_partitions, replace_partition, write_overwrite,
     write_partitioned)
@@ -67,15 +68,14 @@ class Lake:
 
     def land(self, raw: dict[str, DataFrame], messages: dict[str, DataFrame]) -> None:
         """Put raw tables and messages into the landing zone, trips and pings by day."""
-        for name in DIMENSIONS:
-            raw[name].write.mode("overwrite").parquet(self.path("landing", name))
         trips = raw["trips"].withColumn("dt", F.col(START).try_cast("timestamp_ntz").cast("date"))
         days = trips.groupBy("trip_id").agg(F.min("dt").alias("dt"))
-        bridge = raw["trip_cargo"].join(days, "trip_id", "left")
-        for name, df in (("trips", trips), ("trip_cargo", bridge)):
-            write_partitioned(df, self.path("landing", name), "dt")
-        for kind, df in messages.items():
-            write_partitioned(envelope(df), self.path("landing", kind), "ingest_date")
+        dated = {"trips": (trips, "dt"),
+                 "trip_cargo": (raw["trip_cargo"].join(days, "trip_id", "left"), "dt"),
+                 **{kind: (envelope(df), "ingest_date") for kind, df in messages.items()}}
+        together(*[partial(write_overwrite, raw[name], self.path("landing", name)) for name in DIMENSIONS],
+                 *[partial(write_partitioned, df, self.path("landing", name), column)
+                   for name, (df, column) in dated.items()])
 
     # ---- gold pieces shared by both runs ----
 
@@ -109,12 +109,15 @@ def backfill_run(lake: Lake, until: date) -> None:
     def landed(name: str) -> DataFrame:
         return lake.read("landing", name)
 
-    for name, clean in (("vehicles", silver.silver_vehicles), ("drivers", silver.silver_drivers),
-                        ("cargo", silver.silver_cargo)):
-        write_overwrite(clean(landed(name)), lake.path("silver", name))
-    write_overwrite(silver.silver_routes(landed("routes"), landed("depots")),
-                    lake.path("silver", "routes"))
-    dims = {n: lake.read("silver", n) for n in ("vehicles", "drivers", "cargo", "routes")}
+    tables = {"vehicles": silver.silver_vehicles(landed("vehicles")),
+              "drivers": silver.silver_drivers(landed("drivers")),
+              "cargo": silver.silver_cargo(landed("cargo")),
+              "routes": silver.silver_routes(landed("routes"), landed("depots"))}
+    pings = {kind: clean_pings(landed(kind).where(F.col("ingest_date") <= F.lit(until)), kind)
+             .withColumn("dt", F.to_date("ts")) for kind in TOPICS}
+    together(*[partial(write_overwrite, df, lake.path("silver", n)) for n, df in tables.items()],
+             *[partial(write_partitioned, df, lake.path("silver", n), "dt") for n, df in pings.items()])
+    dims = {n: lake.read("silver", n) for n in tables}
 
     known = F.col("dt").isNull() | (F.col("dt") <= F.lit(until))
     trips = silver.silver_trips(landed("trips").where(known), dims["vehicles"], dims["drivers"],
@@ -126,26 +129,21 @@ def backfill_run(lake: Lake, until: date) -> None:
     write_partitioned(bridge.join(starts, "trip_id"), lake.path("silver", "trip_cargo"), "start_date")
     bridge = lake.read("silver", "trip_cargo")
 
-    for kind in TOPICS:
-        rows = clean_pings(landed(kind).where(F.col("ingest_date") <= F.lit(until)), kind)
-        write_partitioned(rows.withColumn("dt", F.to_date("ts")), lake.path("silver", kind), "dt")
-
     bounds = rollup.trip_thermal_bounds(bridge, dims["cargo"])
     windows = cut(trip_windows(trips), "windows")
-    for kind, part in _parts(lake.read("silver", "quick"), lake.read("silver", "slow"), windows, bounds).items():
-        write_partitioned(part, lake.path("staging", kind), "dt")
+    parts = _parts(lake.read("silver", "quick"), lake.read("silver", "slow"), windows, bounds)
+    cargo_agg = rollup.trip_cargo_agg(bridge, dims["cargo"])
+    models = {"dim_vehicles": gold.dim_vehicles(dims["vehicles"]),
+              "dim_drivers": gold.dim_drivers(dims["drivers"]),
+              "dim_routes": gold.dim_routes(dims["routes"]), "dim_date": gold.dim_date(lake.spark)}
+    together(*[partial(write_partitioned, df, lake.path("staging", n), "dt") for n, df in parts.items()],
+             partial(write_partitioned, cargo_agg.join(starts, "trip_id"),
+                     lake.path("staging", "trip_cargo_agg"), "start_date"),
+             *[partial(write_overwrite, df, lake.path("gold", n)) for n, df in models.items()])
     telemetry = rollup.outer_join_rollups(rollup.quick_totals(lake.read("staging", "quick_parts")),
                                           rollup.slow_totals(lake.read("staging", "slow_parts")))
     write_partitioned(telemetry.join(starts, "trip_id"), lake.path("staging", "trip_telemetry_agg"),
-                 "start_date")
-    cargo_agg = rollup.trip_cargo_agg(bridge, dims["cargo"])
-    write_partitioned(cargo_agg.join(starts, "trip_id"), lake.path("staging", "trip_cargo_agg"),
-                 "start_date")
-
-    write_overwrite(gold.dim_vehicles(dims["vehicles"]), lake.path("gold", "dim_vehicles"))
-    write_overwrite(gold.dim_drivers(dims["drivers"]), lake.path("gold", "dim_drivers"))
-    write_overwrite(gold.dim_routes(dims["routes"]), lake.path("gold", "dim_routes"))
-    write_overwrite(gold.dim_date(lake.spark), lake.path("gold", "dim_date"))
+                      "start_date")
     fact = _fact(trips.drop("start_date"),
                  lake.read("staging", "trip_cargo_agg").drop("start_date"),
                  lake.read("staging", "trip_telemetry_agg").drop("start_date"))

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldhaul import schemas
-from coldhaul.functions.columns import lookup
 from coldhaul.operators.joins import decode_routes
 from coldhaul.streaming.messages import json_payload
 
@@ -118,11 +117,13 @@ class FleetData:
 
     @_once
     def cargo(self) -> DataFrame:
-        kind = lookup(F.col("p_partkey") % 6, dict(enumerate(CARGO_TYPES[:-1])), CARGO_TYPES[-1])
+        def pick(value) -> Column:
+            return F.element_at(F.array(*[F.lit(value(k)) for k in CARGO_TYPES]),
+                                (F.col("p_partkey") % 6 + 1).cast("int"))
+
         return self.read("part").select(
-            F.col("p_partkey").alias("cargo_id"), kind.alias("cargo_type"),
-            lookup(kind, MAX_TEMP, None).cast("double").alias("max_temp"),
-            lookup(kind, MIN_TEMP, None).cast("double").alias("min_temp"),
+            F.col("p_partkey").alias("cargo_id"), pick(str).alias("cargo_type"),
+            pick(MAX_TEMP.get).alias("max_temp"), pick(MIN_TEMP.get).alias("min_temp"),
             (F.col("p_size") * 3 / F.lit(10.0)).alias("weight_kg"),
             F.col("p_retailprice").alias("price_egp"))
 
