@@ -47,8 +47,12 @@ def envelope(messages: DataFrame) -> DataFrame:
 
 
 def parse_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
-    """The JSON strings of ``column`` as flat string columns."""
-    return df.select(F.from_json(column, schema).alias("j")).select("j.*")
+    """The JSON strings of ``column`` as flat string columns.
+
+    A filter on a parsed field would be pushed below a plain projection and parse the text
+    again for each field it names; it cannot pass the one-element explode.
+    """
+    return df.select(F.explode(F.array(F.from_json(column, schema))).alias("j")).select("j.*")
 
 
 def _numbers(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
