@@ -219,7 +219,8 @@ def _time_slices(fleet: FleetData, kind: str) -> list[DataFrame]:
     step = (last - first) / STREAM_SLICES
     marks = [first + step * i for i in range(STREAM_SLICES)] + [last + timedelta(seconds=1)]
     t = F.col("timestamp")
-    return [rows.where((t >= F.lit(a)) & (t < F.lit(b))) for a, b in zip(marks, marks[1:])]
+    marks = [F.lit(str(m)).cast("timestamp_ntz") for m in marks]
+    return [rows.where((t >= a) & (t < b)) for a, b in zip(marks, marks[1:])]
 
 
 def _replay(fleet: FleetData, kinds: list[str], start: Callable[[dict[str, DataFrame]], list]) -> None:
