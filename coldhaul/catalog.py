@@ -15,7 +15,7 @@ from coldhaul.functions import rules
 from coldhaul.operators import audits, joins, quality, rollup
 from coldhaul.operators.asof import match_trips, trip_windows
 from coldhaul.operators.ordered import (
-    dedupe_by_key, dedupe_full_row, drop_null_keys, previous_value, resequence, top_rows)
+    dedupe_by_key, dedupe_full_row, drop_null_keys, resequence, top_rows)
 from coldhaul.plans import bi, control, daily, gold, silver
 from coldhaul.session import cut, scratch_path, together
 from coldhaul.sinks import tables
