@@ -8,19 +8,21 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coldhaul.llm.common import BLANKS, WORD, bound
+from coldhaul.llm.common import WORD, bound
 
 # Very frequent function words of the four languages.
 STOP_WORDS = {
-    "en": "the of and to a in is that for it as was with be by on are this from at or an they which you not",
-    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus",
-    "fr": "de la le et les des en un du une que est pour qui dans par plus pas au sur ne se ce il sont elle ou",
-    "es": "de la que el en y a los del se las por un para con no una su al lo como más o pero sus le",
+    "en": "the of and to in is that for it as was with be by on are this from at have",
+    "de": "der die und den von zu das mit sich des auf für ist im dem nicht ein eine",
+    "fr": "de la le et les des en un du une que est pour qui dans par plus sur",
+    "es": "de la que el en y los del se las por un para con no una su",
 }
-SYMBOLS = "#*$%&|<>"
-PUNCTUATION = ".,;:!?"
+BLANK = r"[\x20\x09-\x0D]"
+SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+#: Up to so many repeated windows are looked up one by one; this changes the way, not the result.
+FEW = 24
 
 
 class Rule(NamedTuple):
@@ -37,60 +39,72 @@ RULES = [
     Rule("word_length", "word_chars", "n_words", 2.0, 16.0),
     Rule("symbol_ratio", "n_symbols", "n_words", None, 0.25),
     Rule("stop_word_ratio", "n_stop_words", "n_words", 0.02, None),
-    Rule("upper_ratio", "n_upper", "word_chars", None, 0.50),
     Rule("duplicate_line_ratio", "n_dup_lines", "n_lines", None, 0.50),
 ]
 
 
-def _spread(words: Column) -> Column:
+def stop_forms() -> list[str]:
+    """The stop words as they stand in texts: in lower case or capitalised, with or without a closing mark."""
+    words = {w for of in STOP_WORDS.values() for w in of.split()}
+    return sorted(w + mark for w in words | {w.capitalize() for w in words} for mark in ("", ".", ","))
+
+
+def _covered(at: Column) -> Column:
+    """The words in the windows that start at the ascending places ``at``: the way to the next start, 3 at most."""
+    steps = F.transform(at, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(at, i + 1) - x, F.lit(3))))
+    return F.aggregate(steps, F.lit(0), lambda total, x: total + x)
+
+
+def _repeated_words(words: Column) -> Column:
     """How many words lie in a 3-word window that the text holds twice or more.
 
-    Windows are sorted by their words; equal neighbours mark their starts, and the starts in text order give the
-    words covered: the distance to the next marked start, 3 at most.
+    Windows are compared by a 64-bit hash of their words. Sorted, equal neighbours are the hashes found more than
+    once. If they are few, as in prose, windows are looked up among them; else the places are sorted with the hashes.
     """
-    def windows(w: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(w) - 2), lambda i: F.struct(
-            F.concat_ws(" ", F.element_at(w, i), F.element_at(w, i + 1), F.element_at(w, i + 2)).alias("text"),
-            i.alias("at")))
+    hashes = F.transform(F.sequence(F.lit(1), F.size(words) - 2), lambda i: F.xxhash64(
+        F.element_at(words, i), F.element_at(words, i + 1), F.element_at(words, i + 2)))
+
+    def by_lookup(h: Column, twice: Column) -> Column:
+        return bound(F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: F.array_contains(twice, F.get(h, i))), _covered)
+
+    def by_sorting(h: Column) -> Column:
+        placed = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("hash"), i.alias("at"))))
 
-    def marked(s: Column) -> Column:
-        same = lambda x, i: (F.get(s, i - 1)["text"] == x["text"]) | (F.get(s, i + 1)["text"] == x["text"])
-        return F.array_sort(F.transform(F.filter(s, lambda x, i: F.coalesce(same(x, i), F.lit(False))),
-                                        lambda x: x["at"]))
+        def starts(s: Column) -> Column:
+            same = F.filter(s, lambda x, i: F.coalesce(F.get(s, i - 1)["hash"] == x["hash"], F.lit(False))
+                            | F.coalesce(F.get(s, i + 1)["hash"] == x["hash"], F.lit(False)))
+            return F.sort_array(F.transform(same, lambda x: x["at"]))
 
-    def covered(m: Column) -> Column:
-        steps = F.transform(m, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(m, i + 1) - x, F.lit(3))))
-        return F.aggregate(steps, F.lit(0), lambda total, x: total + x)
+        return bound(bound(placed, starts), _covered)
 
-    return F.when(F.size(words) < 3, F.lit(0)).otherwise(
-        bound(F.array_sort(windows(words)), lambda s: bound(marked(s), covered)))
+    def found(h: Column) -> Column:
+        twice = bound(F.sort_array(h), lambda s: F.filter(s, lambda x, i: F.get(s, i + 1) == x))
+        return bound(F.array_distinct(twice), lambda t: F.when(F.size(t) == 0, F.lit(0)).when(
+            F.size(t) <= FEW, by_lookup(h, t)).otherwise(by_sorting(h)))
+
+    return F.when(F.size(words) < 3, F.lit(0)).otherwise(bound(hashes, found))
 
 
 def measures(text: Column) -> Column:
     """A struct of the counts of one text, each long."""
-    stop = sorted({w for words in STOP_WORDS.values() for w in words.split()})
+    stop = stop_forms()
 
     def of_words(w: Column) -> list[Column]:
-        bare = F.transform(w, lambda x: F.lower(F.translate(x, PUNCTUATION, "")))
-        return [F.size(w).alias("n_words"), _spread(w).alias("n_repeat_words"),
-                F.size(F.filter(bare, lambda x: x.isin(stop))).alias("n_stop_words")]
+        return [F.size(w).alias("n_words"), _repeated_words(w).alias("n_repeat_words"),
+                F.size(F.filter(w, lambda x: x.isin(stop))).alias("n_stop_words")]
 
     def of_lines(x: Column) -> list[Column]:
         return [F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines")]
 
-    def of_characters(p: Column) -> list[Column]:
-        return [F.length(p).alias("word_chars"),
-                (F.length(p) - F.length(F.translate(p, SYMBOLS, ""))).alias("n_symbols"),
-                F.regexp_count(p, F.lit(r"\p{Lu}")).alias("n_upper")]
-
     def counts(t: Column) -> Column:
         words = bound(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.struct(*of_words(w)))
         lines = bound(F.filter(F.split(t, "\n"), lambda x: x.rlike(WORD)), lambda x: F.struct(*of_lines(x)))
-        return F.struct(words.alias("words"), lines.alias("lines"),
-                        bound(F.translate(t, BLANKS, ""), lambda p: F.struct(*of_characters(p))).alias("chars"))
+        return F.struct(words.alias("words"), lines.alias("lines"), F.struct(
+            F.regexp_count(t, F.lit(SYMBOLS)).alias("n_symbols"),
+            (F.length(t) - F.regexp_count(t, F.lit(BLANK))).alias("word_chars")).alias("text"))
 
     names = {"words": ["n_words", "n_repeat_words", "n_stop_words"], "lines": ["n_lines", "n_dup_lines"],
-             "chars": ["word_chars", "n_symbols", "n_upper"]}
+             "text": ["n_symbols", "word_chars"]}
     return bound(bound(F.coalesce(text, F.lit("")), counts), lambda m: F.struct(
         *[m[part][name].cast("long").alias(name) for part, of in names.items() for name in of]))
 
@@ -109,6 +123,15 @@ def verdicts(m: Column, rules: list[Rule] = RULES) -> list[Column]:
     return columns
 
 
+def base_failed(m: Column) -> Column:
+    return (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
+
+
+def passes(m: Column, rules: list[Rule] = RULES) -> Column:
+    """Whether a text of these measures is kept."""
+    return reduce(lambda a, b: a & b, verdicts(m, rules), ~base_failed(m))
+
+
 def judge(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """One row per document: doc_id, the measures, base_failed, kept and ``failed_rules``.
 
@@ -118,10 +141,9 @@ def judge(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """
     measured = docs.select("doc_id", measures(F.col("text")).alias("m"))
     m = F.col("m")
-    failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
     checks = verdicts(m, rules)
     broken = F.filter(F.array(*[F.when(~c, F.lit(r.name)) for c, r in zip(checks, rules)]), lambda x: x.isNotNull())
     return measured.select(
         "doc_id", "m.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines", "m.n_repeat_words",
-        failed.alias("base_failed"), (~failed & reduce(lambda a, b: a & b, checks, F.lit(True))).alias("kept"),
-        broken.alias("failed_rules"), "m.n_lines", "m.n_stop_words", "m.n_upper")
+        base_failed(m).alias("base_failed"), passes(m, rules).alias("kept"),
+        broken.alias("failed_rules"), "m.n_lines", "m.n_stop_words")
