@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from coldhaul.llm import chat, mixing, quality, sharding
+from coldhaul.llm import chat, language, licenses, mixing, neardup, packing, quality, sharding, suffixes, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +30,38 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal_digests(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "copies")
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.train(docs))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_chat_formatting, op2_mixing, op3_sharding, op6_quality_rules)}
+    f.__name__: f for f in (op1_chat_formatting, op2_mixing, op3_sharding, op4_exact_top_k, op5_suffix_array_dedup, op6_quality_rules,
+                                op7_ngram_jaccard_join, op8_best_fit_packing, op9_license_scans, op10_language_id)}
 
 ORACLE_SQL: dict[str, str] = {}
