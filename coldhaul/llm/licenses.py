@@ -35,6 +35,10 @@ TEMPLATES = {
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Licensed under CC BY 4.0.",
     ],
+    "CC-BY-NC": [
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "Licensed under CC BY-NC 4.0.",
+    ],
     "CC-BY-SA": [
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
         "Licensed under CC BY-SA 4.0.",
@@ -140,7 +144,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = S
     near = F.pmod(F.xxhash64(F.lit("licences"), "doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample_docs / max(n, 1)))
     lines = F.transform(F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)),
                         lambda x: F.struct(F.xxhash64(x).alias("h"), F.substring(x, 1, 400).alias("line")))
-    picked = docs.filter(near).select(F.explode(F.slice(F.array_sort(lines), 1, sample_lines))["line"].alias("line"))
+    picked = docs.filter(near).select(F.explode(F.slice(F.array_sort(lines), 1, sample_lines)).alias("x")).select("x.line")
     other = sorted({r["line"] for r in picked.collect()})
     rng = np.random.default_rng(seed)
     filler = sorted({w for line in [*other[:500], *OTHERS] for w in line.split()})

@@ -36,8 +36,10 @@ def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int
     """(bands, rows): the most rows, so the fewest false candidates, that find pairs at the threshold with the recall."""
     best = (most, 1)
     for rows in range(1, most + 1):
-        miss = 1 - threshold ** rows
-        bands = int(np.ceil(np.log(1 - recall) / np.log(miss)))
+        hit = threshold ** rows
+        if hit * most < 1:
+            break
+        bands = max(1, int(np.ceil(np.log(1 - recall) / np.log1p(-hit)))) if hit < 1 else 1
         if bands * rows <= most:
             best = (bands, rows)
     return best

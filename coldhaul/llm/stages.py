@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldhaul.llm import mixing, quality
+from coldhaul.llm import mixing, neardup, packing, quality, suffixes
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base and every rule of the threshold table, unchanged."""
-    m = quality.measures(F.col("text"))
-    return docs.withColumn("_m", m).filter(quality.passes(F.col("_m"))).select(*docs.columns)
+    return docs.filter(quality.passes(quality.measures(F.col("text"))))
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, unchanged."""
+    return neardup.first_of_each(docs)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that repeat."""
+    return suffixes.without_repeats(docs)
 
 
 def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,4 +28,10 @@ def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("mixing", mixing_weights)]
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The packed pieces of all documents."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("quality_rules", quality_rules), ("ngram_jaccard_join", ngram_jaccard_join),
+          ("suffix_array_dedup", suffix_array_dedup), ("mixing", mixing_weights), ("best_fit_packing", best_fit_packing)]

@@ -157,7 +157,7 @@ def _visit(width: int, k: int):
     def met(row, ids: np.ndarray, x: np.ndarray, annulus) -> list[tuple]:
         asked, q = np.frombuffer(row.q_ids, dtype=np.int64), np.frombuffer(row.q_x).reshape(-1, width)
         reached = np.frombuffer(row.q_reached)
-        far = np.frombuffer(row.q_far).reshape(len(asked), -1)[:, annulus.pivot]
+        far = np.frombuffer(row.q_far).reshape(len(asked), -1)[:, int(annulus.pivot)]
         gap = np.maximum(0, np.maximum(annulus.low - far, far - annulus.high)) * (1 - 1e-9)
         most = ((q * q).sum(axis=1) + annulus.norm2 - gap * gap) / 2
         live = np.flatnonzero(most + 1e-6 >= reached)
