@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from coldhaul.llm import chat, language, licenses, mixing, neardup, packing, quality, sharding, suffixes, topk
+from coldhaul.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +41,8 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(_table(spark, sf_dir, "documents"))
+    judged = quality.judge(_table(spark, sf_dir, "documents"))
+    return judged.withColumn("failed_rules", F.array_join("failed_rules", " "))
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,5 +66,3 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_formatting, op2_mixing, op3_sharding, op4_exact_top_k, op5_suffix_array_dedup, op6_quality_rules,
                                 op7_ngram_jaccard_join, op8_best_fit_packing, op9_license_scans, op10_language_id)}
-
-ORACLE_SQL: dict[str, str] = {}

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldhaul.llm import mixing, neardup, packing, quality, suffixes
+from coldhaul.llm.common import bound
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base and every rule of the threshold table, unchanged."""
-    return docs.filter(quality.passes(quality.measures(F.col("text"))))
+    return docs.filter(bound(quality.measures(F.col("text")), quality.passes))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
