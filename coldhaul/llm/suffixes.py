@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coldhaul.llm.shingles import chunks, mixed
@@ -240,30 +240,29 @@ def _find_repeats(length: int):
     return of
 
 
-def _bytes() -> Column:
-    return F.coalesce(F.col("text"), F.lit("")).cast("binary")
-
-
 def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     """Rows are told apart by id and text: ``_id`` is the id or a mark for null, ``_hash`` a hash of the text."""
-    return docs.select(*columns, F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"),
-                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"), _bytes().alias("bytes"))
+    return docs.select(*[F.col(c).alias(f"_of_{c}") for c in columns], F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"),
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"), F.col("text").cast("binary").alias("bytes"))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(_id, _hash, spans): for each text with repeated bytes, the [begin, end) ranges that cover them, maybe overlapping."""
-    texts = keyed(docs)
-    anchors = cut(texts.filter(F.octet_length("bytes") >= length).mapInPandas(
+def with_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Add ``spans`` to ``keyed`` texts: the [begin, end) ranges of the repeated bytes, maybe overlapping, or null.
+
+    Both joins with the texts read all their columns, so that the texts are shuffled once for both.
+    """
+    anchors = cut(texts.filter(F.octet_length("bytes") >= length).select("_id", "_hash", "bytes").mapInPandas(
         _find_anchors(length), "_id long, _hash long, anchor long, first int, last int"), "anchors")
     twice = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     # equal rows have one set of runs, but each brings its passages, so they repeat each other
     runs = (anchors.join(twice, "anchor").groupBy("_id", "_hash")
             .agg(F.collect_set(F.struct("anchor", "first", "last")).alias("runs")))
-    held = texts.join(runs, ["_id", "_hash"])
-    passages = held.mapInPandas(_cut_passages(length), "anchor long, _id long, _hash long, first int, starts int, passage binary")
+    passages = texts.join(runs, ["_id", "_hash"]).mapInPandas(
+        _cut_passages(length), "anchor long, _id long, _hash long, first int, starts int, passage binary")
     found = passages.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(
         _find_repeats(length), "_id long, _hash long, begin int, end int")
-    return found.groupBy("_id", "_hash").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    spans = found.groupBy("_id", "_hash").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    return texts.join(spans, ["_id", "_hash"], "left")
 
 
 def _merged_spans(spans) -> list[tuple[int, int]]:
@@ -285,11 +284,11 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for text, spans in zip(batch["bytes"], batch["spans"]):
-            merged = _merged_spans(spans)
+            text, merged = text or b"", _merged_spans(spans)
             out.append((len(text), sum(e - b for b, e in merged), len(merged),
                         hashlib.sha256(_kept(text, merged)).hexdigest()))
         frame = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
-        frame.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
+        frame.insert(0, "doc_id", batch["_id"].astype("Int64").mask(batch["_id"] == NO_ID))
         yield frame
 
 
@@ -300,8 +299,7 @@ def removal_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     judged on the input. A null text counts as empty; shorter texts keep all. Equal rows are documents of their
     own, so each repeats the other. An empty table gives no rows; other columns are ignored.
     """
-    spans = repeated_spans(docs, length)
-    return keyed(docs, "doc_id").join(spans, ["_id", "_hash"], "left").select("doc_id", "bytes", "spans").mapInPandas(
+    return with_spans(keyed(docs), length).mapInPandas(
         _digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -319,19 +317,16 @@ def _cut_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 whole.append((begin, end))
             merged = _merged_spans([{"begin": b, "end": e} for b, e in whole])
             texts.append(_kept(text, merged).decode("utf-8", "replace"))
-        yield batch.drop(columns=["bytes", "spans"]).assign(_kept=texts)
+        yield batch.drop(columns=["_id", "_hash", "bytes", "spans"]).assign(_kept=texts)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents with repeated bytes cut out of their texts; ``n_chars`` follows. Other texts stay as they are."""
-    spans = repeated_spans(docs, length)
-    marked = (docs.withColumns({"_id": F.coalesce("doc_id", F.lit(NO_ID)),
-                                "_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
-              .join(spans, ["_id", "_hash"], "left"))
-    same = marked.filter("spans IS NULL").select(*docs.columns)
     rest = [c for c in docs.columns if c != "text"]
-    changed = marked.filter("spans IS NOT NULL").select(*rest, _bytes().alias("bytes"), "spans")
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest) + ", _kept string"
-    cut_out = changed.mapInPandas(_cut_texts, schema).withColumn("text", F.col("_kept")).withColumn(
-        "n_chars", F.length("text").cast("long"))
-    return same.unionByName(cut_out.select(*docs.columns))
+    marked = with_spans(keyed(docs, *rest), length)
+    back = [F.col(f"_of_{c}").alias(c) for c in rest]
+    same = marked.filter("spans IS NULL").select(*back, F.col("bytes").cast("string").alias("text"))
+    schema = ", ".join(f"`_of_{c}` {docs.schema[c].dataType.simpleString()}" for c in rest) + ", _kept string"
+    changed = marked.filter("spans IS NOT NULL").mapInPandas(_cut_texts, schema).select(*back, F.col("_kept").alias("text"))
+    changed = changed.withColumn("n_chars", F.length("text").cast("long"))
+    return same.select(*docs.columns).unionByName(changed.select(*docs.columns))
