@@ -73,13 +73,20 @@ def minute_index(ts: Column | str) -> Column:
     return F.unix_date(F.to_date(t)).cast("bigint") * 1440 + F.hour(t) * 60 + F.minute(t)
 
 
+def number(c: Column | str, kind: str = "double") -> Column:
+    """A text or number as ``kind``; null if it is malformed, out of range or not a number."""
+    value = _col(c).try_cast(kind)
+    return F.when(~F.isnan(value), value) if kind in ("double", "float") else value
+
+
 def reading(c: Column | str) -> Column:
-    return _col(c).cast(READING)
+    """One sensor reading; null if it is out of range."""
+    return _col(c).try_cast(READING)
 
 
 def amount(c: Column) -> Column:
-    """Round half up to two decimals."""
-    return F.round(c, 2).cast(AMOUNT)
+    """Round half up to two decimals; null if out of range."""
+    return F.round(c, 2).try_cast(AMOUNT)
 
 
 def rounded_ratio(total: Column, count: Column, digits: int) -> Column:
@@ -89,11 +96,11 @@ def rounded_ratio(total: Column, count: Column, digits: int) -> Column:
 
 
 def raw_fuel_cost(litres: Column | str) -> Column:
-    return _col(litres).cast(AMOUNT) * F.lit(DIESEL_EGP_PER_L).cast("decimal(6,2)")
+    return _col(litres).try_cast(AMOUNT) * F.lit(DIESEL_EGP_PER_L).cast("decimal(6,2)")
 
 
 def raw_surcharge(kg: Column | str) -> Column:
-    return _col(kg).cast(AMOUNT) * F.lit(SURCHARGE_EGP_PER_KG).cast("decimal(6,2)")
+    return _col(kg).try_cast(AMOUNT) * F.lit(SURCHARGE_EGP_PER_KG).cast("decimal(6,2)")
 
 
 def fuel_cost(litres: Column | str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coldhaul import schemas
-from coldhaul.sinks.tables import insert_if_absent, replace_by_key
+from coldhaul.sinks.tables import insert_if_absent
 from coldhaul.sources.files import path_exists
 
 # The stages and the last day of the historical load.
@@ -31,15 +31,6 @@ def next_target_date(checkpoints: DataFrame) -> DataFrame:
     return checkpoints.select("stage_name", F.date_add("last_processed_date", 1).alias("target_date"))
 
 
-def moved(checkpoints: DataFrame, stage: str, day: date, rows: int | None, status: str,
-          run_at: datetime | None = None) -> DataFrame:
-    """The table with one stage set to ``day``; an unknown stage changes nothing."""
-    spark = checkpoints.sparkSession
-    row = spark.createDataFrame([(stage, day, run_at, rows, status)], schemas.CHECKPOINTS)
-    return replace_by_key(checkpoints, row.join(checkpoints.select("stage_name"), "stage_name",
-                                                "left_semi"), "stage_name")
-
-
 def checkpoint_report(checkpoints: DataFrame) -> DataFrame:
     return checkpoints.orderBy("stage_name")
 
@@ -85,6 +76,9 @@ class ControlTable:
         return row["last_processed_date"] + timedelta(days=1)
 
     def _set(self, stage: str, day: date, rows: int | None, status: str) -> None:
+        """Log a stage that the table has; an unknown stage changes nothing."""
+        if self.current().where(F.col("stage_name") == stage).isEmpty():
+            return
         now = datetime.now()
         self._append(self.spark.createDataFrame([(stage, day, now, rows, status)],
                                                 schemas.CHECKPOINTS))

@@ -2,7 +2,9 @@
 
 Zones under one root: ``landing`` (raw tables and messages as they arrive), ``bronze``
 (copied day by day), ``silver`` (clean), ``staging`` (per-trip rollups) and ``gold``.
-Trip-grain tables are partitioned by the day a trip starts, pings by their day.
+Trip-grain tables are partitioned by the day a trip starts. Pings arrive by the date of their message
+and are kept by the day of their event; a daily run merges its arrivals into the event days they
+belong to and rebuilds those days' parts, so late pings count as in a full rebuild.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coldhaul import schemas
+from coldhaul.functions.columns import number
 from coldhaul.operators import quality, rollup
 from coldhaul.operators.asof import match_trips, trip_windows
 from coldhaul.operators.ordered import dedupe_full_row, drop_null_keys
@@ -23,9 +26,9 @@ from coldhaul.plans import gold, silver
 from coldhaul.plans.control import UNKNOWN_ROWS, ControlTable
 from coldhaul.session import cut, together
 from coldhaul.sinks.tables import (
-    copy_partition_forward, merge_partitions, replace_partition, write_overwrite,
-    write_partitioned)
-from coldhaul.sources.files import scan_daily_slice, scan_days
+    copy_partition_forward, in_partitions, merge_partitions, read_partitioned, replace_partition,
+    write_overwrite, write_partitioned)
+from coldhaul.sources.files import path_exists, scan_daily_slice, scan_days
 from coldhaul.streaming.messages import envelope, parse_json
 
 DIMENSIONS = ["vehicles", "drivers", "cargo", "depots", "routes"]
@@ -36,6 +39,14 @@ PING_NUMBERS = {
     "slow": {"fuel_amount_l": "double", "is_door_open": "int", "cargo_temp_c": "double"},
 }
 START = "actual_start_time"
+# the date columns that tables are partitioned by
+PARTITIONS = {("landing", "trips"): "dt", ("landing", "trip_cargo"): "dt",
+              ("silver", "trips"): "start_date", ("silver", "trip_cargo"): "start_date",
+              ("gold", "fct_trip_operations"): "start_date",
+              **{("landing", kind): "ingest_date" for kind in TOPICS},
+              **{("silver", kind): "dt" for kind in TOPICS},
+              **{("staging", f"{kind}_parts"): "dt" for kind in TOPICS},
+              **{("staging", f"trip_{kind}_agg"): "start_date" for kind in ("cargo", "telemetry")}}
 
 
 def clean_pings(envelopes: DataFrame, kind: str) -> DataFrame:
@@ -44,7 +55,7 @@ def clean_pings(envelopes: DataFrame, kind: str) -> DataFrame:
     typed = pings.withColumns({
         "vehicle_id": F.col("vehicle_id").try_cast("bigint"),
         "ts": F.col("timestamp").try_cast("timestamp_ntz"),
-        **{c: F.col(c).try_cast(t) for c, t in PING_NUMBERS[kind].items()}}).drop("timestamp")
+        **{c: number(c, t) for c, t in PING_NUMBERS[kind].items()}}).drop("timestamp")
     return dedupe_full_row(drop_null_keys(typed, ["vehicle_id"]))
 
 
@@ -64,7 +75,10 @@ class Lake:
         return f"{self.root}/{zone}/{table}"
 
     def read(self, zone: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(zone, table))
+        column = PARTITIONS.get((zone, table))
+        if column is None:
+            return self.spark.read.parquet(self.path(zone, table))
+        return read_partitioned(self.spark, self.path(zone, table), column)
 
     def land(self, raw: dict[str, DataFrame], messages: dict[str, DataFrame]) -> None:
         """Put raw tables and messages into the landing zone, trips and pings by day."""
@@ -113,7 +127,8 @@ def backfill_run(lake: Lake, until: date) -> None:
               "drivers": silver.silver_drivers(landed("drivers")),
               "cargo": silver.silver_cargo(landed("cargo")),
               "routes": silver.silver_routes(landed("routes"), landed("depots"))}
-    pings = {kind: clean_pings(landed(kind).where(F.col("ingest_date") <= F.lit(until)), kind)
+    arrived = F.col("ingest_date").isNull() | (F.col("ingest_date") <= F.lit(until))
+    pings = {kind: clean_pings(landed(kind).where(arrived), kind)
              .withColumn("dt", F.to_date("ts")) for kind in TOPICS}
     together(*[partial(write_overwrite, df, lake.path("silver", n)) for n, df in tables.items()],
              *[partial(write_partitioned, df, lake.path("silver", n), "dt") for n, df in pings.items()])
@@ -171,9 +186,14 @@ def _bronze(lake: Lake, name: str, schema: T.StructType, day: date) -> DataFrame
 
 def silver_day(lake: Lake, day: date) -> int:
     rows = 0
+    days = {day}
     for kind in TOPICS:
-        cleaned = clean_pings(_bronze(lake, kind, schemas.ENVELOPE, day), kind)
-        rows += replace_partition(cleaned, lake.path("silver", kind), "dt", day)
+        arrived = cut(clean_pings(_bronze(lake, kind, schemas.ENVELOPE, day), kind)
+                      .withColumn("dt", F.to_date("ts")), "arrivals")
+        rows += arrived.count()
+        days |= merge_pings(lake, kind, arrived)
+    event_days = lake.spark.createDataFrame([(d,) for d in sorted(d for d in days if d)], "event_day date")
+    replace_partition(event_days, lake.path("control", "event_days"), "dt", day)
     trips = silver.silver_trips(_bronze(lake, "trips", schemas.RAW["trips"], day),
                                 *[lake.read("silver", n) for n in ("vehicles", "drivers", "routes")])
     # a trip that arrives again with another start day leaves its old partition
@@ -185,19 +205,46 @@ def silver_day(lake: Lake, day: date) -> int:
     return rows
 
 
-def match_day(lake: Lake, day: date) -> None:
-    """Match the day's pings to trips and store its part of each trip's rollup.
+def merge_pings(lake: Lake, kind: str, arrived: DataFrame) -> set[date | None]:
+    """Add arrivals to the silver partitions of their event days; returns those days.
 
-    Parts add up over days, so a day reads its own pings only.
+    Rows that repeat a stored one go, so doing it again changes nothing. Collected is one date
+    per event day that a day's arrivals have.
     """
-    nxt = day + timedelta(days=1)
-    windows = cut(trip_windows(lake.read("silver", "trips")).where(
-        (F.col("start_ts") < F.lit(str(nxt)).cast("timestamp_ntz"))
-        & (F.col("end_ts") >= F.lit(str(day)).cast("timestamp_ntz"))), "windows-of-day")
+    path = lake.path("silver", kind)
+    days = {r[0] for r in arrived.select("dt").distinct().collect()}
+    if days and path_exists(lake.spark, path):
+        held = lake.read("silver", kind).where(in_partitions("dt", list(days)))
+        arrived = cut(dedupe_full_row(held.unionByName(arrived)), "merged-pings")
+    if days:
+        write_partitioned(arrived, path, "dt", dynamic=True)
+    return days
+
+
+def event_days(lake: Lake, day: date) -> list[date]:
+    """The day itself and the event days of the pings that arrived on it."""
+    schema = T.StructType([T.StructField("event_day", T.DateType()), T.StructField("dt", T.DateType())])
+    rows = lake.spark.read.schema(schema).parquet(lake.path("control", "event_days")).where(F.col("dt") == F.lit(day))
+    return sorted({day, *(r[0] for r in rows.select("event_day").collect())})
+
+
+def match_days(lake: Lake, days: list[date]) -> None:
+    """Match the pings of event days to trips and store the days' parts of each trip's rollup.
+
+    Parts add up over days, so only these days' pings are read. A trip is looked for among those that
+    start up to the last of the days, so later partitions are not read.
+    """
+    after = max(days) + timedelta(days=1)
+    trips = lake.read("silver", "trips").where(F.col("start_date") < F.lit(after))
+    windows = cut(trip_windows(trips).where(
+        F.col("end_ts") >= F.lit(str(min(days))).cast("timestamp_ntz")), "windows-of-day")
     bridge = lake.read("silver", "trip_cargo").join(windows.select("trip_id"), "trip_id", "left_semi")
     bounds = rollup.trip_thermal_bounds(bridge, lake.read("silver", "cargo"))
-    for kind, part in _parts(lake.pings("quick", [day]), lake.pings("slow", [day]), windows, bounds).items():
-        replace_partition(part, lake.path("staging", kind), "dt", day)
+    for name, part in _parts(lake.pings("quick", days), lake.pings("slow", days), windows, bounds).items():
+        part = cut(part, "parts")
+        write_partitioned(part, lake.path("staging", name), "dt", dynamic=True)
+        for emptied in set(days) - {r[0] for r in part.select("dt").distinct().collect()}:
+            replace_partition(part.limit(0), lake.path("staging", name), "dt", emptied)
 
 
 def _parts(quick: DataFrame, slow: DataFrame, windows: DataFrame,
@@ -210,22 +257,23 @@ def _parts(quick: DataFrame, slow: DataFrame, windows: DataFrame,
 
 
 def touched_trips(lake: Lake, day: date) -> DataFrame:
-    """Trips that started on the day or received a ping on it, with their start."""
-    trips = lake.read("silver", "trips")
+    """Trips that started on the day or have pings on its event days, with their start."""
+    days = event_days(lake, day)
+    trips = lake.read("silver", "trips").where(F.col("start_date") <= F.lit(max(days)))
     ids = trips.where(F.col("start_date") == F.lit(day)).select("trip_id")
     for kind in ("quick_parts", "slow_parts"):
-        ids = ids.unionByName(lake.read("staging", kind).where(F.col("dt") == F.lit(day)).select("trip_id"))
+        ids = ids.unionByName(lake.read("staging", kind).where(F.col("dt").isin(days)).select("trip_id"))
     return trips.join(ids.distinct(), "trip_id", "left_semi")
 
 
 def telemetry_day(lake: Lake, day: date) -> int:
     """Store the day's parts, then add up the parts of the trips it touched."""
-    match_day(lake, day)
+    match_days(lake, event_days(lake, day))
     touched = cut(touched_trips(lake, day).select("trip_id", "start_date"), "touched-trips")
     since = touched.agg(F.min("start_date")).first()[0] or day
 
     def parts(kind: str) -> DataFrame:
-        return (lake.read("staging", kind).where(F.col("dt").between(F.lit(since), F.lit(day)))
+        return (lake.read("staging", kind).where(F.col("dt") >= F.lit(since))
                 .join(touched.select("trip_id"), "trip_id", "left_semi"))
 
     rolled = rollup.outer_join_rollups(rollup.quick_totals(parts("quick_parts")),
@@ -248,9 +296,11 @@ def staging_day(lake: Lake, day: date) -> int:
 def gold_day(lake: Lake, day: date) -> int:
     """Merge the facts of the touched trips; the row count is not reported here."""
     touched = cut(touched_trips(lake, day), "touched-trips")
+    first, last = touched.agg(F.min("start_date"), F.max("start_date")).first()
     trips = touched.select("trip_id")
     cargo_agg, telemetry = [
-        lake.read("staging", t).drop("start_date").join(trips, "trip_id", "left_semi")
+        lake.read("staging", t).where(F.col("start_date").between(F.lit(first or day), F.lit(last or day)))
+        .drop("start_date").join(trips, "trip_id", "left_semi")
         for t in ("trip_cargo_agg", "trip_telemetry_agg")]
     merge_partitions(lake.path("gold", "fct_trip_operations"),
                      _fact(touched.drop("start_date"), cargo_agg, telemetry), "trip_sk", "start_date")

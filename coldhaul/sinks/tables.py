@@ -7,12 +7,16 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coldhaul.session import cut
 from coldhaul.sources.files import path_exists, scan_daily_slice
 
 log = logging.getLogger(__name__)
 
+#: The folder value that Hive-style layouts give to rows without a partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation()
@@ -56,13 +60,29 @@ def write_partitioned(df: DataFrame, path: str, column: str, dynamic: bool = Fal
      .partitionBy(column).parquet(path))
 
 
-def replace_partition(day_rows: DataFrame, path: str, column: str, day: date) -> int:
-    """Replace one date partition by ``day_rows``; an empty slice clears it."""
+def replace_partition(day_rows: DataFrame, path: str, column: str, day: date | None) -> int:
+    """Replace one date partition, of undated rows if ``day`` is None; an empty slice clears it."""
     counted, seen = _counted(day_rows.drop(column))
-    counted.write.mode("overwrite").parquet(f"{path}/{column}={day}")
+    counted.write.mode("overwrite").parquet(f"{path}/{column}={NULL_PARTITION if day is None else day}")
     return seen.get["rows"]
 
 
+def read_partitioned(spark: SparkSession, path: str, column: str, kind: T.DataType | None = None) -> DataFrame:
+    """A partitioned table with all columns of its files and a declared type (a date) of the partition column.
+
+    Spark would guess that type from the folder names, of which a single odd one makes all of them strings.
+    """
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    fields = [f for f in found if f.name != column]
+    return spark.read.schema(T.StructType([*fields, T.StructField(column, kind or T.DateType())])).parquet(path)
+
+
+def in_partitions(column: str, values: list) -> Column:
+    """Whether the partition value is one of ``values``, null among them if None is; prunes the scan."""
+    dated = F.col(column).isin([v for v in values if v is not None])
+    return (dated | F.col(column).isNull()) if None in values else dated
+
+
 def copy_partition_forward(spark: SparkSession, src: str, dst: str, schema, column: str,
                            day: date, to_column: str = "dt") -> int:
     """Copy one date's rows to the next zone and return how many there were."""
@@ -105,8 +125,8 @@ def merge_by_key(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
 def merge_partitions(path: str, updates: DataFrame, key: str, part: str) -> None:
     """Merge into a table partitioned by ``part``, rewriting only the touched partitions.
 
-    Touched are the partitions of the updates and those where their keys lie now. The
-    merged rows are written to the shared folder first, so the table is never read and
+    Touched are the partitions of the updates and those where their keys lie now; rows without a
+    partition value are a partition like any other. The merged rows are written to the shared folder first, so the table is never read and
     overwritten by the same job.
     """
     spark = updates.sparkSession
@@ -114,11 +134,11 @@ def merge_partitions(path: str, updates: DataFrame, key: str, part: str) -> None
     if not path_exists(spark, path):
         write_partitioned(updates, path, part)
         return
-    target = spark.read.option("mergeSchema", True).parquet(path)
+    target = read_partitioned(spark, path, part, updates.schema[part].dataType)
     held = target.join(updates.select(key), key, "left_semi").select(part)
     # one row per touched date at most
     touched = [r[0] for r in held.unionByName(updates.select(part)).distinct().collect()]
-    merged = cut(merge_by_key(target.where(F.col(part).isin(touched)), updates, key), "merge")
+    merged = cut(merge_by_key(target.where(in_partitions(part, touched)), updates, key), "merge")
     write_partitioned(merged, path, part, dynamic=True)
     filled = {r[0] for r in merged.select(part).distinct().collect()}
     for emptied in set(touched) - filled:
@@ -126,14 +146,18 @@ def merge_partitions(path: str, updates: DataFrame, key: str, part: str) -> None
 
 
 def upsert_positions(status: DataFrame, latest: DataFrame) -> DataFrame:
-    """New positions move known vehicles and keep their colour; new vehicles start WHITE / OK."""
+    """New positions move known vehicles and keep their colour; new vehicles start WHITE / OK.
+
+    A position older than the stored one, or without a time, comes too late and moves nothing.
+    """
     new = latest.select("vehicle_id", *[F.col(c).alias(f"_{c}")
                                         for c in ("lat", "lon", "event_time")])
+    newer = F.col("last_event_time").isNull() | F.coalesce(F.col("_event_time") >= F.col("last_event_time"), F.lit(False))
+    moved = F.col("_lat").isNotNull() & (F.col("lat").isNull() | newer)
     return status.join(new, "vehicle_id", "full_outer").select(
         "vehicle_id",
-        F.coalesce("_lat", "lat").alias("lat"),
-        F.coalesce("_lon", "lon").alias("lon"),
-        F.when(F.col("_lat").isNotNull(), F.col("_event_time"))
-        .otherwise(F.col("last_event_time")).alias("last_event_time"),
+        F.when(moved, F.col("_lat")).otherwise(F.col("lat")).alias("lat"),
+        F.when(moved, F.col("_lon")).otherwise(F.col("lon")).alias("lon"),
+        F.when(moved, F.col("_event_time")).otherwise(F.col("last_event_time")).alias("last_event_time"),
         F.coalesce("incident_color", F.lit("WHITE")).alias("incident_color"),
         F.coalesce("incident_label", F.lit("OK")).alias("incident_label"))

@@ -71,17 +71,17 @@ def scan_daily_slice(spark: SparkSession, path: str, schema: T.StructType, colum
 
 
 def scan_sharded_by_vehicle(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """One CSV per vehicle, the vehicle number taken from the file name."""
+    """One CSV per vehicle, the vehicle number taken from the file name; null under another name."""
     return (spark.read.schema(schema).csv(f"{folder}/*.csv", header=True, enforceSchema=False)
             .withColumn("vehicle_id", F.regexp_extract(
-                F.col("_metadata.file_name"), r"^(\d+)", 1).cast("bigint")))
+                F.col("_metadata.file_name"), r"^(\d+)", 1).try_cast("bigint")))
 
 
 def scan_vehicle_folders(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """CSV files in one ``shard=<vehicle>`` folder per vehicle, as Spark writes them."""
     return (spark.read.schema(schema).csv(f"{folder}/shard=*", header=True, enforceSchema=False)
             .withColumn("vehicle_id", F.regexp_extract(
-                F.col("_metadata.file_path"), r"shard=(\d+)/", 1).cast("bigint")))
+                F.col("_metadata.file_path"), r"shard=(\d+)/", 1).try_cast("bigint")))
 
 
 def register_sources(spark: SparkSession, tables: dict[str, DataFrame], prefix: str = "stg_") -> None:

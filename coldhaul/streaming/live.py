@@ -20,13 +20,13 @@ def live_windows(trips: DataFrame, trip_cargo: DataFrame, cargo: DataFrame,
                  fleet_size: int | None = None) -> DataFrame:
     """Active-trip windows by day, with driver, cargo type and bounds.
 
-    Half-dated trips are skipped.
+    Half-dated trips are skipped. Windows reach to tomorrow at most: a live message is not stamped later.
     """
     if fleet_size is not None:
         trips = trips.where(F.col("vehicle_id") < fleet_size)
     dated = trips.where(F.col("actual_end_time").isNotNull())
     bounded = bounded_trips(dated, trip_thermal_bounds(trip_cargo, cargo))
-    return window_days(trip_windows(bounded, EXTRAS))
+    return window_days(trip_windows(bounded, EXTRAS), last=F.date_add(F.current_date(), 1))
 
 
 def attach_trip(pings: DataFrame, days: DataFrame) -> DataFrame:

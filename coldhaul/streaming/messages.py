@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coldhaul import schemas
-from coldhaul.functions.columns import tolerant_timestamp
+from coldhaul.functions.columns import number, tolerant_timestamp
 
 
 def json_payload(df: DataFrame, allowed: list[str]) -> DataFrame:
@@ -56,9 +58,12 @@ def parse_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
 
 
 def _numbers(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
-    """Cast required numbers, and skip rows where one of them is missing or malformed."""
-    return (df.withColumns({c: F.col(c).try_cast(kind) for c, kind in kinds.items()})
-            .dropna(subset=list(kinds)))
+    """Cast required numbers, and skip rows where one of them is missing or malformed.
+
+    NaN is a number that says nothing: the row stays, and the reading is null.
+    """
+    there = reduce(lambda a, b: a & b, [F.col(c).try_cast(kind).isNotNull() for c, kind in kinds.items()])
+    return df.where(there).withColumns({c: number(c, kind) for c, kind in kinds.items()})
 
 
 def typed_quick(pings: DataFrame) -> DataFrame:

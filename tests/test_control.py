@@ -32,12 +32,19 @@ def test_seed_keeps_existing_rows(spark):
     seeded = control.checkpoints_seed(existing)
     assert values(control.next_target_date(seeded)) == sorted(
         (s, date(2024, 1, 2) if s == "silver" else NEXT) for s in control.STAGES)
-    moved = control.moved(seeded, "dbt", NEXT, control.UNKNOWN_ROWS, "success")
-    assert values(moved.where("stage_name = 'dbt'"), "last_processed_date", "rows_processed") == [(NEXT, -1)]
-    assert values(control.moved(seeded, "none", NEXT, 1, "success")) == values(seeded)
     assert [r.stage_name for r in control.checkpoint_report(seeded).collect()] == sorted(control.STAGES)
 
 
+def test_unknown_stage_changes_nothing(table):
+    table.ensure()
+    before = values(table.current())
+    table.advance("typo", NEXT, 1)
+    table.rewind("typo", NEXT)
+    assert values(table.current()) == before
+    table.advance("dbt", NEXT, control.UNKNOWN_ROWS)
+    assert values(table.current().where("stage_name = 'dbt'"), "last_processed_date", "rows_processed") == [(NEXT, -1)]
+
+
 def test_failed_stage_keeps_its_date(spark, monkeypatch):
     lake = daily.Lake(spark, scratch_path(spark, "lake"), control.BACKFILL_END)
 

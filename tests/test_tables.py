@@ -36,6 +36,30 @@ def test_merge_moves_updates_and_inserts(spark):
     assert values(merged, "k", "extra") == [(1, None), (2, None), (3, None), (4, "x")]
 
 
+def test_merge_keeps_and_moves_rows_without_a_partition(spark):
+    path = scratch_path(spark, "merge-null")
+    tables.merge_partitions(path, facts(spark, [*BASE, (7, "x", None), (8, "y", None)]), "k", "d")
+    for _ in range(2):
+        tables.merge_partitions(path, facts(spark, [(9, "new", None)]), "k", "d")
+        assert values(tables.read_partitioned(spark, path, "d"), "k") == [(1,), (2,), (3,), (7,), (8,), (9,)]
+    for _ in range(2):
+        tables.merge_partitions(path, facts(spark, [(7, "dated", DAY), (8, "dated", DAY), (9, "dated", DAY)]), "k", "d")
+        merged = tables.read_partitioned(spark, path, "d")
+        assert merged.schema["d"].dataType.typeName() == "date"
+        assert values(merged, "k", "v", "d") == sorted(
+            [(1, "a", date(2024, 3, 1)), (2, "b", DAY), (3, "c", DAY), *[(k, "dated", DAY) for k in (7, 8, 9)]], key=repr)
+
+
+def test_a_late_position_moves_nothing(spark):
+    status = spark.createDataFrame([(1, 1.0, 2.0, t("10:05"), "RED", "DOOR_OPEN"), (2, 1.0, 2.0, None, "WHITE", "OK")],
+                                   "vehicle_id long, lat double, lon double, last_event_time timestamp_ntz, "
+                                   "incident_color string, incident_label string")
+    latest = spark.createDataFrame([(1, 9.0, 9.0, t("10:00")), (2, 3.0, 3.0, t("10:00")), (3, 4.0, 4.0, None)],
+                                   "vehicle_id long, lat double, lon double, event_time timestamp_ntz")
+    assert values(tables.upsert_positions(status, latest), "vehicle_id", "lat", "last_event_time", "incident_color") == [
+        (1, 1.0, t("10:05"), "RED"), (2, 3.0, t("10:00"), "WHITE"), (3, 4.0, None, "WHITE")]
+
+
 def test_replace_partition_is_repeatable_and_clears(spark):
     path = scratch_path(spark, "replace")
     facts(spark, BASE).write.partitionBy("d").parquet(path)
