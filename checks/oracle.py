@@ -127,7 +127,9 @@ PIECES["r_trip_cargo"] = """
 # ---- clean layer ----
 
 PIECES["s_vehicles"] = """
-  SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY model NULLS FIRST,
+  SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY (model IS NULL)::INT
+      + (payload_capacity IS NULL)::INT + (tank_capacity_l IS NULL)::INT + (fuel_type IS NULL)::INT
+      + (current_mileage IS NULL)::INT, model NULLS FIRST,
       payload_capacity NULLS FIRST, tank_capacity_l NULLS FIRST, fuel_type NULLS FIRST,
       current_mileage NULLS FIRST) AS rn
     FROM (SELECT TRY_CAST(vehicle_id AS BIGINT) AS vehicle_id, trim(model) AS model,
@@ -136,7 +138,8 @@ PIECES["s_vehicles"] = """
       TRY_CAST(current_mileage AS DOUBLE) AS current_mileage FROM r_vehicles)) WHERE rn = 1"""
 
 PIECES["s_drivers"] = """
-  SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY first_name NULLS FIRST,
+  SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY (first_name IS NULL)::INT
+      + (last_name IS NULL)::INT + (license_class IS NULL)::INT + (phone_number IS NULL)::INT, first_name NULLS FIRST,
       last_name NULLS FIRST, license_class NULLS FIRST, phone_number NULLS FIRST) AS rn
     FROM (SELECT TRY_CAST(driver_id AS BIGINT) AS driver_id, trim(first_name) AS first_name,
       trim(last_name) AS last_name, trim(license_class) AS license_class,
@@ -618,8 +621,8 @@ QUERIES: dict[str, str] = {
     "advance_checkpoint": ADVANCED,
     "rewind_checkpoint": control("2024-01-12", "CAST(NULL AS BIGINT)", "rewound"),
     "checkpoint_report": ADVANCED,
-    "backfill_run": FACT % "l",
-    "daily_run": FACT % "l",
+    "backfill_pipeline": FACT % "l",
+    "daily_pipeline": FACT % "l",
     "dq_gate": violations(),
     "row_loss_report": """SELECT count(*) AS rows_before, count(*) FILTER (ok) AS rows_after,
         count(*) FILTER (NOT ok) AS rows_dropped FROM (SELECT vehicle_id IS NOT NULL

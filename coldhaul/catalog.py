@@ -133,7 +133,7 @@ def newest(feed: DataFrame):
 
 
 def batch_status(fleet: FleetData) -> DataFrame:
-    feed = cut(batch_feed(fleet), "feed")
+    feed = batch_feed(fleet)
     return live.vehicle_status(live.latest_position(quick_pings(fleet)), feed, newest(feed),
                                STATUS_WINDOW)
 
@@ -203,9 +203,10 @@ def scan_daily_slice(fleet):
 
 @query
 def scan_sharded_by_vehicle(fleet):
+    """One folder per vehicle: Spark names folders, not files, so the reader of folders is checked here."""
     path = scratch_path(fleet.spark, "shards")
     pings = fleet.slow().withColumn("shard", F.col("vehicle_id"))
-    pings.repartition("shard").write.partitionBy("shard").csv(path, header=True)
+    pings.hint("rebalance", F.col("shard")).write.partitionBy("shard").csv(path, header=True)
     rows = files.scan_vehicle_folders(fleet.spark, path, schemas.strings(
         "vehicle_id", "sensor_id", "ts", "fuel_amount_l", "is_door_open", "cargo_temp_c"))
     return rows.select("vehicle_id", "sensor_id",
@@ -220,7 +221,8 @@ def _time_slices(fleet: FleetData, kind: str) -> list[DataFrame]:
     marks = [first + step * i for i in range(STREAM_SLICES)] + [last + timedelta(seconds=1)]
     t = F.col("timestamp")
     marks = [F.lit(str(m)).cast("timestamp_ntz") for m in marks]
-    return [rows.where((t >= a) & (t < b)) for a, b in zip(marks, marks[1:])]
+    slices = [rows.where((t >= a) & (t < b)) for a, b in zip(marks, marks[1:])]
+    return [rows.where(t.isNull()).unionByName(slices[0]), *slices[1:]]
 
 
 def _replay(fleet: FleetData, kinds: list[str], start: Callable[[dict[str, DataFrame]], list]) -> None:
@@ -602,7 +604,7 @@ def in_list(fleet):
 
 @query
 def recent_window_filter(fleet):
-    feed = cut(batch_feed(fleet), "feed")
+    feed = batch_feed(fleet)
     return live.recent(feed, newest(feed), STATUS_WINDOW).select("sensor_id", "incident_type", "detected_at")
 
 
@@ -684,7 +686,7 @@ def _stale_status(fleet: FleetData) -> DataFrame:
 
 
 def _recent_worst(fleet: FleetData) -> DataFrame:
-    feed = cut(batch_feed(fleet), "feed")
+    feed = batch_feed(fleet)
     return live.highest_severity(live.recent(feed, newest(feed), STATUS_WINDOW))
 
 
@@ -1039,7 +1041,7 @@ def vehicle_status(fleet):
 
 @query
 def refresh_colours(fleet):
-    feed = cut(batch_feed(fleet), "feed")
+    feed = batch_feed(fleet)
     return live.refresh_colours(_stale_status(fleet), feed, newest(feed), STATUS_WINDOW)
 
 
@@ -1116,12 +1118,12 @@ def _lake(fleet: FleetData, until: date) -> daily.Lake:
 
 
 @query
-def backfill_run(fleet):
+def backfill_pipeline(fleet):
     return _lake(fleet, _backfill_end(fleet)).fact()
 
 
 @query
-def daily_run(fleet):
+def daily_pipeline(fleet):
     """Backfill all but the last day with trips, then run that day."""
     last = _backfill_end(fleet)
     lake = _lake(fleet, last - timedelta(days=1))
@@ -1131,9 +1133,9 @@ def daily_run(fleet):
 
 @query
 def dq_gate(fleet):
-    return quality.summary({"dim_vehicles": vehicle_dim(fleet), "dim_drivers": driver_dim(fleet),
-                            "dim_routes": route_dim(fleet),
-                            "fct_trip_operations": cut(fact(fleet), "fact")})
+    models = {"dim_vehicles": vehicle_dim(fleet), "dim_drivers": driver_dim(fleet), "dim_routes": route_dim(fleet),
+              "fct_trip_operations": fact(fleet)}
+    return quality.summary({name: cut(df, name) for name, df in models.items()})
 
 
 @query

@@ -9,7 +9,7 @@ at most one partner.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coldhaul.operators.ordered import next_value
@@ -28,20 +28,30 @@ def trip_windows(trips: DataFrame, extras: list[str] | None = None) -> DataFrame
     return following.where(F.col("next_start").isNull() | (F.col("next_start") > F.col("start_ts")))
 
 
-def window_days(windows: DataFrame) -> DataFrame:
-    """One row per window and calendar day it covers, as ``_day``.
+def window_days(windows: DataFrame, first: Column | None = None, last: Column | None = None) -> DataFrame:
+    """One row per window and calendar day it covers, as ``_day``, from ``first`` to ``last`` if given.
 
     Windows of a vehicle are disjoint, so this yields at most one row per window plus one
-    per vehicle and day, however long a single window is.
+    per vehicle and day. The last window of a vehicle is bounded by nothing but its end, which may be
+    wrong by millennia; ``last`` bounds it.
     """
-    last = F.least("end_ts", "next_start")
-    return (windows.where(F.col("end_ts") >= F.col("start_ts"))
-            .withColumn("_day", F.explode(F.sequence(
-                F.to_date("start_ts"), F.to_date(last), F.expr("INTERVAL 1 DAY")))))
+    begin, end = F.to_date("start_ts"), F.to_date(F.least("end_ts", "next_start"))
+    if first is not None:
+        begin = F.greatest(begin, first)
+    if last is not None:
+        end = F.least(end, last)
+    return (windows.where(F.col("end_ts") >= F.col("start_ts")).withColumns({"_begin": begin, "_end": end})
+            .where(F.col("_end") >= F.col("_begin"))
+            .withColumn("_day", F.explode(F.sequence("_begin", "_end", F.expr("INTERVAL 1 DAY"))))
+            .drop("_begin", "_end"))
 
 
 def match_trips(pings: DataFrame, windows: DataFrame, ts: str, how: str = "inner") -> DataFrame:
-    return match_window_days(pings, window_days(windows), ts, how)
+    """Match over the days that have pings between the first and the last of them."""
+    span = pings.agg(F.min(F.to_date(ts)).alias("first"), F.max(F.to_date(ts)).alias("last"))
+    never = F.lit("0001-01-01").cast("date")
+    first, last = [F.coalesce(span.select(c).scalar(), never) for c in ("first", "last")]
+    return match_window_days(pings, window_days(windows, first, last), ts, how)
 
 
 def match_window_days(pings: DataFrame, days: DataFrame, ts: str, how: str = "inner") -> DataFrame:

@@ -12,42 +12,53 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coldhaul.functions.columns import minute_index
 from coldhaul.session import cut
 
 NO_CHUNK = -(2**62)
+#: Rows without a timestamp are chunked by so many leading characters, or so many numbers, of the tie-breaker.
+TIE_CHARACTERS = 6
+TIE_NUMBERS = 4096
 
 
 def time_chunk(ts: str, minutes: int) -> Column:
-    """Chunk number of a timestamp; rows without one share a chunk that sorts first."""
+    """Chunk number of a timestamp; rows without one share a number that sorts first."""
     return F.coalesce(F.floor(minute_index(ts) / minutes).cast("bigint"), F.lit(NO_CHUNK))
 
 
+def _chunk(df: DataFrame, keys: list[str], ts: str, tie: list[str], minutes: int) -> Column:
+    """Key and time chunk; rows without a timestamp are split further, in the order of the first tie-breaker.
+
+    A struct is never null itself, so that joining by it adds no filter on either side.
+    """
+    text = not tie or isinstance(df.schema[tie[0]].dataType, T.StringType)
+    first = F.col(tie[0]) if tie else F.lit("")
+    part = F.substring(first, 1, TIE_CHARACTERS) if text else F.floor(first / TIE_NUMBERS).cast("bigint")
+    unsplit = F.lit("") if text else F.lit(NO_CHUNK)
+    return F.struct(*keys, time_chunk(ts, minutes).alias("_time"),
+                    F.coalesce(F.when(F.col(ts).isNull(), part), unsplit).alias("_tie"))
+
 
 def _neighbour(df: DataFrame, keys: list[str], ts: str, tie: list[str], value: str, out: str,
                minutes: int, ahead: bool) -> DataFrame:
-    order = [ts, *tie]
-    chunked = df.withColumn("_chunk", time_chunk(ts, minutes))
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    shift = F.lead if ahead else F.lag
-    if value == ts:
-        edge = F.min(value) if ahead else F.max(value)
-    else:
-        edge = (F.min_by if ahead else F.max_by)(value, F.struct(*order) if tie else F.col(ts))
-
-    edges = chunked.groupBy(*keys, "_chunk").agg(edge.alias("_edge"))
-    carried = edges.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_chunk").alias("_k_chunk"),
-        shift("_edge").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_carry"))
-
-    shifted = (chunked
-               .withColumn("_inner", shift(value).over(inside))
-               .withColumn("_at_edge", shift(F.lit(True)).over(inside).isNull()))
-    match = reduce(lambda a, b: a & b,
-                   [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys],
-                   F.col("_chunk") == F.col("_k_chunk"))
-    return (shifted.join(carried, match, "left")
+    """One window per (key, chunk) marks the rows at the edges; only those are looked at across chunks.
+
+    Both uses of the window read all columns, so they share its exchange and the scan under it, and the join's
+    key is the window's, without null-safe equality that would shuffle again.
+    """
+    inside = Window.partitionBy("_chunk").orderBy(ts, *tie)
+    here, there = (F.lead, F.lag) if ahead else (F.lag, F.lead)
+    shifted = df.withColumn("_chunk", _chunk(df, keys, ts, tie, minutes)).withColumns({
+        "_inner": here(value).over(inside),
+        "_at_edge": here(F.lit(True)).over(inside).isNull(),
+        "_at_end": there(F.lit(True)).over(inside).isNull()})
+    # the row that the next chunk over looks back to; one per chunk, whole so that no column is pruned below
+    edges = shifted.where("_at_end").groupBy("_chunk").agg(F.first(F.struct(*df.columns)).alias("_row"))
+    across = Window.partitionBy(*[F.col("_chunk")[k] for k in keys]).orderBy("_chunk")
+    carried = edges.select("_chunk", here(F.col("_row")[value]).over(across).alias("_carry"))
+    return (shifted.join(carried, "_chunk", "left")
             .withColumn(out, F.when(F.col("_at_edge"), F.col("_carry")).otherwise(F.col("_inner")))
             .select(*df.columns, out))
 
@@ -65,13 +76,14 @@ def next_value(df: DataFrame, keys: list[str], ts: str, tie: list[str], value: s
 
 
 def dedupe_by_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key: the smallest row over all remaining columns, nulls first.
+    """One row per key: the one with most values, and of those the smallest over all remaining columns.
 
     The survivor depends only on the data, and the minimum is combined map-side, so a key
     repeated in a third of all rows costs one row per map task in the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+    empty = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in rest], F.lit(0))
+    best = df.groupBy(*keys).agg(F.min(F.struct(empty.alias("_empty"), *rest)).alias("_row"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
                          for c in df.columns])
 

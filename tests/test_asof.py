@@ -4,8 +4,8 @@ from datetime import timedelta
 from conftest import t, trips, values
 from pyspark.sql import functions as F
 
-from coldhaul.operators.asof import match_trips, trip_windows
-from coldhaul.operators.ordered import next_value, previous_value, resequence
+from coldhaul.operators.asof import match_trips, trip_windows, window_days
+from coldhaul.operators.ordered import _chunk, next_value, previous_value, resequence, top_rows
 
 PLANNED = [(1, 0, "08:00", "10:00"), (2, 0, "09:00", "09:30"), (3, 0, "11:00", "12:00"),
            (4, 0, "11:00", "12:00")]
@@ -71,7 +71,44 @@ def test_neighbours_cross_chunks_and_keep_nulls(spark):
     assert [r.n for r in nxt.orderBy("id").collect()] == [None, 7, 8, None, None, None]
 
 
+def test_rows_without_a_timestamp_do_not_share_a_chunk(spark):
+    rows = [("a", None, f"S{i:06d}", float(i)) for i in range(300)] + [("a", t("08:00"), "S000001", -1.0)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, id string, v double")
+    prev = previous_value(df, ["k"], "ts", ["id"], "v", "p")
+    found = {(r.ts, r.id): r.p for r in prev.collect()}
+    assert all(found[None, f"S{i:06d}"] == (float(i - 1) if i else None) for i in range(300))
+    assert found[t("08:00"), "S000001"] == 299.0
+    chunks = df.select(_chunk(df, ["k"], "ts", ["id"], 10).alias("c")).distinct().count()
+    assert chunks == 31
+
+
+def test_neighbours_take_one_exchange_of_the_rows(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(f"v{i % 9}", t("08:00") + timedelta(minutes=i), f"S{i}", float(i), "x" * 20)
+                           for i in range(500)], "k string, ts timestamp_ntz, id string, v double, other string").write.parquet(path)
+    df = previous_value(spark.read.parquet(path), ["k"], "ts", ["id"], "v", "p")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Scan parquet") == 1 and final.count("ReusedExchange") == 1
+
+
+def test_a_trip_that_ends_in_9999_covers_the_days_of_the_pings(spark):
+    windows = trip_windows(trips(spark, [(1, 0, "08:00", "9999-01-01 00:00:00")]))
+    assert window_days(windows, last=F.lit("2024-03-05").cast("date")).count() == 5
+    df = pings(spark, [(0, "07:00"), (0, "09:00"), (0, "2024-03-20 10:00:00")])
+    assert values(match_trips(df, windows, "ts"), "sensor_id", "trip_id") == [("S1", 1), ("S2", 1)]
+    assert match_trips(df.limit(0), windows, "ts").count() == 0
+
+
 def test_resequence_is_a_total_numbering(spark):
     df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("k"), "id").repartition(7)
     out = resequence(df, ["k", "id"], "n").orderBy("k", "id").collect()
     assert [r.n for r in out] == list(range(1000))
+
+
+def test_top_rows_come_in_order(spark):
+    df = spark.range(500).select(((F.col("id") * 7919) % 1000).alias("k")).repartition(6)
+    assert [r.k for r in top_rows(df, [F.col("k").desc()], 3).collect()] == sorted(
+        [(i * 7919) % 1000 for i in range(500)], reverse=True)[:3]
+    assert [r.k for r in df.orderBy("k").collect()] == sorted((i * 7919) % 1000 for i in range(500))

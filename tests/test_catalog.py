@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 SOME = ["asof_trip_match", "trip_telemetry_agg", "silver_trips", "silver_trip_cargo", "dedupe_by_key",
         "fct_trip_operations", "dim_date", "q1_1_dangerous_drivers", "q2_2_mileage_wear", "q5_2_net_profit",
         "incident_feed", "refresh_colours", "resequence_ids", "status_distribution", "row_loss_report", "dq_gate",
-        "merge_fact", "stream_static_asof", "fuel_drop_state", "advance_checkpoint", "daily_run"]
+        "merge_fact", "stream_static_asof", "fuel_drop_state", "advance_checkpoint", "daily_pipeline", "backfill_pipeline", "lag_fuel"]
 NAMES = sorted(queries()) if os.environ.get("COLDHAUL_ALL") else SOME
 
 
