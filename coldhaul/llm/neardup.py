@@ -203,7 +203,7 @@ def verified_links(docs: DataFrame, texts: DataFrame, groups: DataFrame, words:
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD,
                     recall: float = RECALL) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links, copies, n_grams, text_md5.
+    """One row per document: doc_id, class_id, n_links, copies, n_grams, text_md5, root (the least text of the class).
 
     Two documents are linked if the Jaccard similarity of their sets of ``words``-word n-grams is at least ``threshold``;
     classes are the components of the links, named by their least doc_id. ``n_links`` counts the other documents that a
@@ -217,25 +217,25 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
     """
     signed = cut(signatures(docs, words, threshold, recall), "signatures")
     texts = cut(_keyed(signed).filter("n_grams > 0").groupBy("text_md5").agg(
-        F.min("_id").alias("_id"), F.count("*").alias("copies"), F.first("n_grams").alias("n_grams"),
+        F.min("_id").alias("_id"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n_grams").alias("n_grams"),
         F.first("bands").alias("bands")), "texts")
     groups = cut(candidate_groups(texts.select("text_md5", "bands")), "groups")
     links = cut(verified_links(docs, texts.drop("bands"), groups, words, threshold), "links")
     roots = components(links.select(F.col("text_md5").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("text_md5").agg(F.sum("links").alias("links"))
-    linked = cut(texts.select("text_md5", "_id", "copies")
+    linked = cut(texts.select("text_md5", "first_id", "copies")
                  .join(counts, "text_md5", "left")
                  .join(roots.select(F.col("node").alias("text_md5"), "root"), "text_md5", "left")
-                 .select("text_md5", "_id", "copies", F.coalesce("links", F.lit(0)).alias("links"),
+                 .select("text_md5", "first_id", "copies", F.coalesce("links", F.lit(0)).alias("links"),
                          F.coalesce("root", "text_md5").alias("root")), "linked")
-    names = linked.groupBy("root").agg(F.min("_id").alias("class_id"))
+    names = linked.groupBy("root").agg(F.min("first_id").alias("class_id"))
     classes = linked.join(names, "root").select(
-        "text_md5", "copies", (F.col("copies") - 1 + F.col("links")).alias("n_links"), "class_id")
+        "text_md5", "copies", (F.col("copies") - 1 + F.col("links")).alias("n_links"), "class_id", "root")
     worded = signed.filter("n_grams > 0").select("doc_id", "n_grams", "text_md5").join(classes, "text_md5").select(
-        "doc_id", F.when(F.col("class_id") != NO_ID, F.col("class_id")).alias("class_id"), "n_links", "copies", "n_grams", "text_md5")
+        "doc_id", "class_id", "n_links", "copies", "n_grams", "text_md5", "root")
     blank = signed.filter("n_grams = 0").select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-        F.lit(1).cast("long").alias("copies"), "n_grams", "text_md5")
+        F.lit(1).cast("long").alias("copies"), "n_grams", "text_md5", F.col("text_md5").alias("root"))
     return worded.unionByName(blank)
 
 
@@ -243,8 +243,9 @@ def first_of_each(docs: DataFrame, words: int = WORDS, threshold: float = THRESH
     """The documents with one of each class: the one whose id names it; of equal rows one. Blank texts all stay."""
     found = near_duplicates(docs, words, threshold)
     blank = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    leads = (found.filter("n_grams > 0").filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-             .groupBy(F.coalesce("class_id", F.lit(NO_ID)).alias("_id")).agg(F.min("text_md5").alias("_md5")))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_md5")
+    leads = found.filter("n_grams > 0").groupBy("root").agg(F.min(first).alias("lead")).select(
+        F.coalesce("lead.doc_id", F.lit(NO_ID)).alias("_id"), F.col("lead.text_md5").alias("_md5"))
     columns = docs.columns
     rows = _keyed(docs).withColumn("_md5", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     # equal rows meet by id and text, and one of them stays
