@@ -1,10 +1,10 @@
 """Best-fit packing of token sequences with bound-certified repacking.
 
 Documents are tokenized once; only those longer than a sequence are cut. Every partition packs its pieces by best-fit
-decreasing, group by group, and dual-feasible functions give a lower bound of its sequences. Sequences without
-room to spare are final. Of a certified group, whose count equals its bound, only the emptiest sequence goes on, for
-its partial fill is what rounding up costs; a group with a gap gives up every sequence with room. Those pieces are dealt
-to new partitions, which pack again, until one group is left or nothing is gained.
+decreasing, group by group, and dual-feasible functions give a lower bound of its sequences. A group whose count is that
+bound, before rounding up, is certified: no exchange can save a part of a sequence, and it is final. A group with a gap
+keeps its full sequences and gives up those with room; their pieces are dealt to new partitions, which pack again in larger
+groups, until one group is left.
 """
 
 from __future__ import annotations
@@ -12,8 +12,10 @@ from __future__ import annotations
 import array
 import base64
 import functools
+import math
 import zlib
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -28,8 +30,6 @@ END = 0
 #: Pieces packed together, and rounds of repacking at most.
 GROUP = 20_000
 ROUNDS = 6
-#: Room of a sequence that is not worth another round.
-ROOM = 8
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Longer runs without blanks, or of blanks, go to the other library, whose time does not grow with their square.
 LONG_RUN = 4000
@@ -97,8 +97,8 @@ def tokenized(docs: DataFrame, tokenizer: str | None = None, ranks: str | None =
         "doc_id", "piece", "p.start", "p.length", "p.ids_crc32")
 
 
-def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
-    """No packing of the lengths has fewer sequences. The greatest bound of two families of dual-feasible functions.
+def least_fill(lengths: np.ndarray, capacity: int = CAPACITY) -> Fraction:
+    """No packing of the lengths has fewer sequences. The greatest value of two families of dual-feasible functions.
 
     The first rounds lengths over C - k up to C and forgets those under k; the second rounds to multiples of 1/k.
     """
@@ -106,18 +106,22 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     sizes = np.arange(capacity + 1)
     weight = counts * sizes
     below, above = np.cumsum(counts), np.cumsum(weight)
-    best = -(-int(above[-1]) // capacity)
+    best = Fraction(int(above[-1]), capacity)
     for k in range(1, capacity // 2 + 1):
         large = int(below[-1] - below[capacity - k])
         middle = int(above[capacity - k] - above[k - 1])
-        best = max(best, large + -(-middle // capacity))
+        best = max(best, large + Fraction(middle, capacity))
     for k in range(1, 33):
         scaled = (k + 1) * sizes
         value = np.where(scaled % capacity == 0, k * sizes, scaled // capacity * capacity)
-        best = max(best, -(-int((counts * value).sum()) // (k * capacity)))
+        best = max(best, Fraction(int((counts * value).sum()), k * capacity))
     return best
 
 
+def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
+    return math.ceil(least_fill(lengths, capacity))
+
+
 def best_fit_decreasing(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     """The sequences as lists of positions in ``lengths``; each length goes where the least room is left."""
     by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
@@ -146,13 +150,8 @@ def _packed(rows: list[tuple], first_id: int, capacity: int, last_round: bool) -
     lengths = [r[3] for r in rows]
     bins = best_fit_decreasing(lengths, capacity)
     room = [capacity - sum(lengths[i] for i in b) for b in bins]
-    if last_round:
-        given_up = set()
-    elif len(bins) == lower_bound(np.array(lengths), capacity):
-        emptiest = max(range(len(bins)), key=room.__getitem__)
-        given_up = {emptiest} if room[emptiest] > ROOM else set()
-    else:
-        given_up = {b for b in range(len(bins)) if room[b] > ROOM}
+    certified = last_round or len(bins) == least_fill(np.array(lengths), capacity)
+    given_up = set() if certified else {b for b in range(len(bins)) if room[b]}
     out = []
     for b, members in enumerate(bins):
         offset = 0
@@ -175,7 +174,7 @@ def _pack(round_number: int, capacity: int, group: int, last_round: bool):
         for batch in batches:
             ids = [None if pd.isna(x) else int(x) for x in batch["doc_id"]]
             held += zip(ids, *[batch[c].tolist() for c in names[1:5]])
-            while len(held) >= group and not last_round:
+            while len(held) >= group:
                 part, held = held[:group], held[group:]
                 yield frame(_packed(part, next_id, capacity, last_round))
                 next_id += len(part)
@@ -188,27 +187,28 @@ def _pack(round_number: int, capacity: int, group: int, last_round: bool):
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds: int = ROUNDS) -> DataFrame:
     """Add sequence_id and offset to the pieces: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    ``pieces`` must be a written table. Full pieces are sequences of their own and take no part. A group is
-    at most ``group`` pieces, so no task holds more; the last round packs what one group can hold, or what no longer shrinks.
-    Equal pieces are interchangeable.
+    ``pieces`` must be a written table. Full pieces are sequences of their own and take no part. A task packs
+    at most ``group`` pieces at once, twice as many in every further round, as fewer are left; the last
+    round packs what one group can hold, or after ``rounds`` whatever is left, group by group. Equal pieces are
+    interchangeable.
     """
     schema = f"{PIECE}, sequence_id long, offset long, final boolean"
     full = pieces.filter(F.col("length") == capacity).select(
         "*", (F.monotonically_increasing_id() + F.lit(1 << 62)).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"))
-    done, left, n = [full], pieces.filter(F.col("length") < capacity), None
+    rest, done = pieces.filter(F.col("length") < capacity), [full]
+    n = rest.count()
     for number in range(rounds):
-        last = number == rounds - 1 or (n is not None and n <= group)
-        result = cut(left.mapInPandas(_pack(number, capacity, group, last and (n or 0) <= group), schema), "packed")
+        parts = max(1, -(-n // group))
+        last = parts == 1 or number == rounds - 1
+        result = cut(rest.repartition(parts).mapInPandas(_pack(number, capacity, group, last), schema), "packed")
         done.append(result.filter("final").drop("final"))
-        rest = result.filter("NOT final").select("doc_id", "piece", "start", "length", "ids_crc32")
-        before, n = n, rest.count()
-        if n == 0:
+        if last:
             break
-        if last or (before is not None and n > 0.9 * before):
-            done.append(result.filter("NOT final").drop("final"))
+        rest = result.filter("NOT final").select("doc_id", "piece", "start", "length", "ids_crc32")
+        n, group = rest.count(), 2 * group
+        if not n:
             break
-        left = rest.repartition(max(1, -(-n // group)))
     whole = done[0]
     for part in done[1:]:
         whole = whole.unionByName(part)
