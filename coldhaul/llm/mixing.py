@@ -162,7 +162,8 @@ def mixed_documents(docs: DataFrame, buckets: int = SHUFFLE_BUCKETS, block: int
     told apart by id, source and text hash, so equal rows are taken alike.
     """
     columns = docs.columns
-    marked = docs.withColumn("_hash", F.xxhash64("text"))
+    marked = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("_hash"),
+                         *[F.col(c).alias(f"_of_{c}") for c in columns])
     sizes = cut(marked.select("doc_id", "source", n_words(F.col("text")).alias("size"), "_hash"), "mix-sizes")
     lined = sizes.select(F.struct("doc_id", "_hash").alias("doc_id"), "source", "size")
     goals = cut(goals_of(lined, block), "mix-goals")
@@ -170,9 +171,10 @@ def mixed_documents(docs: DataFrame, buckets: int = SHUFFLE_BUCKETS, block: int
              .agg(F.array(F.max("first"), F.max("second")).alias("_laps")))
     laps = taken.withColumn("_words", F.explode("_laps")).filter("_words > 0").select(
         F.col("doc_id._hash").alias("_hash"), F.coalesce("doc_id.doc_id", F.lit(0)).alias("_id"),
-        F.col("doc_id.doc_id").isNull().alias("_no_id"), *KEY, "size", "_words")
+        F.col("doc_id.doc_id").isNull().alias("_no_id"), *KEY, F.col("size").alias("_size"), "_words")
     keyed = _keyed(marked).withColumn("_id", F.coalesce("doc_id", F.lit(0))).withColumn("_no_id", F.col("doc_id").isNull())
     rows = keyed.join(laps, ["_id", "_no_id", "_hash", *KEY])
     start = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("_words").cast("int")), " ")
-    cut_text = F.when(F.col("_words") == F.col("size"), F.col("text")).otherwise(start)
-    return rows.withColumn("text", cut_text).withColumn("n_chars", F.length("text").cast("long")).select(*columns)
+    cut_text = F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(start)
+    made = {"text": cut_text, "n_chars": F.length(cut_text).cast("long")}
+    return rows.select(*[made.get(c, F.col(f"_of_{c}")).alias(c) for c in columns])

@@ -246,8 +246,9 @@ def first_of_each(docs: DataFrame, words: int = WORDS, threshold: float = THRESH
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_md5")
     leads = found.filter("n_grams > 0").groupBy("root").agg(F.min(first).alias("lead")).select(
         F.coalesce("lead.doc_id", F.lit(NO_ID)).alias("_id"), F.col("lead.text_md5").alias("_md5"))
-    columns = docs.columns
-    rows = _keyed(docs).withColumn("_md5", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    rows = docs.filter(~blank).select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("_md5"),
+        *[F.col(c).alias(f"_of_{c}") for c in docs.columns])
     # equal rows meet by id and text, and one of them stays
-    kept = rows.filter(~blank).join(leads, ["_id", "_md5"]).dropDuplicates(["_id", "_md5"])
-    return kept.select(*columns).unionByName(rows.filter(blank).select(*columns))
+    kept = rows.join(leads, ["_id", "_md5"]).dropDuplicates(["_id", "_md5"])
+    return kept.select(*[F.col(f"_of_{c}").alias(c) for c in docs.columns]).unionByName(docs.filter(blank))
