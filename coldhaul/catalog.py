@@ -380,9 +380,8 @@ def _alerts(fleet: FleetData) -> str:
     """Replay both topics through the alert streams; returns the output root."""
     out = scratch_path(fleet.spark, "alerts")
     windows = cut(live_windows(fleet), "live-windows")
-    _replay(fleet, ["quick", "slow"], lambda s: jobs.start_alerts(
-        s["quick"], s["slow"], windows, out, jobs.DRAIN, jobs.DRAIN,
-        clock=lambda: F.col("event_time")))
+    _replay(fleet, ["quick", "slow"], lambda s: jobs.replay_alerts(
+        s["quick"], s["slow"], windows, out, STATUS_WINDOW) or [])
     return out
 
 
@@ -1036,7 +1035,7 @@ def fuel_drop_state(fleet):
 def vehicle_status(fleet):
     """The status table the streams leave behind, coloured as of the newest incident."""
     out = _alerts(fleet)
-    return jobs.read_status(fleet.spark, out, newest(jobs.read_feed(fleet.spark, out)), STATUS_WINDOW)
+    return jobs.read_status(fleet.spark, out)
 
 
 @query

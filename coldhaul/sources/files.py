@@ -22,6 +22,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file; nothing happens if it is missing."""
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a folder; none if it is missing."""
     fs, p = _hadoop(spark, path)

@@ -2,7 +2,8 @@
 
 Each micro-batch writes into folders named by its batch number and overwrites them on
 replay, so a batch that runs twice leaves the same rows. State of batch ``n`` is read from
-the folder of batch ``n - 1``.
+the folder of batch ``n - 1``, and older versions are removed. The feed is partitioned by the date of
+detection first, so that colours are refreshed from the dates of their window alone.
 """
 
 from __future__ import annotations
@@ -13,9 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from coldhaul.functions.rules import RECENT_WINDOW
 from coldhaul.session import scratch_path
 from coldhaul.sinks.tables import upsert_positions, write_partitioned
-from coldhaul.sources.files import child_names
+from coldhaul.sources.files import child_names, path_exists, remove
 from coldhaul.streaming import live
 from coldhaul.streaming.messages import envelope, quick_from_messages, slow_from_messages
 
@@ -27,6 +29,9 @@ DRAIN = {"availableNow": True}
 
 STATUS_SCHEMA = ("vehicle_id bigint, lat double, lon double, last_event_time timestamp_ntz, "
                  "incident_color string, incident_label string")
+FEED_SCHEMA = ("vehicle_id bigint, trip_id bigint, driver_id bigint, event_time timestamp_ntz, incident_color string, "
+               "incident_type string, detail string, lat double, lon double, sensor_id string, "
+               "detected_at timestamp_ntz, detected_date date")
 FUEL_SCHEMA = "vehicle_id bigint, last_fuel_l decimal(18,6), last_event_time timestamp_ntz"
 
 
@@ -65,7 +70,18 @@ def latest_state(spark: SparkSession, table: str, schema: str) -> DataFrame:
 
 
 def _write(df: DataFrame, table: str, batch_id: int) -> None:
+    """Write a version of a state table. The one before it is kept for a replay; that before goes."""
     df.write.mode("overwrite").parquet(batch_path(table, batch_id))
+    if batch_id >= 2:
+        remove(df.sparkSession, batch_path(table, batch_id - 2))
+
+
+def _write_feed(incidents: DataFrame, out: str, topic: str, batch_id: int) -> None:
+    """Replace what this batch of a topic wrote to the feed on the dates it detects something on."""
+    dated = incidents.withColumns({"detected_date": F.to_date("detected_at"), "topic": F.lit(topic),
+                                   "batch": F.lit(batch_id).cast("bigint")})
+    (dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("detected_date", "topic", "batch").parquet(f"{out}/feed"))
 
 
 def save_windows(days: DataFrame, path: str) -> DataFrame:
@@ -84,17 +100,32 @@ def wall_clock() -> Column:
     return F.current_timestamp().cast("timestamp_ntz")
 
 
-def quick_step(windows: DataFrame, out: str,
-               clock: Callable[[], Column] = wall_clock) -> Callable[[DataFrame, int], None]:
-    """Positions and incidents of one micro-batch of quick messages."""
+def newest_detection(feed: DataFrame) -> Column:
+    """The time to colour by when history is replayed; a live job colours by the wall clock."""
+    return feed.agg(F.max("detected_at")).scalar()
+
+
+def quick_step(windows: DataFrame, out: str, clock: Callable[[], Column] = wall_clock,
+               as_of: Callable[[DataFrame], Column] = lambda feed: wall_clock(),
+               window: str = RECENT_WINDOW) -> Callable[[DataFrame, int], None]:
+    """Positions and incidents of one micro-batch of quick messages, and the colours of all vehicles.
+
+    This step is the only writer of the status table; incidents of slow messages colour it from the
+    next batch on, ten seconds later at most.
+    """
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         pings = quick_from_messages(batch).persist()
         try:
             incidents = live.quick_incidents(pings, windows_for(pings, windows)).withColumn("detected_at", clock())
-            _write(incidents, f"{out}/feed/topic=quick", batch_id)
-            status = read_state(spark, f"{out}/status", STATUS_SCHEMA, batch_id)
-            _write(upsert_positions(status, live.latest_position(pings)), f"{out}/status", batch_id)
+            _write_feed(incidents, out, "quick", batch_id)
+            # positions keep the time of the position; a colour brings the time of its incident
+            moved = upsert_positions(read_state(spark, f"{out}/positions", STATUS_SCHEMA, batch_id),
+                                     live.latest_position(pings))
+            _write(moved, f"{out}/positions", batch_id)
+            positions = read_state(spark, f"{out}/positions", STATUS_SCHEMA, batch_id + 1)
+            feed = read_feed(spark, out)
+            _write(live.refresh_colours(positions, feed, as_of(feed), window), f"{out}/status", batch_id)
         finally:
             pings.unpersist()
     return step
@@ -110,7 +141,7 @@ def slow_step(windows: DataFrame, out: str,
             state = read_state(spark, f"{out}/fuel", FUEL_SCHEMA, batch_id)
             drops = live.fuel_drop_step(pings, state)
             incidents = live.slow_incidents(drops, windows_for(pings, windows)).withColumn("detected_at", clock())
-            _write(incidents, f"{out}/feed/topic=slow", batch_id)
+            _write_feed(incidents, out, "slow", batch_id)
             _write(live.next_fuel_state(pings, state), f"{out}/fuel", batch_id)
         finally:
             pings.unpersist()
@@ -125,27 +156,44 @@ def run_each_batch(messages: DataFrame, step: Callable[[DataFrame, int], None],
 
 def start_alerts(quick: DataFrame, slow: DataFrame, windows: DataFrame, out: str,
                  quick_trigger: dict | None = None, slow_trigger: dict | None = None,
-                 clock: Callable[[], Column] = wall_clock) -> list[StreamingQuery]:
+                 clock: Callable[[], Column] = wall_clock,
+                 as_of: Callable[[DataFrame], Column] = lambda feed: wall_clock(),
+                 window: str = RECENT_WINDOW) -> list[StreamingQuery]:
     """Both alert streams, over trip windows that are written once and then only read."""
     static = save_windows(windows, scratch_path(windows.sparkSession, "trip-windows"))
     return [
-        run_each_batch(quick, quick_step(static, out, clock), f"{out}/_checkpoints/quick",
-                       quick_trigger or QUICK_TRIGGER),
         run_each_batch(slow, slow_step(static, out, clock), f"{out}/_checkpoints/slow",
                        slow_trigger or SLOW_TRIGGER),
+        run_each_batch(quick, quick_step(static, out, clock, as_of, window), f"{out}/_checkpoints/quick",
+                       quick_trigger or QUICK_TRIGGER),
     ]
 
 
+def replay_alerts(quick: DataFrame, slow: DataFrame, windows: DataFrame, out: str, window: str = RECENT_WINDOW) -> None:
+    """Drain what has arrived, slow messages first, so that the status is coloured by all of it."""
+    static = save_windows(windows, scratch_path(windows.sparkSession, "trip-windows"))
+    steps = {"slow": (slow, slow_step(static, out, _event_time)),
+             "quick": (quick, quick_step(static, out, _event_time, newest_detection, window))}
+    for topic, (messages, step) in steps.items():
+        run_each_batch(messages, step, f"{out}/_checkpoints/{topic}", DRAIN).awaitTermination()
+
+
+def _event_time() -> Column:
+    return F.col("event_time")
+
+
 def await_any(spark: SparkSession) -> None:
     spark.streams.awaitAnyTermination()
 
 
 def read_feed(spark: SparkSession, out: str) -> DataFrame:
-    """All incidents both streams have written."""
-    return spark.read.parquet(f"{out}/feed").drop("topic", "batch")
+    """All incidents both streams have written, by date of detection."""
+    path = f"{out}/feed"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], FEED_SCHEMA)
+    return spark.read.schema(FEED_SCHEMA).parquet(path)
 
 
-def read_status(spark: SparkSession, out: str, as_of: Column, window: str) -> DataFrame:
-    """Status rows with colours as of a moment."""
-    status = latest_state(spark, f"{out}/status", STATUS_SCHEMA)
-    return live.refresh_colours(status, read_feed(spark, out), as_of, window)
+def read_status(spark: SparkSession, out: str) -> DataFrame:
+    """The status of all vehicles as the last batch left it, colours included."""
+    return latest_state(spark, f"{out}/status", STATUS_SCHEMA)

@@ -83,7 +83,11 @@ def latest_position(pings: DataFrame) -> DataFrame:
 
 
 def recent(feed: DataFrame, as_of: Column, window: str = rules.RECENT_WINDOW) -> DataFrame:
-    return feed.where(F.col("detected_at") > as_of - F.expr(f"INTERVAL {window}"))
+    """Incidents detected within the window; a feed by date is read from the window's first date on."""
+    since = as_of - F.expr(f"INTERVAL {window}")
+    if "detected_date" in feed.columns:
+        feed = feed.where(F.col("detected_date") >= F.to_date(since))
+    return feed.where(F.col("detected_at") > since)
 
 
 def highest_severity(feed: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from coldhaul import schemas
 from coldhaul.session import scratch_path
+from coldhaul.sources import files
 from coldhaul.streaming import jobs, live, messages
 
 WINDOW = "2 minutes"
@@ -40,26 +41,24 @@ def replay(spark, out, inbox):
     for q_rows, s_rows in zip(QUICK_PARTS, SLOW_PARTS):
         quick(spark, *q_rows).write.mode("append").parquet(f"{inbox}/quick")
         slow(spark, *s_rows).write.mode("append").parquet(f"{inbox}/slow")
-        running = jobs.start_alerts(
+        jobs.replay_alerts(
             messages.message_stream(spark, "parquet", path=f"{inbox}/quick"),
-            messages.message_stream(spark, "parquet", path=f"{inbox}/slow"),
-            windows(spark), out, jobs.DRAIN, jobs.DRAIN, clock=lambda: F.col("event_time"))
-        for q in running:
-            q.awaitTermination()
+            messages.message_stream(spark, "parquet", path=f"{inbox}/slow"), windows(spark), out, WINDOW)
 
 
 FEED = [(0, 1, "SPEEDING"), (0, None, "FUEL_FRAUD")]
-STATUS = [(0, t("08:30"), "WHITE"), (1, t("08:11"), "WHITE")]
 
 
 def test_restarted_streams_equal_history(spark):
     out, inbox = scratch_path(spark, "out"), scratch_path(spark, "inbox")
     replay(spark, out, inbox)
     assert values(jobs.read_feed(spark, out), "vehicle_id", "trip_id", "incident_type") == sorted(FEED, key=repr)
-    status = jobs.read_status(spark, out, F.lit(t("12:00")), WINDOW)
-    assert values(status, "vehicle_id", "last_event_time", "incident_color") == STATUS
-    red = jobs.read_status(spark, out, F.lit(t("11:01")), WINDOW)
+    # the stored table carries the colours as of the last incident, 11:00
+    red = jobs.read_status(spark, out)
     assert values(red, "vehicle_id", "incident_color", "incident_label") == [(0, "RED", "FUEL_FRAUD"), (1, "WHITE", "OK")]
+    later = live.refresh_colours(red, jobs.read_feed(spark, out), F.lit(t("12:00")), WINDOW)
+    assert values(later, "vehicle_id", "incident_color") == [(0, "WHITE"), (1, "WHITE")]
+    assert [n for n in files.child_names(spark, f"{out}/feed") if "=" in n] == ["detected_date=2024-03-01"]
 
     # a batch that is delivered again leaves the same rows
     batch = slow(spark, *SLOW_PARTS[1])
@@ -79,3 +78,38 @@ def test_landing_partitions_by_message_date(spark):
     assert values(landed.select("kafka_key", F.col("ingest_date").cast("string"))) == [
         ("0", "2024-03-01"), ("1", "2024-03-01")]
     assert landed.first().ingestion_ts is not None
+
+
+def test_old_versions_of_state_go(spark):
+    out = scratch_path(spark, "versions")
+    step = jobs.quick_step(windows(spark), out, lambda: F.col("event_time"), jobs.newest_detection, WINDOW)
+    for n, minute in enumerate(["08:10:00", "08:11:00", "08:12:00", "08:13:00"]):
+        step(quick(spark, (0, f"s{n}", minute, 90 if n == 1 else 10)), n)
+    assert [n for n in files.child_names(spark, f"{out}/status")] == ["batch=2", "batch=3"]
+    assert values(jobs.read_status(spark, out), "vehicle_id", "last_event_time", "incident_color") == [(0, t("08:11"), "YELLOW")]
+
+
+def test_triggers_and_waiting_for_any(spark, monkeypatch):
+    started = {}
+
+    class Writer:
+        def __getattr__(self, name):
+            def call(*args, **kwargs):
+                started.setdefault(name, []).append(kwargs or args)
+                return self
+            return call
+
+    stream = type("Stream", (), {"writeStream": Writer()})()
+    monkeypatch.setattr(jobs, "save_windows", lambda days, path: days)
+    monkeypatch.setattr(jobs, "scratch_path", lambda spark, name: "x")
+    jobs.start_alerts(stream, stream, windows(spark), "out")
+    assert started["trigger"] == [{"processingTime": "15 seconds"}, {"processingTime": "10 seconds"}]
+    assert jobs.LAND_TRIGGER == {"processingTime": "30 seconds"}
+
+    root = scratch_path(spark, "any")
+    quick(spark, *QUICK_PARTS[0]).write.parquet(f"{root}/inbox")
+    source = messages.message_stream(spark, "parquet", path=f"{root}/inbox")
+    spark.streams.resetTerminated()
+    query = jobs.append_stream(source, f"{root}/rows", f"{root}/cp")
+    jobs.await_any(spark)
+    assert not query.isActive and spark.read.parquet(f"{root}/rows").count() == 2
