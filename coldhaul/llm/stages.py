@@ -11,7 +11,7 @@ from coldhaul.llm.common import bound
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base and every rule of the threshold table, unchanged."""
-    return docs.filter(bound(quality.measures(F.col("text")), quality.passes))
+    return docs.filter(bound(quality.measures(F.col("text")), lambda m: quality.passes(m)))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
