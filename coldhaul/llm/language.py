@@ -46,48 +46,85 @@ def _words(df: DataFrame) -> DataFrame:
         "lang", bare.alias("word")).filter("word <> ''")
 
 
+def _bare(word: str) -> str:
+    """The word in lower case, without what is no letter at its ends."""
+    word = word.lower()
+    if word.isalpha():
+        return word
+    begin, end = 0, len(word)
+    while begin < end and not word[begin].isalpha():
+        begin += 1
+    while end > begin and not word[end - 1].isalpha():
+        end -= 1
+    return word[begin:end]
+
+
 class Model:
-    """Log frequencies per language: of words, and of the n-grams of each length."""
+    """Log frequencies per language: rows for words, and for n-grams of each length.
 
-    def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray]):
-        self.langs, self.words, self.grams, self.unseen = langs, words, grams, {}
+    Words of texts are remembered with their scores, up to ``CACHE`` of them.
+    """
 
-    def of_unseen(self, word: str) -> np.ndarray:
-        """The mean over the word's places of the longest known n-gram there; zeros if there is none."""
-        marked, total, n = f"<{word[:64]}>", np.zeros(len(self.langs)), 0
+    def __init__(self, langs: list[str], words: dict[str, list[float]], grams: dict[str, list[float]]):
+        self.langs = langs
+        self.words = {w: i for i, w in enumerate(words)}
+        self.grams = {g: i for i, g in enumerate(grams)}
+        self.word_scores = np.array(list(words.values()), dtype=np.float64).reshape(len(words), len(langs))
+        self.gram_scores = np.array(list(grams.values()), dtype=np.float64).reshape(len(grams), len(langs))
+        self.seen: dict[str, int] = {}
+        self.scores = np.zeros((0, len(langs)))
+
+    def grams_of(self, word: str) -> list[int]:
+        """For each place of an unseen word, the longest known n-gram that starts there, if any."""
+        marked, known, found = f"<{word}>", self.grams.get, []
         for at in range(len(marked)):
-            for size in range(LONGEST, 0, -1):
-                found = self.grams.get(marked[at:at + size]) if at + size <= len(marked) else None
-                if found is not None:
-                    total, n = total + found, n + 1
-                    break
-        return BACKOFF_WEIGHT * total / n if n else total
-
-    def of_word(self, word: str) -> np.ndarray:
-        bare = word.lower()
-        if not bare.isalpha():
-            begin, end = 0, len(bare)
-            while begin < end and not bare[begin].isalpha():
-                begin += 1
-            while end > begin and not bare[end - 1].isalpha():
-                end -= 1
-            bare = bare[begin:end]
-        if not bare:
-            return np.zeros(len(self.langs))
-        known = self.words.get(bare)
-        return known if known is not None else self.of_unseen(bare)
+            row = known(marked[at:at + LONGEST])
+            if row is None:
+                for size in range(LONGEST - 1, 0, -1):
+                    row = known(marked[at:at + size])
+                    if row is not None:
+                        break
+                else:
+                    continue
+            found.append(row)
+        return found
+
+    def remember(self, words: list[str]) -> None:
+        """Score words that were not met before: as known words, or as the mean of their n-grams, or as nothing."""
+        if len(self.seen) + len(words) > len(self.scores):
+            room = max(2 * len(self.scores), len(self.seen) + len(words), 4096)
+            self.scores = np.concatenate((self.scores, np.zeros((room - len(self.scores), len(self.langs)))))
+        rows, grams, lengths = [], [], []
+        for word in words:
+            at = self.seen[word] = len(self.seen)
+            bare = _bare(word)
+            known = self.words.get(bare)
+            if known is not None:
+                self.scores[at] = self.word_scores[known]
+                continue
+            found = self.grams_of(bare) if bare else []
+            if found:
+                rows.append(at)
+                grams += found
+                lengths.append(len(found))
+            else:
+                self.scores[at] = 0
+        if rows:
+            starts = np.cumsum(lengths) - lengths
+            sums = np.add.reduceat(self.gram_scores[grams], starts, axis=0)
+            self.scores[rows] = BACKOFF_WEIGHT * sums / np.array(lengths)[:, None]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.langs or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0
-        if len(self.unseen) > CACHE:
-            self.unseen = {}
-        total = np.zeros(len(self.langs))
-        for word, n in Counter(text.split()).items():
-            score = self.unseen.get(word)
-            if score is None:
-                score = self.unseen[word] = self.of_word(word)
-            total += n * score
+        counts = Counter(text.split())
+        new = [w for w in counts if w not in self.seen]
+        if new:
+            if len(self.seen) + len(new) > CACHE:
+                self.seen, new = {}, list(counts)
+            self.remember(new)
+        rows = [self.seen[w] for w in counts]
+        total = np.array(list(counts.values()), dtype=np.float64) @ self.scores[rows]
         likely = np.exp(total - total.max())
         best = int(total.argmax())
         return self.langs[best], float(likely[best] / likely.sum())
@@ -97,7 +134,7 @@ def _gram(size: int):
     return lambda i: F.substr(F.col("m"), i, F.lit(size))
 
 
-def _table(counts: DataFrame, langs: list[str], most: int) -> dict[str, np.ndarray]:
+def _table(counts: DataFrame, langs: list[str], most: int) -> dict[str, list[float]]:
     """For the most frequent keys, the log of their share in each language over the mean, within ``CLIP``."""
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     wide = counts.groupBy("key").agg(F.sum("n").alias("n"), F.map_from_entries(
@@ -105,7 +142,7 @@ def _table(counts: DataFrame, langs: list[str], most: int) -> dict[str, np.ndarr
     out = {}
     for row in wide.collect():
         share = np.array([math.log((row["by"].get(x, 0) + SMOOTHING) / (totals.get(x, 0) + 1)) for x in langs])
-        out[row["key"]] = np.clip(share - share.mean(), -CLIP, CLIP)
+        out[row["key"]] = np.clip(share - share.mean(), -CLIP, CLIP).tolist()
     return out
 
 
@@ -127,7 +164,7 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS, words: int = WORDS, grams: i
         return Model([], {}, {})
     known = _table(counts.select("lang", F.col("word").alias("key"), "n"), langs, words)
     marked = counts.select("lang", "n", F.concat(F.lit("<"), "word", F.lit(">")).alias("m"))
-    parts: dict[str, np.ndarray] = {}
+    parts: dict[str, list[float]] = {}
     for size in range(1, LONGEST + 1):
         places = F.when(F.length("m") >= size, F.sequence(F.lit(1), F.length("m") - (size - 1))).otherwise(
             F.array().cast("array<int>"))
