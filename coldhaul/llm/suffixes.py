@@ -25,8 +25,8 @@ from coldhaul.session import cut
 LENGTH = 200
 GRAM = 32
 #: Bytes of passages in a shard, and in the shards that are merged at once.
-SHARD = 1 << 19
-POOL = 1 << 21
+SHARD = 1 << 18
+POOL = 1 << 20
 NO_ID = -(2**63)
 _FACTORS = np.random.default_rng(5).integers(0, 2**64, 4, dtype=np.uint64) | np.uint64(1)
 
@@ -195,47 +195,57 @@ def repeated_starts(passages: list[tuple[bytes, int]], length: int) -> list[np.n
     return [twice[f:f + s] for f, s in zip(first.tolist(), starts.tolist())]
 
 
-def _repeats(rows: list[tuple], length: int) -> list[tuple]:
-    """(id, hash, begin, end) of the repeated bytes of passages. rows: (anchor, id, hash, first, starts, passage)."""
-    owners: dict[tuple[bytes, int], list[tuple]] = {}
-    distinct: dict[int, set] = {}
-    for anchor, key, hashed, first, starts, passage in rows:
-        owners.setdefault((passage, starts), []).append((key, hashed, first))
-        distinct.setdefault(anchor, set()).add((passage, starts))
-    pool = [p for found in distinct.values() if len(found) > 1 for p in found]
-    twice = dict(zip(pool, repeated_starts(pool, length))) if pool else {}
-    out = []
-    for (passage, starts), found in owners.items():
-        if len(found) > 1:
-            runs = [(0, starts)]
-        elif (passage, starts) in twice:
-            edges = np.flatnonzero(np.diff(np.concatenate(([False], twice[passage, starts], [False])).astype(np.int8)))
-            runs = list(zip(edges[0::2].tolist(), edges[1::2].tolist()))
-        else:
-            runs = []
-        out += [(key, hashed, first + b, first + e - 1 + length) for key, hashed, first in found for b, e in runs]
-    return out
+class _Pool:
+    """Passages of whole anchors. A passage is held once; from its second copy on its owners are told at once."""
+
+    def __init__(self, length: int):
+        self.length, self.size = length, 0
+        self.first: dict[tuple[bytes, int], tuple | None] = {}
+        self.distinct: dict[int, list[tuple[bytes, int]]] = {}
+
+    def add(self, anchor: int, key: int, hashed: int, first: int, starts: int, passage: bytes) -> list[tuple]:
+        """(id, hash, begin, end) of what is known to repeat by this passage."""
+        whole = starts - 1 + self.length
+        if (passage, starts) not in self.first:
+            self.first[passage, starts] = (key, hashed, first)
+            self.distinct.setdefault(anchor, []).append((passage, starts))
+            self.size += len(passage)
+            return []
+        found = [(key, hashed, first, first + whole)]
+        if (owner := self.first[passage, starts]) is not None:
+            found.append((*owner, owner[2] + whole))
+            self.first[passage, starts] = None
+        return found
+
+    def close(self) -> list[tuple]:
+        """What repeats in part, in passages that differ but have an anchor in common."""
+        pool = [p for found in self.distinct.values() if len(found) > 1 for p in found]
+        out = []
+        for passage, twice in zip(pool, repeated_starts(pool, self.length) if pool else []):
+            if (owner := self.first[passage]) is not None:
+                key, hashed, first = owner
+                edges = np.flatnonzero(np.diff(np.concatenate(([False], twice, [False])).astype(np.int8)))
+                out += [(key, hashed, first + b, first + e - 1 + self.length)
+                        for b, e in zip(edges[0::2].tolist(), edges[1::2].tolist())]
+        return out
 
 
 def _find_repeats(length: int):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows come sorted by anchor. Passages of whole anchors are gathered up to ``POOL`` bytes."""
-        held, size, last, out = [], 0, None, []
+        """Rows come sorted by anchor. Distinct passages of whole anchors are gathered up to ``POOL`` bytes."""
+        pool, last = _Pool(length), None
         for batch in batches:
+            out = []
             for row in zip(*[batch[c] for c in ("anchor", "_id", "_hash", "first", "starts", "passage")]):
-                if size >= POOL and row[0] != last:
-                    out += _repeats(held, length)
-                    held, size = [], 0
+                if pool.size >= POOL and row[0] != last:
+                    out += pool.close()
+                    pool = _Pool(length)
                 last = row[0]
-                held.append(row)
-                size += len(row[5])
-            if out:
-                yield pd.DataFrame(out, columns=["_id", "_hash", "begin", "end"])
-                out = []
-        if held:
-            out = _repeats(held, length)
+                out += pool.add(*row)
             if out:
                 yield pd.DataFrame(out, columns=["_id", "_hash", "begin", "end"])
+        if out := pool.close():
+            yield pd.DataFrame(out, columns=["_id", "_hash", "begin", "end"])
 
     return of
 
@@ -253,7 +263,8 @@ def with_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     anchors = cut(texts.filter(F.octet_length("bytes") >= length).select("_id", "_hash", "bytes").mapInPandas(
         _find_anchors(length), "_id long, _hash long, anchor long, first int, last int"), "anchors")
-    twice = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # written, so that the join below reads plain shuffles and the one of a hot anchor can be split
+    twice = cut(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "twice")
     # equal rows have one set of runs, but each brings its passages, so they repeat each other
     runs = (anchors.join(twice, "anchor").groupBy("_id", "_hash")
             .agg(F.collect_set(F.struct("anchor", "first", "last")).alias("runs")))
