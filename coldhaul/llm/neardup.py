@@ -135,7 +135,11 @@ def _verified(rows: list[tuple], words: int, threshold: float) -> list[tuple]:
         sets += [np.unique(s) for s in shingles.shingle_hashes(texts[begin:end], words)]
     sizes = np.array([len(s) for s in sets], dtype=np.float64)
     common = _common(sets)
-    near = common * (1 + threshold) >= threshold * (sizes[:, None] + sizes[None, :]) - 1e-6
+    near = np.empty(common.shape, dtype=bool)
+    # in float64: counts times the threshold are rounded too far in float32; a few rows at a time, as that is wide
+    for at in range(0, len(sizes), 256):
+        near[at:at + 256] = common[at:at + 256].astype(np.float64) * (1 + threshold) >= threshold * (
+            sizes[at:at + 256, None] + sizes[None, :]) - 1e-6
     np.fill_diagonal(near, False)
     low, high = rows[0][4], rows[0][5]
     if low != high:

@@ -128,6 +128,18 @@ def test_classes_and_links_equal_brute_force(spark, documents, near, monkeypatch
         assert neardup.near_duplicates(documents([])).count() == 0
 
 
+def test_pairs_at_exactly_the_threshold_are_linked(spark, documents):
+    rng = np.random.default_rng(16)
+    given = []
+    for i, m in enumerate((3, 6, 11, 12, 100)):
+        words = [f"m{m}w{int(x)}" for x in rng.permutation(5 * m + 4)]
+        # 4m of 5m n-grams, and one less
+        given += [(10 * i, " ".join(words)), (10 * i + 1, " ".join(words[:4 * m + 4])), (10 * i + 2, " ".join(words[m + 1:]))]
+    want = jaccard(given)
+    assert all(links for _, _, links in want[1::3])
+    assert rows(neardup.near_duplicates(documents(given)), "doc_id", "class_id", "n_links") == sorted(want, key=repr)
+
+
 def test_one_of_each_class_stays(spark, documents, near):
     kept = neardup.first_of_each(documents(near))
     want = {(i, c) for i, c, _ in jaccard(near)}
