@@ -80,7 +80,7 @@ OTHERS = [
     "The warranty ends after two years.", "Common people in creative work need rights.", "She reserved all the seats.",
     "Turn right at the next corner.", "A licensed engineer must sign the plan.", "The terms of the contract are secret.",
 ]
-#: A paragraph without any of these is ``none``: every template has one.
+#: Lines with any of these are not learned from as lines without a notice, as they may be notices.
 CUES = ("licen", "redistribut", "copyright", "public domain", "permission", "rights reserved")
 SAMPLE_DOCS = 300
 SAMPLE_LINES = 40
@@ -173,24 +173,26 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = S
 
 
 def _columns(model: Model):
-    """The classifier of a paragraph as an expression: a struct of family and probability."""
-    vocabulary = sorted(model.weights)
+    """The classifier of the lines of a text as an expression: an array of structs of family and score."""
+    pairs = {f: [sorted(set(_terms(t)[(len(_terms(t)) + 1) // 2:])) for t in ts] for f, ts in TEMPLATES.items()}
+    zero = [0.0] * len(model.classes)
+    weights = {p: zero for of in pairs.values() for ps in of for p in ps} | model.weights
+    vocabulary = sorted(weights)
     listed = F.array(*[F.lit(t) for t in vocabulary])
-    table = F.create_map(*[x for t in vocabulary for x in (F.lit(t), F.array(*[F.lit(float(w)) for w in model.weights[t]]))])
+    table = F.create_map(*[x for t in vocabulary for x in (F.lit(t), F.array(*[F.lit(float(w)) for w in weights[t]]))])
     names = F.array(*[F.lit(c) for c in model.classes])
     start = F.array(*[F.lit(float(b)) for b in model.intercept])
-    pairs = {f: [sorted(set(_terms(t)[(len(_terms(t)) + 1) // 2:])) for t in ts] for f, ts in TEMPLATES.items()}
     compared = F.create_map(*[x for f, of in pairs.items() for x in (
         F.lit(f), F.array(*[F.array(*[F.lit(p) for p in sorted(ps)]) for ps in of]))])
 
-    def terms(paragraph: Column) -> Column:
-        words = F.filter(F.transform(F.split(F.lower(paragraph), TERM), lambda w: F.btrim(w, F.lit(".-"))), lambda w: w != "")
-        return bound(words, lambda w: F.concat(w, F.filter(F.transform(w, lambda x, i: F.concat_ws(
-            " ", x, F.get(w, i + 1))), lambda x: x.contains(" "))))
+    def words(line: Column) -> Column:
+        return F.filter(F.transform(F.split(F.lower(line), TERM), lambda w: F.btrim(w, F.lit(".-"))), lambda w: w != "")
+
+    def terms(w: Column) -> Column:
+        return F.concat(w, F.filter(F.transform(w, lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1))), lambda x: x.contains(" ")))
 
     def decide(found: Column) -> Column:
-        present = F.array_intersect(found, listed)
-        scores = F.aggregate(present, start, lambda total, t: F.zip_with(total, F.element_at(table, t), lambda a, b: a + b))
+        scores = F.aggregate(found, start, lambda total, t: F.zip_with(total, F.element_at(table, t), lambda a, b: a + b))
 
         def best(z: Column) -> Column:
             top = F.array_max(z)
@@ -208,27 +210,26 @@ def _columns(model: Model):
 
         return bound(bound(scores, best), confirmed)
 
-    return lambda paragraph: bound(terms(paragraph), decide)
+    def classify(lines: Column) -> Column:
+        # the terms of the model that the text has at all are looked up once; others have no weight in any line
+        held = F.array_intersect(F.flatten(F.transform(lines, lambda w: bound(w, terms))), listed)
+        plain = decide(F.array().cast("array<string>"))
+        return bound(plain, lambda none: bound(held, lambda h: F.transform(lines, lambda w: bound(
+            F.when(F.size(h) > 0, F.array_intersect(bound(w, terms), h)), lambda found: F.when(
+                F.size(found) > 0, bound(found, decide)).otherwise(none)))))
+
+    return lambda text: bound(F.filter(F.transform(F.split(text, "\n"), words), lambda w: F.size(w) > 0), classify)
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: doc_id, licence, families, n_notices, n_unknown, score.
 
-    ``families`` are the families of its confirmed notices, sorted; ``licence`` is the family of the first notice, ``unknown``
-    if there are only such, else ``none``; ``score`` is the greatest probability of a notice that any of its
-    paragraphs gets, 0 without a cue. A null or empty text has none. Repeated rows are scanned each. An empty table
-    gives no rows; other columns are ignored.
+    Every line with a word is scored. ``families`` are the families of its confirmed notices, sorted; ``licence`` is the
+    family of the first notice, ``unknown`` if there are only such, else ``none``; ``score`` is the greatest probability
+    of a notice that any of its paragraphs gets, 0 without words. A null or empty text has none. Repeated rows are
+    scanned each. An empty table gives no rows; other columns are ignored.
     """
-    def has_cue(x: Column) -> Column:
-        low = F.lower(x)
-        cue = F.lit(False)
-        for c in CUES:
-            cue = cue | low.contains(c)
-        return cue
-
-    text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.when(has_cue(text), F.filter(F.split(text, "\n"), has_cue)).otherwise(F.array().cast("array<string>"))
-    found = docs.select("doc_id", F.transform(lines, _columns(model)).alias("found"))
+    found = docs.select("doc_id", _columns(model)(F.coalesce(F.col("text"), F.lit(""))).alias("found"))
     notices = F.filter("found", lambda x: ~x["family"].isin(NONE, UNKNOWN))
     unknown = F.filter("found", lambda x: x["family"] == UNKNOWN)
     return found.select("doc_id", notices.alias("notices"), F.size(unknown).cast("long").alias("n_unknown"),

@@ -129,3 +129,12 @@ def test_licences(spark, documents):
     assert found[402].families == ["MIT", "proprietary"] and found[402].licence == "proprietary"
     empty = documents([])
     assert licenses.scan(empty, licenses.train(empty)).count() == 0
+
+
+def test_licences_without_usual_words(spark, documents):
+    rng = np.random.default_rng(4)
+    plain = [(i, "\n".join(prose(rng, 30) for _ in range(5))) for i in range(60)]
+    docs = documents([*plain, (100, f"{prose(rng, 20)}\nDistributed under the GNU GPL version 2.\n{prose(rng, 20)}")])
+    found = {r.doc_id: r for r in licenses.scan(docs, licenses.train(docs)).collect()}
+    assert found[100].licence == "GPL" and found[100].n_notices == 1
+    assert all(found[i].licence == "none" and 0 < found[i].score < 0.5 for i, _ in plain)
