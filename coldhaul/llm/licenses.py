@@ -1,6 +1,6 @@
 """Licence scans by a trained paragraph classifier (DataFrame functions only on the data).
 
-A paragraph is a line of a text. A logistic regression over words and word pairs, trained on variations of the templates
+A paragraph is a run of lines up to a blank one; its lines are judged alone and joined. A logistic regression over words and word pairs, trained on variations of the templates
 below and on a bounded sample of other paragraphs, gives a probability to each licence family and to ``none``. Held-out
 paragraphs calibrate the probability from which a family is accepted; the best template of the family must also be
 found in the paragraph to a large part. What is neither none nor confirmed is ``unknown``. The model is small and becomes
@@ -173,8 +173,9 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = S
 
 
 def _columns(model: Model):
-    """The classifier of the lines of a text as an expression: an array of structs of family and score."""
+    """The classifier of a text as an expression: for each paragraph its notices, greatest score, and any unsure joined lines."""
     pairs = {f: [sorted(set(_terms(t)[(len(_terms(t)) + 1) // 2:])) for t in ts] for f, ts in TEMPLATES.items()}
+    longest = max(len(t.split()) for of in TEMPLATES.values() for t in of) + 1
     zero = [0.0] * len(model.classes)
     weights = {p: zero for of in pairs.values() for ps in of for p in ps} | model.weights
     vocabulary = sorted(weights)
@@ -202,38 +203,133 @@ def _columns(model: Model):
             return F.struct(F.element_at(names, at).alias("family"), (1 / total).alias("score"), none.alias("none"))
 
         def confirmed(b: Column) -> Column:
-            held = F.exists(F.element_at(compared, b["family"]), lambda ps: F.size(
-                F.array_intersect(found, ps)) >= F.size(ps) * F.lit(CONFIRM))
-            sure = (b["score"] >= model.accept) & F.coalesce(held, F.lit(False))
+            # part of the word pairs of the nearest template
+            part = F.array_max(F.transform(F.element_at(compared, b["family"]), lambda ps: F.size(
+                F.array_intersect(found, ps)) / F.size(ps)))
+            sure = (b["score"] >= model.accept) & (F.coalesce(part, F.lit(0.0)) >= CONFIRM)
             family = F.when(b["none"] >= 0.5, F.lit(NONE)).when(sure, b["family"]).otherwise(F.lit(UNKNOWN))
-            return F.struct(family.alias("family"), (1 - b["none"]).alias("score"))
+            return F.struct(family.alias("family"), (1 - b["none"]).alias("score"), F.when(
+                ~family.isin(NONE, UNKNOWN), part).otherwise(F.lit(0.0)).alias("part"), F.lit(0).alias("more"))
 
         return bound(bound(scores, best), confirmed)
 
-    def classify(lines: Column) -> Column:
-        # the terms of the model that the text has at all are looked up once; others have no weight in any line
-        held = F.array_intersect(F.flatten(F.transform(lines, lambda w: bound(w, terms))), listed)
+    def run(lines: Column, i: Column, j: Column) -> Column:
+        return F.flatten(F.slice(lines, i + 1, j - i + 1))
+
+    def reach(lines: Column, i: Column) -> Column:
+        """The place of the line by which, after line ``i``, as many words have come as the longest template has."""
+        return F.aggregate(F.slice(lines, i + 2, longest), F.struct(F.lit(longest).alias("left"), i.alias("at")), lambda s, w: F.struct(
+            (s["left"] - F.size(w)).alias("left"), (s["at"] + (s["left"] > 0).cast("int")).alias("at")))["at"]
+
+    def end(lines: Column, i: Column, family: Column, wrapped: Column, nearest: Column) -> Column:
+        """The place of the last line of the templates that only the joined lines hold; that of the line if there are none."""
+        def part(w: Column, ps: Column) -> Column:
+            return F.size(F.array_intersect(bound(w, terms), ps)) / F.size(ps)
+
+        def last(ps: Column) -> Column:
+            def of(whole: Column) -> Column:
+                alone = part(F.get(lines, i), ps)
+                reached = F.filter(F.sequence(i, reach(lines, i)), lambda j: part(run(lines, i, j), ps) >= whole)
+                return F.when((whole >= CONFIRM) & ((alone < CONFIRM) | wrapped & (whole >= nearest)), F.array_min(reached)).otherwise(i)
+
+            return bound(part(run(lines, i, reach(lines, i)), ps), of)
+
+        return F.coalesce(F.array_max(F.transform(F.element_at(compared, family), last)), i)
+
+    def paragraph(lines: Column, h: Column, none: Column) -> Column:
+        """Lines in order, each with its own verdict and that of the notice wrapped from it on, ``none`` if there is none."""
+        def verdict(w: Column) -> Column:
+            return bound(F.array_intersect(bound(w, terms), h), lambda found: F.when(
+                F.size(found) > 0, bound(found, decide)).otherwise(none))
+
+        def nearest(found: Column) -> Column:
+            """Of the runs from a line on the one nearest to its template, of equals the shortest; the greatest score of any."""
+            top = F.array_max(F.transform(found, lambda x, k: F.struct(x["part"].alias("part"), (-k).alias("k"), x["family"].alias("family"))))
+            family = F.when(top["part"] > 0, top["family"]).when(F.exists(found, lambda x: x["family"] == UNKNOWN), F.lit(UNKNOWN))
+            return F.struct(F.coalesce(family, F.lit(NONE)).alias("family"), F.array_max(F.transform(
+                found, lambda x: x["score"])).alias("score"), top["part"].alias("part"), (1 - top["k"]).alias("more"))
+
+        def both(w: Column, i: Column) -> Column:
+            # a notice can't start in a line that has no term of the model, not even with the next word
+            starts = F.arrays_overlap(bound(F.slice(F.flatten(F.slice(lines, i + 1, 2)), 1, F.size(w) + 1), terms), h)
+            return F.struct(verdict(w).alias("line"), F.when((i + 1 < F.size(lines)) & starts, bound(F.transform(F.sequence(
+                i + 1, reach(lines, i)), lambda j: verdict(run(lines, i, j))), nearest)).otherwise(none).alias("wrapped"))
+
+        return F.transform(lines, both)
+
+    def notices(lines: Column, of: Column, none: Column) -> Column:
+        """The verdicts of a paragraph's notices and other lines in order.
+
+        Of a line alone and the lines joined from it on, the one nearer to its template counts. A joined notice starts at the last
+        line from which on it is as near, and takes in the fragments of it in the lines it covers.
+        """
+        def part(x: Column, family: Column) -> Column:
+            return F.greatest(*[F.when(x[k]["family"] == family, x[k]["part"]).otherwise(F.lit(0.0)) for k in ("line", "wrapped")])
+
+        def chosen(x: Column, i: Column) -> Column:
+            better = x["wrapped"]["part"] > x["line"]["part"]
+            later = F.exists(F.slice(of, i + 2, x["wrapped"]["more"]), lambda y: part(y, x["wrapped"]["family"]) >= x["wrapped"]["part"])
+            wrapped = better & ~later
+            it = F.when(wrapped, x["wrapped"]).otherwise(x["line"])
+            return F.struct(it.alias("it"), i.alias("at"), F.when(
+                it["family"].isin(NONE, UNKNOWN), i).otherwise(end(lines, i, it["family"], wrapped, it["part"])).alias("to"))
+
+        def fold(state: Column, x: Column) -> Column:
+            it = x["it"]
+            inside = (x["at"] <= state["to"]) & ((it["family"] == UNKNOWN) | (it["family"] == state["family"]) & (
+                it["part"] < state["part"]))
+            notice = ~it["family"].isin(NONE, UNKNOWN)
+            opens = notice & ~inside & (x["to"] > x["at"])
+            return F.struct(
+                F.when(inside, state["out"]).otherwise(F.concat(state["out"], F.array(it))).alias("out"),
+                F.when(opens, x["to"]).otherwise(state["to"]).alias("to"),
+                F.when(opens, it["family"]).otherwise(state["family"]).alias("family"),
+                F.when(opens, it["part"]).otherwise(state["part"]).alias("part"))
+
+        first = F.struct(F.filter(F.array(none), lambda x: F.lit(False)).alias("out"), F.lit(-1).alias("to"), F.lit(NONE).alias("family"), F.lit(0.0).alias("part"))
+        said = F.filter(F.transform(of, chosen), lambda x: x["it"]["family"] != NONE)
+        return F.aggregate(said, first, fold)["out"]
+
+    def classify(paragraphs: Column) -> Column:
+        # the terms of the model that the text has at all are looked up once; others have no weight anywhere
+        held = F.array_intersect(F.flatten(F.transform(paragraphs, lambda ls: bound(F.flatten(ls), terms))), listed)
         plain = decide(F.array().cast("array<string>"))
-        return bound(plain, lambda none: bound(held, lambda h: F.transform(lines, lambda w: bound(
-            F.when(F.size(h) > 0, F.array_intersect(bound(w, terms), h)), lambda found: F.when(
-                F.size(found) > 0, bound(found, decide)).otherwise(none)))))
 
-    return lambda text: bound(F.filter(F.transform(F.split(text, "\n"), words), lambda w: F.size(w) > 0), classify)
+        def of(none: Column, h: Column) -> Column:
+            judged = F.transform(paragraphs, lambda ls: bound(paragraph(ls, h, none), lambda vs: F.struct(
+                notices(ls, vs, none).alias("found"),
+                F.array_max(F.transform(vs, lambda v: F.greatest(v["line"]["score"], v["wrapped"]["score"]))).alias("score"),
+                F.exists(vs, lambda v: v["wrapped"]["family"] == UNKNOWN).alias("unsure"))))
+            return F.when(F.size(h) > 0, judged).otherwise(F.transform(F.slice(paragraphs, 1, 1), lambda ls: F.struct(
+                F.filter(F.array(none), lambda x: F.lit(False)).alias("found"), none["score"].alias("score"), F.lit(False).alias("unsure"))))
+
+        return bound(plain, lambda none: bound(held, lambda h: of(none, h)))
+
+    def split(text: Column) -> Column:
+        worded = F.transform(F.split(text, "\\n[^\\S\\n]*\\n"), lambda p: F.filter(
+            F.transform(F.split(p, "\n"), words), lambda w: F.size(w) > 0))
+        return F.filter(worded, lambda ls: F.size(ls) > 0)
+
+    return lambda text: bound(split(text), classify)
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: doc_id, licence, families, n_notices, n_unknown, score.
 
-    Every line with a word is scored. ``families`` are the families of its confirmed notices, sorted; ``licence`` is the
-    family of the first notice, ``unknown`` if there are only such, else ``none``; ``score`` is the greatest probability
-    of a notice that any of its paragraphs gets, 0 without words. A null or empty text has none. Repeated rows are
+    A paragraph is a run of lines up to a blank one. Every line with a word is scored, and so is each with the lines
+    after it, as notices are wrapped. ``families`` are the families of its confirmed notices, sorted; ``licence`` is the
+    family of the first notice, ``unknown`` if there are only such, else ``none``; ``n_unknown`` counts the unconfirmed
+    lines outside of notices, or is 1 if only lines joined read as a notice; ``score`` is the greatest probability of a notice that
+    any line, alone or joined, gets, 0 without words. A null or empty text has none. Repeated rows are
     scanned each. An empty table gives no rows; other columns are ignored.
     """
-    found = docs.select("doc_id", _columns(model)(F.coalesce(F.col("text"), F.lit(""))).alias("found"))
-    notices = F.filter("found", lambda x: ~x["family"].isin(NONE, UNKNOWN))
-    unknown = F.filter("found", lambda x: x["family"] == UNKNOWN)
-    return found.select("doc_id", notices.alias("notices"), F.size(unknown).cast("long").alias("n_unknown"),
-                        F.coalesce(F.array_max(F.transform("found", lambda x: x["score"])), F.lit(0.0)).alias("score")).select(
+    judged = docs.select("doc_id", _columns(model)(F.coalesce(F.col("text"), F.lit(""))).alias("judged"))
+    found = judged.select("doc_id", F.flatten(F.transform("judged", lambda x: x["found"])).alias("found"), F.exists(
+        "judged", lambda x: x["unsure"]).alias("unsure"), F.coalesce(F.array_max(F.transform(
+            "judged", lambda x: x["score"])), F.lit(0.0)).alias("score"))
+    notices = F.filter("found", lambda x: x["family"] != UNKNOWN)
+    return found.select("doc_id", notices.alias("notices"), F.when((F.size("found") == 0) & F.col("unsure"), F.lit(1)).otherwise(
+        F.size("found") - F.size(notices)).cast("long").alias("n_unknown"), "score").select(
         "doc_id", F.when(F.size("notices") > 0, F.element_at("notices", 1)["family"]).when(
             F.col("n_unknown") > 0, F.lit(UNKNOWN)).otherwise(F.lit(NONE)).alias("licence"),
         F.sort_array(F.array_distinct(F.transform("notices", lambda x: x["family"]))).alias("families"),

@@ -2,6 +2,7 @@
 
 import collections
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -138,3 +139,24 @@ def test_licences_without_usual_words(spark, documents):
     found = {r.doc_id: r for r in licenses.scan(docs, licenses.train(docs)).collect()}
     assert found[100].licence == "GPL" and found[100].n_notices == 1
     assert all(found[i].licence == "none" and 0 < found[i].score < 0.5 for i, _ in plain)
+
+
+def test_wrapped_licences(spark, documents):
+    rng = np.random.default_rng(5)
+    plain = [(i, "\n".join(prose(rng, 30) for _ in range(5))) for i in range(60)]
+    long = [(f, t) for f, ts in licenses.TEMPLATES.items() for t in ts if len(t) > 100]
+    wrapped = [(100 + i, f"{prose(rng, 20)}\n\n# " + "\n# ".join(textwrap.wrap(t, w)) + f"\n{end}{prose(rng, 20)}")
+               for i, (_, t, w, end) in enumerate((f, t, w, end) for f, t in long for w in (40, 60, 72) for end in ("", "\n"))]
+    families = [f for f, _ in long for _ in range(6)]
+    both = "Licensed under the\nMIT License.\nAll rights reserved.\n\nLicensed under the Apache License,\nVersion 2.0."
+    docs = documents([*plain, *wrapped, (300, both), (301, both.replace("\n", "\r\n"))])
+    # a line with a word of a notice, and one without, come before it
+    docs = docs.unionByName(documents([(302, "w1 rights w2\nw3\nAll rights reserved.")]))
+    found = {r.doc_id: r for r in licenses.scan(docs, licenses.train(docs)).collect()}
+    wrong = [(f, t, found[i]) for (i, t), f in zip(wrapped, families) if (found[i].families, found[i].n_notices) != ([f], 1)]
+    assert not wrong
+    assert all(found[i].licence == "none" for i, _ in plain)
+    for i in (300, 301):
+        assert found[i].licence == "MIT" and found[i].n_notices == 3
+        assert found[i].families == ["Apache-2.0", "MIT", "proprietary"]
+    assert found[302].families == ["proprietary"] and found[302].n_notices == 1
