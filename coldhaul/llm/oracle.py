@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from coldhaul.llm import chat, mixing, quality, sharding, topk
+from coldhaul.llm import chat, fim, mixing, negatives, quality, sharding, topk
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -175,7 +175,50 @@ FROM split s LEFT JOIN texts t ON s.text = t.text AND len(s.words) > 0
   LEFT JOIN classes c ON c.first = t.first LEFT JOIN linked l ON l.first = t.first"""
 
 
+def op11() -> str:
+    n = negatives
+    return f"""
+WITH rows AS (SELECT vec_id, CASE WHEN vec_id % {n.SHIFTED} = 0 THEN (label + 1) % {n.CLASSES} ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(x::DOUBLE * {n.SCALE})) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, v) = 1),
+scores AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM rows a JOIN rows c ON a.vec_id <> c.vec_id WHERE a.vec_id % {n.EVERY} = 0),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {n.POSITIVES})
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id AS negative_id,
+  positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND {n.LOW} * positive_score <= 100 * score AND 100 * score <= {n.HIGH} * positive_score
+QUALIFY rank <= {n.NEGATIVES}"""
+
+
+def op12() -> str:
+    def joined(low: str, high: str) -> str:
+        return f"array_to_string(units[{low} + 1:{high}], '')"
+
+    marks = " OR ".join(f"contains(text, {_quoted(s)})" for s in (fim.PREFIX, fim.SUFFIX, fim.MIDDLE))
+    draws = ", ".join(f"('0x' || substr(digest, {8 * i + 1}, 8))::BIGINT AS h{i + 1}" for i in range(4))
+    p, s, m = (_quoted(x) for x in (fim.PREFIX, fim.SUFFIX, fim.MIDDLE))
+    return f"""
+WITH cut AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+    sha256('{fim.SEED}:' || coalesce(doc_id::VARCHAR, 'null')) AS digest FROM documents),
+drawn AS (SELECT *, len(units)::BIGINT AS n, {draws} FROM cut),
+formed AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR {marks} OR h3 % 100 >= {fim.TRANSFORMED_PERCENT} THEN 'plain'
+      WHEN h4 % 100 < {fim.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, {joined('0', 'a')} AS pre, {joined('a', 'b')} AS mid, {joined('b', 'n')} AS suf FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN {p} || pre || {s} || suf || {m} || mid
+    WHEN 'spm' THEN {s} || suf || {p} || pre || {m} || mid ELSE text END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts"""
+
+
 ORACLE_SQL = {
     "op1_chat_formatting": op1(), "op2_mixing": op2(), "op3_sharding": op3(), "op4_exact_top_k": op4(),
     "op6_quality_rules": op6(), "op7_ngram_jaccard_join": op7(),
+    "op11_hard_negatives": op11(), "op12_fill_in_middle": op12(),
 }

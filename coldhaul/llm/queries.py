@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldhaul.llm import chat, language, licenses, mixing, neardup, packing, quality, sharding, suffixes, topk
+from coldhaul.llm import (
+    chat, fim, language, licenses, mixing, neardup, negatives, packing, pages, quality, sharding, suffixes, topk)
 from coldhaul.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
 
@@ -63,6 +64,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.train(docs))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.transform_digests(_table(spark, sf_dir, "documents"))
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_formatting, op2_mixing, op3_sharding, op4_exact_top_k, op5_suffix_array_dedup, op6_quality_rules,
-                                op7_ngram_jaccard_join, op8_best_fit_packing, op9_license_scans, op10_language_id)}
+                                op7_ngram_jaccard_join, op8_best_fit_packing, op9_license_scans, op10_language_id, op11_hard_negatives,
+                                op12_fill_in_middle, op13_html_extraction)}
