@@ -414,14 +414,17 @@ def merge_fact(fleet):
     tables.merge_partitions(path, base.where(F.col("start_date_key_sk") < 20240120), "trip_sk", "start_date")
     for _ in range(2):
         tables.merge_partitions(path, _late_corrections(base), "trip_sk", "start_date")
-    return fleet.spark.read.parquet(path).select(*MERGE_RESULT)
+    return tables.read_partitioned(fleet.spark, path, "start_date").select(*MERGE_RESULT)
 
 
 @query
 def append_new_columns(fleet):
-    base = cut(fact(fleet), "fact")
-    updates = _late_corrections(base).withColumn("audit_note", F.lit("late"))
-    return tables.merge_by_key(base, updates, "trip_sk").select(*MERGE_RESULT, "audit_note")
+    """Updates bring a column that the table does not have; it is declared, and the older files read as null."""
+    path = scratch_path(fleet.spark, "fct-grown")
+    base = cut(_fact_by_start(fact(fleet)), "fact")
+    tables.merge_partitions(path, base, "trip_sk", "start_date")
+    tables.merge_partitions(path, _late_corrections(base).withColumn("audit_note", F.lit("late")), "trip_sk", "start_date")
+    return tables.read_partitioned(fleet.spark, path, "start_date").select(*MERGE_RESULT, "audit_note")
 
 
 @query

@@ -4,13 +4,14 @@ Zones under one root: ``landing`` (raw tables and messages as they arrive), ``br
 (copied day by day), ``silver`` (clean), ``staging`` (per-trip rollups) and ``gold``.
 Trip-grain tables are partitioned by the day a trip starts. Pings arrive by the date of their message
 and are kept by the day of their event; a daily run merges its arrivals into the event days they
-belong to and rebuilds those days' parts, so late pings count as in a full rebuild.
+belong to and rebuilds those days' parts, so late pings count as in a full rebuild. What a daily run reads is named
+from small tables: declared columns, the partitions of a key, and the last end among the trips of each start day.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +26,10 @@ from coldhaul.operators.ordered import dedupe_full_row, drop_null_keys
 from coldhaul.plans import gold, silver
 from coldhaul.plans.control import UNKNOWN_ROWS, ControlTable
 from coldhaul.session import cut, together
+from coldhaul.sinks.schema_log import read_table
 from coldhaul.sinks.tables import (
-    copy_partition_forward, in_partitions, merge_partitions, read_partitioned, replace_partition,
-    write_overwrite, write_partitioned)
+    build_key_map, copy_partition_forward, merge_partitions, read_partitioned, read_partitions, read_span,
+    replace_partition, replace_partitions, write_overwrite, write_partitioned)
 from coldhaul.sources.files import path_exists, scan_daily_slice, scan_days
 from coldhaul.streaming.messages import envelope, parse_json
 
@@ -39,6 +41,11 @@ PING_NUMBERS = {
     "slow": {"fuel_amount_l": "double", "is_door_open": "int", "cargo_temp_c": "double"},
 }
 START = "actual_start_time"
+# event times outside of these years are taken as malformed, which bounds the days that pings can lie on
+YEARS = ("2000-01-01", "2100-01-01")
+# the keys that the daily run merges by
+KEYS = {("silver", "trips"): "trip_id", ("silver", "trip_cargo"): "trip_id", ("staging", "trip_cargo_agg"): "trip_id",
+        ("staging", "trip_telemetry_agg"): "trip_id", ("gold", "fct_trip_operations"): "trip_sk"}
 # the date columns that tables are partitioned by
 PARTITIONS = {("landing", "trips"): "dt", ("landing", "trip_cargo"): "dt",
               ("silver", "trips"): "start_date", ("silver", "trip_cargo"): "start_date",
@@ -52,9 +59,11 @@ PARTITIONS = {("landing", "trips"): "dt", ("landing", "trip_cargo"): "dt",
 def clean_pings(envelopes: DataFrame, kind: str) -> DataFrame:
     """Parse one topic's envelopes; rows without a vehicle and repeated rows go."""
     pings = parse_json(envelopes, "raw_json", TOPICS[kind])
+    at = F.col("timestamp").try_cast("timestamp_ntz")
+    first, after = [F.lit(day).cast("timestamp_ntz") for day in YEARS]
     typed = pings.withColumns({
         "vehicle_id": F.col("vehicle_id").try_cast("bigint"),
-        "ts": F.col("timestamp").try_cast("timestamp_ntz"),
+        "ts": F.when((at >= first) & (at < after), at),
         **{c: number(c, t) for c, t in PING_NUMBERS[kind].items()}}).drop("timestamp")
     return dedupe_full_row(drop_null_keys(typed, ["vehicle_id"]))
 
@@ -77,9 +86,34 @@ class Lake:
     def read(self, zone: str, table: str) -> DataFrame:
         column = PARTITIONS.get((zone, table))
         if column is None:
-            return self.spark.read.parquet(self.path(zone, table))
+            return read_table(self.spark, self.path(zone, table))
         return read_partitioned(self.spark, self.path(zone, table), column)
 
+    def span(self, zone: str, table: str, first: date | None, last: date | None) -> DataFrame:
+        """The partitions of a table between two days; only their folders are listed."""
+        return read_span(self.spark, self.path(zone, table), PARTITIONS[zone, table], first, last)
+
+    def merge(self, zone: str, table: str, rows: DataFrame, replaced: DataFrame | None = None) -> None:
+        merge_partitions(self.path(zone, table), rows, KEYS[zone, table], PARTITIONS[zone, table], replaced)
+
+    def note_ends(self, trips: DataFrame) -> None:
+        """Log the last end among the given trips of each start day.
+
+        The log only grows, a row per day and run: the greatest end logged for a day is never before the true one, and
+        a later one makes :meth:`since` go further back than need be.
+        """
+        (trips.where("start_date IS NOT NULL").groupBy("start_date").agg(F.max("actual_end_time").alias("last_end"))
+         .coalesce(1).write.mode("append").parquet(self.path("control", "trip_ends")))
+
+    def since(self, day: date) -> date:
+        """The first start day of a trip that may still run on ``day``.
+
+        All trips that start from then on are needed, as a later trip ends the window of an earlier one.
+        """
+        ends = self.spark.read.schema("start_date date, last_end timestamp_ntz").parquet(self.path("control", "trip_ends"))
+        first = ends.where(F.col("last_end") >= F.lit(str(day)).cast("timestamp_ntz")).agg(F.min("start_date")).first()[0]
+        return min(first or day, day)
+
     def land(self, raw: dict[str, DataFrame], messages: dict[str, DataFrame]) -> None:
         """Put raw tables and messages into the landing zone, trips and pings by day."""
         trips = raw["trips"].withColumn("dt", F.col(START).try_cast("timestamp_ntz").cast("date"))
@@ -140,6 +174,9 @@ def backfill_run(lake: Lake, until: date) -> None:
     write_partitioned(_by_start(trips), lake.path("silver", "trips"), "start_date")
     trips = lake.read("silver", "trips")
     bridge = silver.silver_trip_cargo(landed("trip_cargo").where(known), trips, dims["cargo"])
+    write_overwrite(trips.limit(0).select("start_date", F.col("actual_end_time").alias("last_end")),
+                    lake.path("control", "trip_ends"))
+    lake.note_ends(trips)
     starts = trips.select("trip_id", "start_date")
     write_partitioned(bridge.join(starts, "trip_id"), lake.path("silver", "trip_cargo"), "start_date")
     bridge = lake.read("silver", "trip_cargo")
@@ -163,6 +200,7 @@ def backfill_run(lake: Lake, until: date) -> None:
                  lake.read("staging", "trip_cargo_agg").drop("start_date"),
                  lake.read("staging", "trip_telemetry_agg").drop("start_date"))
     write_partitioned(fact, lake.path("gold", "fct_trip_operations"), "start_date")
+    together(*[partial(build_key_map, lake.spark, lake.path(*table), key, PARTITIONS[table]) for table, key in KEYS.items()])
     quality.enforce(lake.gate())
     lake.control.ensure()
 
@@ -196,13 +234,15 @@ def silver_day(lake: Lake, day: date) -> int:
     replace_partition(event_days, lake.path("control", "event_days"), "dt", day)
     trips = silver.silver_trips(_bronze(lake, "trips", schemas.RAW["trips"], day),
                                 *[lake.read("silver", n) for n in ("vehicles", "drivers", "routes")])
-    # a trip that arrives again with another start day leaves its old partition
     trips = cut(_by_start(trips), "trips-of-day")
-    merge_partitions(lake.path("silver", "trips"), trips, "trip_id", "start_date")
     bridge = silver.silver_trip_cargo(_bronze(lake, "trip_cargo", schemas.RAW["trip_cargo"], day),
                                       trips, lake.read("silver", "cargo"))
-    rows += replace_partition(bridge, lake.path("silver", "trip_cargo"), "start_date", day)
-    return rows
+    bridge = cut(bridge.join(trips.select("trip_id", "start_date"), "trip_id"), "cargo-of-day")
+    # a trip that arrives again with another start day leaves its old partition, and its cargo with it
+    lake.note_ends(trips)
+    together(partial(lake.merge, "silver", "trips", trips),
+             partial(lake.merge, "silver", "trip_cargo", bridge, trips.select("trip_id")))
+    return rows + bridge.count()
 
 
 def merge_pings(lake: Lake, kind: str, arrived: DataFrame) -> set[date | None]:
@@ -214,37 +254,33 @@ def merge_pings(lake: Lake, kind: str, arrived: DataFrame) -> set[date | None]:
     path = lake.path("silver", kind)
     days = {r[0] for r in arrived.select("dt").distinct().collect()}
     if days and path_exists(lake.spark, path):
-        held = lake.read("silver", kind).where(in_partitions("dt", list(days)))
-        arrived = cut(dedupe_full_row(held.unionByName(arrived)), "merged-pings")
+        held = read_partitions(lake.spark, path, "dt", days)
+        arrived = dedupe_full_row(held.unionByName(arrived))
     if days:
-        write_partitioned(arrived, path, "dt", dynamic=True)
+        replace_partitions(arrived, path, "dt", days)
     return days
 
 
 def event_days(lake: Lake, day: date) -> list[date]:
     """The day itself and the event days of the pings that arrived on it."""
-    schema = T.StructType([T.StructField("event_day", T.DateType()), T.StructField("dt", T.DateType())])
-    rows = lake.spark.read.schema(schema).parquet(lake.path("control", "event_days")).where(F.col("dt") == F.lit(day))
+    rows = scan_daily_slice(lake.spark, lake.path("control", "event_days"),
+                            T.StructType([T.StructField("event_day", T.DateType())]), "dt", day)
     return sorted({day, *(r[0] for r in rows.select("event_day").collect())})
 
 
 def match_days(lake: Lake, days: list[date]) -> None:
     """Match the pings of event days to trips and store the days' parts of each trip's rollup.
 
-    Parts add up over days, so only these days' pings are read. A trip is looked for among those that
-    start up to the last of the days, so later partitions are not read.
+    Parts add up over days, so only these days' pings are read, and of the trips those that start between the first
+    day of a trip that may still run and the last event day.
     """
-    after = max(days) + timedelta(days=1)
-    trips = lake.read("silver", "trips").where(F.col("start_date") < F.lit(after))
-    windows = cut(trip_windows(trips).where(
+    first = lake.since(min(days))
+    windows = cut(trip_windows(lake.span("silver", "trips", first, max(days))).where(
         F.col("end_ts") >= F.lit(str(min(days))).cast("timestamp_ntz")), "windows-of-day")
-    bridge = lake.read("silver", "trip_cargo").join(windows.select("trip_id"), "trip_id", "left_semi")
+    bridge = lake.span("silver", "trip_cargo", first, max(days)).join(windows.select("trip_id"), "trip_id", "left_semi")
     bounds = rollup.trip_thermal_bounds(bridge, lake.read("silver", "cargo"))
-    for name, part in _parts(lake.pings("quick", days), lake.pings("slow", days), windows, bounds).items():
-        part = cut(part, "parts")
-        write_partitioned(part, lake.path("staging", name), "dt", dynamic=True)
-        for emptied in set(days) - {r[0] for r in part.select("dt").distinct().collect()}:
-            replace_partition(part.limit(0), lake.path("staging", name), "dt", emptied)
+    parts = _parts(lake.pings("quick", days), lake.pings("slow", days), windows, bounds)
+    together(*[partial(replace_partitions, part, lake.path("staging", name), "dt", days) for name, part in parts.items()])
 
 
 def _parts(quick: DataFrame, slow: DataFrame, windows: DataFrame,
@@ -259,10 +295,11 @@ def _parts(quick: DataFrame, slow: DataFrame, windows: DataFrame,
 def touched_trips(lake: Lake, day: date) -> DataFrame:
     """Trips that started on the day or have pings on its event days, with their start."""
     days = event_days(lake, day)
-    trips = lake.read("silver", "trips").where(F.col("start_date") <= F.lit(max(days)))
+    trips = lake.span("silver", "trips", lake.since(min(days)), max(days))
     ids = trips.where(F.col("start_date") == F.lit(day)).select("trip_id")
     for kind in ("quick_parts", "slow_parts"):
-        ids = ids.unionByName(lake.read("staging", kind).where(F.col("dt").isin(days)).select("trip_id"))
+        parts = read_partitions(lake.spark, lake.path("staging", kind), "dt", days)
+        ids = ids.unionByName(parts.select("trip_id"))
     return trips.join(ids.distinct(), "trip_id", "left_semi")
 
 
@@ -273,23 +310,20 @@ def telemetry_day(lake: Lake, day: date) -> int:
     since = touched.agg(F.min("start_date")).first()[0] or day
 
     def parts(kind: str) -> DataFrame:
-        return (lake.read("staging", kind).where(F.col("dt") >= F.lit(since))
-                .join(touched.select("trip_id"), "trip_id", "left_semi"))
+        return lake.span("staging", kind, since, None).join(touched.select("trip_id"), "trip_id", "left_semi")
 
     rolled = rollup.outer_join_rollups(rollup.quick_totals(parts("quick_parts")),
                                        rollup.slow_totals(parts("slow_parts")))
     rolled = cut(rolled.join(touched, "trip_id"), "rolled")
-    merge_partitions(lake.path("staging", "trip_telemetry_agg"), rolled, "trip_id", "start_date")
+    lake.merge("staging", "trip_telemetry_agg", rolled, touched.select("trip_id"))
     return rolled.count()
 
 
 def staging_day(lake: Lake, day: date) -> int:
-    trips = scan_daily_slice(lake.spark, lake.path("silver", "trips"),
-                             lake.read("silver", "trips").schema, "start_date", day)
-    bridge = lake.read("silver", "trip_cargo").where(F.col("start_date") == F.lit(day))
+    trips = lake.span("silver", "trips", day, day)
+    bridge = lake.span("silver", "trip_cargo", day, day)
     agg = rollup.trip_cargo_agg(bridge.drop("start_date"), lake.read("silver", "cargo"))
-    merge_partitions(lake.path("staging", "trip_cargo_agg"),
-                     agg.withColumn("start_date", F.lit(day)), "trip_id", "start_date")
+    lake.merge("staging", "trip_cargo_agg", agg.withColumn("start_date", F.lit(day)), trips.select("trip_id"))
     return trips.count()
 
 
@@ -299,11 +333,9 @@ def gold_day(lake: Lake, day: date) -> int:
     first, last = touched.agg(F.min("start_date"), F.max("start_date")).first()
     trips = touched.select("trip_id")
     cargo_agg, telemetry = [
-        lake.read("staging", t).where(F.col("start_date").between(F.lit(first or day), F.lit(last or day)))
-        .drop("start_date").join(trips, "trip_id", "left_semi")
+        lake.span("staging", t, first or day, last or day).drop("start_date").join(trips, "trip_id", "left_semi")
         for t in ("trip_cargo_agg", "trip_telemetry_agg")]
-    merge_partitions(lake.path("gold", "fct_trip_operations"),
-                     _fact(touched.drop("start_date"), cargo_agg, telemetry), "trip_sk", "start_date")
+    lake.merge("gold", "fct_trip_operations", _fact(touched.drop("start_date"), cargo_agg, telemetry))
     return UNKNOWN_ROWS
 
 

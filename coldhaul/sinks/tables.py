@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterable
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coldhaul.session import cut
-from coldhaul.sources.files import path_exists, scan_daily_slice
+from coldhaul.session import cut, scratch_path
+from coldhaul.sinks.key_map import KeyMap, bucket_of
+from coldhaul.sinks.schema_log import beside, declare, declared, read_table
+from coldhaul.sources.files import child_names, path_exists, remove, scan_daily_slice, scan_folders
 
 log = logging.getLogger(__name__)
 
@@ -30,6 +33,7 @@ def write_overwrite(df: DataFrame, path: str, audit_path: str | None = None) ->
     """
     counted, seen = _counted(df)
     counted.write.mode("overwrite").parquet(path)
+    declare(df.sparkSession, path, df.schema, fresh=True)
     if audit_path is not None:
         try:
             df.sparkSession.read.schema(df.schema).parquet(path).write.mode("overwrite").parquet(audit_path)
@@ -55,32 +59,71 @@ def write_partitioned(df: DataFrame, path: str, column: str, dynamic: bool = Fal
     Rows are rebalanced by the partition column first: each partition gets few files, and a
     large one is still written by many tasks.
     """
-    (df.hint("rebalance", F.col(column)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    forget_keys(df.sparkSession, path)
+    _overwrite(df.hint("rebalance", F.col(column)), path, column, dynamic)
+
+
+def _overwrite(df: DataFrame, path: str, column: str, dynamic: bool) -> None:
+    """The columns are declared before the files: a column too many is null, one too few would be lost."""
+    declare(df.sparkSession, path, df.schema, fresh=not dynamic)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .partitionBy(column).parquet(path))
 
 
+def forget_keys(spark: SparkSession, path: str) -> None:
+    """A write that does not go through the map of keys makes it untrue; the next merge builds it anew."""
+    remove(spark, beside(path, "_keys"))
+
+
+def folder_of(column: str, value: object) -> str:
+    """The folder of a partition value, a date or a number, or of rows without one."""
+    return f"{column}={NULL_PARTITION if value is None else value}"
+
+
 def replace_partition(day_rows: DataFrame, path: str, column: str, day: date | None) -> int:
     """Replace one date partition, of undated rows if ``day`` is None; an empty slice clears it."""
     counted, seen = _counted(day_rows.drop(column))
-    counted.write.mode("overwrite").parquet(f"{path}/{column}={NULL_PARTITION if day is None else day}")
+    forget_keys(day_rows.sparkSession, path)
+    declare(day_rows.sparkSession, path, T.StructType([*counted.schema, T.StructField(column, T.DateType())]))
+    counted.write.mode("overwrite").parquet(f"{path}/{folder_of(column, day)}")
     return seen.get["rows"]
 
 
-def read_partitioned(spark: SparkSession, path: str, column: str, kind: T.DataType | None = None) -> DataFrame:
-    """A partitioned table with all columns of its files and a declared type (a date) of the partition column.
+def replace_partitions(df: DataFrame, path: str, column: str, values: Iterable[object], keys_known: bool = False) -> None:
+    """Replace exactly the partitions of ``values``, which hold all rows of ``df``; those without a row are emptied.
 
-    Spark would guess that type from the folder names, of which a single odd one makes all of them strings.
+    The rows are written to the shared folder first, so ``df`` may read the table. The folders found there tell the
+    filled partitions, and the others are removed as folders: no job runs per partition.
     """
-    found = spark.read.option("mergeSchema", True).parquet(path).schema
-    fields = [f for f in found if f.name != column]
-    return spark.read.schema(T.StructType([*fields, T.StructField(column, kind or T.DateType())])).parquet(path)
+    spark, staged = df.sparkSession, scratch_path(df.sparkSession, "staged")
+    if not keys_known:
+        forget_keys(spark, path)
+    df.hint("rebalance", F.col(column)).write.partitionBy(column).parquet(staged)
+    filled = {n for n in child_names(spark, staged) if n.startswith(f"{column}=")}
+    if filled:
+        _overwrite(spark.read.schema(df.schema).parquet(staged), path, column, dynamic=True)
+    for emptied in {folder_of(column, v) for v in values} - filled:
+        remove(spark, f"{path}/{emptied}")
+    remove(spark, staged)
 
 
-def in_partitions(column: str, values: list) -> Column:
-    """Whether the partition value is one of ``values``, null among them if None is; prunes the scan."""
-    dated = F.col(column).isin([v for v in values if v is not None])
-    return (dated | F.col(column).isNull()) if None in values else dated
+def read_partitioned(spark: SparkSession, path: str, column: str, kind: T.DataType | None = None) -> DataFrame:
+    """A partitioned table with all its declared columns, and a declared type (a date) of the partition column."""
+    return read_table(spark, path, T.StructField(column, kind or T.DateType()))
+
+
+def read_partitions(spark: SparkSession, path: str, column: str, values: Iterable[object]) -> DataFrame:
+    """The rows of some partitions of a table; only their folders are named, no others are listed."""
+    schema = declared(spark, path) or read_partitioned(spark, path, column).schema
+    return scan_folders(spark, path, schema, sorted({folder_of(column, v) for v in values}))
+
+
+def read_span(spark: SparkSession, path: str, column: str, first: date | None, last: date | None) -> DataFrame:
+    """The rows of the date partitions from ``first`` to ``last``, as far as there are; undated rows are left out."""
+    schema = declared(spark, path) or read_partitioned(spark, path, column).schema
+    dated = [n for n in child_names(spark, path) if n.startswith(f"{column}=") and not n.endswith(NULL_PARTITION)]
+    return scan_folders(spark, path, schema, [n for n in dated if (first is None or n >= f"{column}={first}")
+                                              and (last is None or n <= f"{column}={last}")])
 
 
 def copy_partition_forward(spark: SparkSession, src: str, dst: str, schema, column: str,
@@ -117,32 +160,45 @@ def append_new_columns(target: DataFrame, rows: DataFrame) -> DataFrame:
     return target.unionByName(rows, allowMissingColumns=True)
 
 
-def merge_by_key(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Update rows with a known key, insert the others; new columns are added."""
-    return append_new_columns(target.join(updates.select(key), key, "left_anti"), updates)
+def _key_map(spark: SparkSession, path: str, schema: T.StructType, key: str, part: str) -> KeyMap:
+    return KeyMap(spark, path, schema[key], schema[part])
+
+
+def build_key_map(spark: SparkSession, path: str, key: str, part: str) -> None:
+    """Learn the places of all keys from the table, so that the first merge need not."""
+    target = read_table(spark, path)
+    _key_map(spark, path, target.schema, key, part).build(target.select(key, part))
 
 
-def merge_partitions(path: str, updates: DataFrame, key: str, part: str) -> None:
+def merge_partitions(path: str, updates: DataFrame, key: str, part: str, replaced: DataFrame | None = None) -> None:
     """Merge into a table partitioned by ``part``, rewriting only the touched partitions.
 
-    Touched are the partitions of the updates and those where their keys lie now; rows without a
-    partition value are a partition like any other. The merged rows are written to the shared folder first, so the table is never read and
-    overwritten by the same job.
+    Touched are the partitions of the updates and those where their keys may lie by the map of keys; rows without a
+    partition value are a partition like any other. Rows of the keys in ``replaced`` go even if no update has them. A merge
+    reads the map and the touched partitions, and no other file of the table.
     """
     spark = updates.sparkSession
     updates = cut(updates, "merge-updates")
     if not path_exists(spark, path):
         write_partitioned(updates, path, part)
+        _key_map(spark, path, updates.schema, key, part).build(updates)
         return
-    target = read_partitioned(spark, path, part, updates.schema[part].dataType)
-    held = target.join(updates.select(key), key, "left_semi").select(part)
-    # one row per touched date at most
-    touched = [r[0] for r in held.unionByName(updates.select(part)).distinct().collect()]
-    merged = cut(merge_by_key(target.where(in_partitions(part, touched)), updates, key), "merge")
-    write_partitioned(merged, path, part, dynamic=True)
-    filled = {r[0] for r in merged.select(part).distinct().collect()}
-    for emptied in set(touched) - filled:
-        replace_partition(merged.limit(0), path, part, emptied)
+    keys = updates.select(key)
+    if replaced is not None:
+        keys = cut(keys.unionByName(replaced.select(key)).distinct(), "replaced-keys")
+    schema = declare(spark, path, updates.schema)
+    known = _key_map(spark, path, schema, key, part)
+    if not known.exists():
+        known.build(read_table(spark, path).select(key, part))
+    # numbers below the count of buckets, and one row per touched date at most
+    buckets = [r[0] for r in keys.select(bucket_of(key)).distinct().collect()]
+    held = known.lookup(keys, buckets).unionByName(updates.select(F.col(part).alias("part"))).distinct()
+    touched = [r[0] for r in held.collect()]
+    generation = known.add(updates.select(key, part))
+    target = read_partitions(spark, path, part, touched)
+    merged = append_new_columns(target.join(keys, key, "left_anti"), updates)
+    replace_partitions(merged, path, part, touched, keys_known=True)
+    known.settle(generation)
 
 
 def upsert_positions(status: DataFrame, latest: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import date
 
@@ -36,6 +37,33 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p))
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file of our own, whole."""
+    fs, p = _hadoop(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file, whole or not at all; False if the name is taken, by whatever it holds."""
+    fs, p = _hadoop(spark, path)
+    if fs.exists(p):
+        return False
+    draft = _hadoop(spark, f"{path}.{uuid.uuid4().hex}.tmp")[1]
+    stream = fs.create(draft)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    done = fs.rename(draft, p)
+    if not done:
+        fs.delete(draft, False)
+    return done
+
+
 def scan_csv_strings(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A CSV with a header, every declared column a string."""
     return spark.read.schema(schema).csv(path, header=True, enforceSchema=False)
@@ -61,13 +89,17 @@ def scan_days(spark: SparkSession, path: str, schema: T.StructType, column: str,
 
     The partition folders are named directly, so other partitions are not even listed.
     """
-    found = [f"{path}/{column}={d}" for d in days]
-    found = [p for p in found if path_exists(spark, p)]
     full = T.StructType([f for f in schema.fields if f.name != column]
                         + [T.StructField(column, T.DateType())])
+    return scan_folders(spark, path, full, [f"{column}={d}" for d in days])
+
+
+def scan_folders(spark: SparkSession, path: str, schema: T.StructType, folders: Iterable[str]) -> DataFrame:
+    """The rows of the named partition folders of a table; missing ones add none."""
+    found = [p for p in (f"{path}/{f}" for f in folders) if path_exists(spark, p)]
     if not found:
-        return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", path).parquet(*found)
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*found)
 
 
 def scan_daily_slice(spark: SparkSession, path: str, schema: T.StructType, column: str,
