@@ -13,7 +13,7 @@ from coldhaul import schemas
 from coldhaul.functions import columns as c
 from coldhaul.functions import rules
 from coldhaul.operators import audits, joins, quality, rollup
-from coldhaul.operators.asof import match_trips, trip_windows
+from coldhaul.operators.asof import any_long, match_trips, trip_windows
 from coldhaul.operators.ordered import (
     dedupe_by_key, dedupe_full_row, drop_null_keys, resequence, top_rows)
 from coldhaul.plans import bi, control, daily, gold, silver
@@ -62,12 +62,12 @@ def bounds(fleet: FleetData) -> DataFrame:
 
 
 def matched_quick(fleet: FleetData) -> DataFrame:
-    return match_trips(fleet.quick(), trip_windows(fleet.trips()), "ts")
+    return match_trips(fleet.quick(), trip_windows(fleet.trips()), "ts", long=any_long(fleet.trips()))
 
 
 def matched_slow(fleet: FleetData) -> DataFrame:
     windows = rollup.bounded_windows(trip_windows(fleet.trips()), bounds(fleet))
-    return match_trips(fleet.slow(), windows, "ts")
+    return match_trips(fleet.slow(), windows, "ts", long=any_long(fleet.trips()))
 
 
 def telemetry(fleet: FleetData) -> DataFrame:

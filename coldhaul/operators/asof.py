@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from coldhaul.operators.ordered import next_value
 
+#: Windows of more days are laid on the days of their vehicle's pings.
+LONG_DAYS = 31
+
 
 def trip_windows(trips: DataFrame, extras: list[str] | None = None) -> DataFrame:
     """Disjoint trip windows: ``vehicle_id, start_ts, end_ts, next_start, trip_id, *extras``.
@@ -28,16 +31,13 @@ def trip_windows(trips: DataFrame, extras: list[str] | None = None) -> DataFrame
     return following.where(F.col("next_start").isNull() | (F.col("next_start") > F.col("start_ts")))
 
 
-def window_days(windows: DataFrame, first: Column | None = None, last: Column | None = None) -> DataFrame:
-    """One row per window and calendar day it covers, as ``_day``, from ``first`` to ``last`` if given.
+def window_days(windows: DataFrame, last: Column | None = None) -> DataFrame:
+    """One row per window and calendar day it covers, as ``_day``, up to ``last`` if given.
 
     Windows of a vehicle are disjoint, so this yields at most one row per window plus one
-    per vehicle and day. The last window of a vehicle is bounded by nothing but its end, which may be
-    wrong by millennia; ``last`` bounds it.
+    per vehicle and day. A window may end millennia late; ``last`` bounds it.
     """
     begin, end = F.to_date("start_ts"), F.to_date(F.least("end_ts", "next_start"))
-    if first is not None:
-        begin = F.greatest(begin, first)
     if last is not None:
         end = F.least(end, last)
     return (windows.where(F.col("end_ts") >= F.col("start_ts")).withColumns({"_begin": begin, "_end": end})
@@ -46,12 +46,39 @@ def window_days(windows: DataFrame, first: Column | None = None, last: Column |
             .drop("_begin", "_end"))
 
 
-def match_trips(pings: DataFrame, windows: DataFrame, ts: str, how: str = "inner") -> DataFrame:
-    """Match over the days that have pings between the first and the last of them."""
-    span = pings.agg(F.min(F.to_date(ts)).alias("first"), F.max(F.to_date(ts)).alias("last"))
-    never = F.lit("0001-01-01").cast("date")
-    first, last = [F.coalesce(span.select(c).scalar(), never) for c in ("first", "last")]
-    return match_window_days(pings, window_days(windows, first, last), ts, how)
+def any_long(trips: DataFrame) -> bool:
+    """Whether a trip, as planned or cut by the next one, takes more than ``LONG_DAYS``: one small job over the trips."""
+    cut_trips = "start_ts" in trips.columns
+    end = F.least("end_ts", "next_start") if cut_trips else F.col("actual_end_time")
+    days = F.datediff(end, F.col("start_ts" if cut_trips else "actual_start_time"))
+    return (trips.agg(F.max(days)).first()[0] or 0) > LONG_DAYS
+
+
+def match_trips(pings: DataFrame, windows: DataFrame, ts: str, how: str = "inner",
+                long: bool | None = None) -> DataFrame:
+    """Match over the days that the windows cover.
+
+    Windows up to ``LONG_DAYS`` long cover a few days each. A longer one, whose end is most likely wrong, is laid on those
+    of its days only that its vehicle has pings on. ``long`` says whether there may be such windows, by :func:`any_long`;
+    without them the pings are read once.
+    """
+    if long is None:
+        long = any_long(windows)
+    if not long:
+        return match_window_days(pings, window_days(windows), ts, how)
+    wide = F.coalesce(F.datediff(F.least("end_ts", "next_start"), "start_ts") > LONG_DAYS, F.lit(False))
+    longer = windows.where(wide)
+    present = (pings.select("vehicle_id", F.to_date(ts).alias("_day")).where("_day IS NOT NULL")
+               .join(longer.select("vehicle_id"), "vehicle_id", "left_semi").distinct())
+    days = window_days(windows.where(~wide)).unionByName(present_days(longer, present))
+    return match_window_days(pings, days, ts, how)
+
+
+def present_days(windows: DataFrame, present: DataFrame) -> DataFrame:
+    """One row per window and day of ``present`` (vehicle_id, _day) that it covers, as ``_day``."""
+    covered = F.col("_day").between(F.to_date("start_ts"), F.to_date(F.least("end_ts", "next_start")))
+    return (windows.where(F.col("end_ts") >= F.col("start_ts")).join(present, "vehicle_id").where(covered)
+            .select(*windows.columns, "_day"))
 
 
 def match_window_days(pings: DataFrame, days: DataFrame, ts: str, how: str = "inner") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from coldhaul import schemas
 from coldhaul.functions import rules
 from coldhaul.functions.columns import AMOUNT, amount, reading
-from coldhaul.operators.asof import match_trips, trip_windows
+from coldhaul.operators.asof import any_long, match_trips, trip_windows
 from coldhaul.operators.ordered import previous_value, time_chunk
 
 FUEL_CHUNK_MINUTES = 10
@@ -166,7 +166,7 @@ def bounded_windows(windows: DataFrame, bounds: DataFrame) -> DataFrame:
 def trip_telemetry_agg(trips: DataFrame, bounds: DataFrame, quick: DataFrame,
                        slow: DataFrame) -> DataFrame:
     """Both topics are matched to the same windows, whose shuffles Spark then reuses."""
-    windows = trip_windows(trips)
-    quick_part = quick_rollup(match_trips(quick, windows, "ts"))
-    slow_part = slow_rollup(match_trips(slow, bounded_windows(windows, bounds), "ts"))
+    windows, long = trip_windows(trips), any_long(trips)
+    quick_part = quick_rollup(match_trips(quick, windows, "ts", long=long))
+    slow_part = slow_rollup(match_trips(slow, bounded_windows(windows, bounds), "ts", long=long))
     return outer_join_rollups(quick_part, slow_part)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from coldhaul import schemas
 from coldhaul.functions.columns import number
 from coldhaul.operators import quality, rollup
-from coldhaul.operators.asof import match_trips, trip_windows
+from coldhaul.operators.asof import any_long, match_trips, trip_windows
 from coldhaul.operators.ordered import dedupe_full_row, drop_null_keys
 from coldhaul.plans import gold, silver
 from coldhaul.plans.control import UNKNOWN_ROWS, ControlTable
@@ -286,8 +286,9 @@ def match_days(lake: Lake, days: list[date]) -> None:
 def _parts(quick: DataFrame, slow: DataFrame, windows: DataFrame,
            bounds: DataFrame) -> dict[str, DataFrame]:
     """Rollup parts per trip and day of both topics."""
-    matched = match_trips(slow, rollup.bounded_windows(windows, bounds), "ts")
-    parts = {"quick_parts": rollup.quick_parts(match_trips(quick, windows, "ts"), ["trip_id", "_day"]),
+    long = any_long(windows)
+    matched = match_trips(slow, rollup.bounded_windows(windows, bounds), "ts", long=long)
+    parts = {"quick_parts": rollup.quick_parts(match_trips(quick, windows, "ts", long=long), ["trip_id", "_day"]),
              "slow_parts": rollup.join_chunks(rollup.slow_chunks(matched), ["trip_id", "_day"])}
     return {k: df.withColumnRenamed("_day", "dt") for k, df in parts.items()}
 

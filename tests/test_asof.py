@@ -4,7 +4,7 @@ from datetime import timedelta
 from conftest import t, trips, values
 from pyspark.sql import functions as F
 
-from coldhaul.operators.asof import match_trips, trip_windows, window_days
+from coldhaul.operators.asof import match_trips, present_days, trip_windows, window_days
 from coldhaul.operators.ordered import _chunk, next_value, previous_value, resequence, top_rows
 
 PLANNED = [(1, 0, "08:00", "10:00"), (2, 0, "09:00", "09:30"), (3, 0, "11:00", "12:00"),
@@ -94,13 +94,43 @@ def test_neighbours_take_one_exchange_of_the_rows(spark, tmp_path):
 
 
 def test_a_trip_that_ends_in_9999_covers_the_days_of_the_pings(spark):
-    windows = trip_windows(trips(spark, [(1, 0, "08:00", "9999-01-01 00:00:00")]))
-    assert window_days(windows, last=F.lit("2024-03-05").cast("date")).count() == 5
-    df = pings(spark, [(0, "07:00"), (0, "09:00"), (0, "2024-03-20 10:00:00")])
-    assert values(match_trips(df, windows, "ts"), "sensor_id", "trip_id") == [("S1", 1), ("S2", 1)]
+    windows = trip_windows(trips(spark, [(1, 0, "08:00", "9999-12-31 00:00:00"), (2, 1, "08:00", "09:30")]))
+    assert window_days(windows, last=F.lit("2024-03-05").cast("date")).count() == 6
+    rows = [(0, "07:00"), (0, "09:00"), (0, "2024-03-20 10:00:00"), (1, "09:00"), (1, "10:00"), (0, None)]
+    for wild in ([], [(0, "9999-12-30 00:00:00"), (1, "9999-12-30 00:00:00")]):
+        df = pings(spark, rows + wild)
+        found = match_trips(df, windows, "ts")
+        assert values(found, "sensor_id", "trip_id") == sorted(
+            [("S1", 1), ("S2", 1), ("S3", 2)] + [("S6", 1)] * bool(wild))
+        present = df.select("vehicle_id", F.to_date("ts").alias("_day")).where("_day IS NOT NULL").distinct()
+        # a row per day with pings in place of millions: two of March, and the wild one
+        assert present_days(windows.where("vehicle_id = 0"), present).count() == 2 + bool(wild)
+    assert match_trips(df, windows, "ts", "left").count() == 8
     assert match_trips(df.limit(0), windows, "ts").count() == 0
 
 
+def test_long_windows_equal_brute_force(spark):
+    rng = random.Random(8)
+    base = t("00:00")
+    trip_rows = [(i, i % 4, base + timedelta(days=rng.randrange(0, 400), hours=i), base + timedelta(days=rng.randrange(0, 900)))
+                 for i in range(60)]
+    ping_rows = [(rng.randrange(0, 5), base + timedelta(hours=rng.randrange(-50, 24000))) for _ in range(500)]
+    table = spark.createDataFrame([(i, v, i, s, e) for i, v, s, e in trip_rows],
+                                  "trip_id bigint, vehicle_id bigint, driver_id bigint, "
+                                  "actual_start_time timestamp_ntz, actual_end_time timestamp_ntz")
+    out = match_trips(pings(spark, ping_rows), trip_windows(table), "ts", "left")
+    assert {r.sensor_id: r.trip_id for r in out.collect()} == _brute(trip_rows, ping_rows)
+
+
+def test_without_long_windows_the_pings_are_read_once(spark, tmp_path):
+    path = str(tmp_path / "pings")
+    pings(spark, [(0, "09:00"), (1, "09:00")]).write.parquet(path)
+    df = match_trips(spark.read.parquet(path), trip_windows(trips(spark, PLANNED)), "ts")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Scan parquet") == 1
+
+
 def test_resequence_is_a_total_numbering(spark):
     df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("k"), "id").repartition(7)
     out = resequence(df, ["k", "id"], "n").orderBy("k", "id").collect()
