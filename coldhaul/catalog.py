@@ -22,6 +22,7 @@ from coldhaul.sinks import tables
 from coldhaul.sources import files
 from coldhaul.sources.binding import DEPOTS, FleetData, RawFleetData
 from coldhaul.streaming import jobs, live, messages
+from coldhaul.streaming.windows import WindowStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Callable[[FleetData], DataFrame]] = {}
@@ -106,6 +107,12 @@ def live_windows(fleet: FleetData) -> DataFrame:
     return live.live_windows(fleet.trips(), fleet.trip_cargo(), fleet.cargo())
 
 
+def _published(fleet: FleetData) -> WindowStore:
+    store = WindowStore(fleet.spark, scratch_path(fleet.spark, "live-windows"))
+    store.publish(live_windows(fleet))
+    return store
+
+
 def quick_pings(fleet: FleetData) -> DataFrame:
     return messages.quick_from_messages(raw(fleet).quick_messages())
 
@@ -243,7 +250,7 @@ def _replay(fleet: FleetData, kinds: list[str], start: Callable[[dict[str, DataF
 @query
 def stream_source(fleet):
     out = scratch_path(fleet.spark, "stream-source")
-    _replay(fleet, ["quick"], lambda s: [jobs.append_stream(s["quick"], f"{out}/rows", f"{out}/cp")])
+    _replay(fleet, ["quick"], lambda s: [jobs.append_stream(messages.once(s["quick"]), f"{out}/rows", f"{out}/cp")])
     rows = fleet.spark.read.schema(schemas.MESSAGE).parquet(f"{out}/rows")
     return rows.select("key", F.get_json_object("value", "$.sensor_id").alias("sensor_id"),
                        "topic", "timestamp")
@@ -659,11 +666,10 @@ def asof_trip_match(fleet):
 
 @query
 def stream_static_asof(fleet):
-    """The streams join the written windows directly; every ping keeps one row."""
-    out = scratch_path(fleet.spark, "stream-asof")
-    windows = cut(live_windows(fleet), "live-windows")
-    _replay(fleet, ["slow"], lambda s: [jobs.append_stream(
-        live.attach_trip(messages.slow_from_messages(s["slow"]), windows), f"{out}/rows", f"{out}/cp")])
+    """Each batch joins the windows that are published when it runs; every ping keeps one row."""
+    out, store = scratch_path(fleet.spark, "stream-asof"), _published(fleet)
+    _replay(fleet, ["slow"], lambda s: [jobs.run_each_batch(
+        messages.once(s["slow"]), jobs.attach_step(store, f"{out}/rows"), f"{out}/cp", jobs.DRAIN)])
     return fleet.spark.read.parquet(f"{out}/rows").select(
         "sensor_id", "vehicle_id", "event_time", "trip_id", "driver_id", "cargo_type", "min_temp",
         "max_temp", "start_ts", "end_ts")
@@ -1027,11 +1033,10 @@ def slow_incidents(fleet):
 @query
 def fuel_drop_state(fleet):
     """The fuel memory the slow stream leaves behind."""
-    out = scratch_path(fleet.spark, "fuel-state")
-    windows = cut(live_windows(fleet), "live-windows")
+    out, store = scratch_path(fleet.spark, "fuel-state"), _published(fleet)
     _replay(fleet, ["slow"], lambda s: [jobs.run_each_batch(
-        s["slow"], jobs.slow_step(windows, out, lambda: F.col("event_time")), f"{out}/cp", jobs.DRAIN)])
-    return jobs.latest_state(fleet.spark, f"{out}/fuel", jobs.FUEL_SCHEMA)
+        messages.once(s["slow"]), jobs.slow_step(store, out, jobs.at_event_time), f"{out}/cp", jobs.DRAIN)])
+    return jobs.read_state(fleet.spark, f"{out}/fuel", jobs.FUEL_SCHEMA)
 
 
 @query

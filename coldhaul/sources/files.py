@@ -29,6 +29,14 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Move a folder to a name that must be free."""
+    fs, p = _hadoop(spark, path)
+    target = _hadoop(spark, to)[1]
+    if fs.exists(target) or not fs.rename(p, target):
+        raise FileExistsError(to)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a folder; none if it is missing."""
     fs, p = _hadoop(spark, path)

@@ -69,12 +69,24 @@ def fuel_drop_step(pings: DataFrame, state: DataFrame) -> DataFrame:
             .withColumn("fuel_drop", fuel_drop(F.col("prev_fuel"), F.col("fuel"))))
 
 
-def next_fuel_state(pings: DataFrame, state: DataFrame) -> DataFrame:
-    last = latest_by_key(pings.select(
+def last_fuel(pings: DataFrame) -> DataFrame:
+    """The last reading of each vehicle of a micro-batch."""
+    return latest_by_key(pings.select(
         "vehicle_id", reading("fuel_amount_l").alias("last_fuel_l"),
         F.col("event_time").alias("last_event_time"), "sensor_id"),
         "vehicle_id", ["last_event_time", "sensor_id"]).drop("sensor_id")
-    return state.join(last.select("vehicle_id"), "vehicle_id", "left_anti").unionByName(last)
+
+
+def position_state(pings: DataFrame) -> DataFrame:
+    """The last position of each vehicle; on a stream, Spark keeps it and a batch yields the vehicles that it moved.
+
+    The latest event time wins, not the last arrival. A ping without a position counts if there is none with one, and its
+    time does not.
+    """
+    placed = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    found = F.struct("lat", "lon", F.when(placed, F.col("event_time")).alias("last_event_time"))
+    return pings.groupBy("vehicle_id").agg(
+        F.max_by(found, F.struct(placed, "event_time", "sensor_id")).alias("p")).select("vehicle_id", "p.*")
 
 
 def latest_position(pings: DataFrame) -> DataFrame:
@@ -101,9 +113,13 @@ def highest_severity(feed: DataFrame) -> DataFrame:
 def refresh_colours(status: DataFrame, feed: DataFrame, as_of: Column,
                     window: str = rules.RECENT_WINDOW) -> DataFrame:
     """Recolour from recent incidents; vehicles without one become WHITE / OK."""
-    worst = highest_severity(recent(feed, as_of, window))
-    coloured = update_from_join(status, worst).join(worst.select("vehicle_id"), "vehicle_id", "left_semi")
-    return coloured.unionByName(anti_join_reset(status, worst))
+    return coloured(status, highest_severity(recent(feed, as_of, window)))
+
+
+def coloured(status: DataFrame, worst: DataFrame) -> DataFrame:
+    """The status by the worst recent incident of each vehicle."""
+    busy = update_from_join(status, worst).join(worst.select("vehicle_id"), "vehicle_id", "left_semi")
+    return busy.unionByName(anti_join_reset(status, worst))
 
 
 def vehicle_status(positions: DataFrame, feed: DataFrame, as_of: Column,

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from coldhaul import schemas
 from coldhaul.functions.columns import number, tolerant_timestamp
 
+#: How long after a message its repeats are looked for.
+REPEAT_DELAY = "10 minutes"
+
 
 def json_payload(df: DataFrame, allowed: list[str]) -> DataFrame:
     """Add ``key`` (the vehicle) and ``value`` (JSON strings of the allowed columns present)."""
@@ -37,6 +40,20 @@ def message_stream(spark: SparkSession, fmt: str, topic: str | None = None,
                       "topic", "timestamp")
 
 
+def once(messages: DataFrame, delay: str = REPEAT_DELAY) -> DataFrame:
+    """A stream without the messages that were sent again within ``delay``: same topic, vehicle, sensor and event time.
+
+    The watermark follows the time the messages were sent, so a reading that a device holds back is not late. A message sent
+    more than ``delay`` before the newest one seen by an earlier batch can't be told from a repeat and is left out;
+    :func:`coldhaul.streaming.jobs.late_rows` counts those.
+    """
+    sent = messages.withColumns({
+        "_sent": F.col("timestamp").cast("timestamp"), "_sensor": F.get_json_object("value", "$.sensor_id"),
+        "_at": F.get_json_object("value", "$.timestamp")})
+    return (sent.withWatermark("_sent", delay).dropDuplicatesWithinWatermark(["topic", "key", "_sensor", "_at"])
+            .select(*messages.columns))
+
+
 def envelope(messages: DataFrame) -> DataFrame:
     """The raw landing row: nothing parsed, partitioned by the message date."""
     return messages.select(

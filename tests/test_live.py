@@ -50,10 +50,11 @@ def test_fuel_memory_carries_over_batches(spark):
     first = spark.createDataFrame([(0, "a", t("08:00"), 50.0, 0, 1.0), (0, "b", t("08:05"), 57.5, 0, 1.0)], SLOW)
     second = spark.createDataFrame([(0, "c", t("11:00"), 40.0, 0, 1.0), (1, "d", t("11:00"), 9.0, 0, 1.0)], SLOW)
     empty = spark.createDataFrame([], "vehicle_id bigint, last_fuel_l decimal(18,6), last_event_time timestamp_ntz")
-    state = live.next_fuel_state(first, empty)
+    assert {float(r.fuel_drop) for r in live.fuel_drop_step(first, empty).collect()} == {0.0}
+    state = live.last_fuel(first)
     drops = {r.sensor_id: float(r.fuel_drop) for r in live.fuel_drop_step(second, state).collect()}
     assert drops == {"c": 17.5, "d": 0.0}
-    assert values(live.next_fuel_state(second, state).select("vehicle_id", F.col("last_fuel_l").cast("int"))) == [
+    assert values(live.last_fuel(second).select("vehicle_id", F.col("last_fuel_l").cast("int"))) == [
         (0, 40), (1, 9)]
 
 
