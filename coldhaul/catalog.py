@@ -210,12 +210,11 @@ def scan_daily_slice(fleet):
 
 @query
 def scan_sharded_by_vehicle(fleet):
-    """One folder per vehicle: Spark names folders, not files, so the reader of folders is checked here."""
+    """One file per vehicle, named by it: the number is in no row of the file."""
     path = scratch_path(fleet.spark, "shards")
-    pings = fleet.slow().withColumn("shard", F.col("vehicle_id"))
-    pings.hint("rebalance", F.col("shard")).write.partitionBy("shard").csv(path, header=True)
-    rows = files.scan_vehicle_folders(fleet.spark, path, schemas.strings(
-        "vehicle_id", "sensor_id", "ts", "fuel_amount_l", "is_door_open", "cargo_temp_c"))
+    tables.write_file_per_key(fleet.slow().withColumn("shard", F.col("vehicle_id")).drop("vehicle_id"), path, "shard")
+    rows = files.scan_sharded_by_vehicle(fleet.spark, path, schemas.strings(
+        "sensor_id", "ts", "fuel_amount_l", "is_door_open", "cargo_temp_c", "shard"))
     return rows.select("vehicle_id", "sensor_id",
                        F.col("fuel_amount_l").try_cast("double").alias("fuel_amount_l"))
 

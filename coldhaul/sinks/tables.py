@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -13,7 +14,8 @@ from pyspark.sql import types as T
 from coldhaul.session import cut, scratch_path
 from coldhaul.sinks.key_map import KeyMap, bucket_of
 from coldhaul.sinks.schema_log import beside, declare, declared, read_table
-from coldhaul.sources.files import child_names, path_exists, remove, scan_daily_slice, scan_folders
+from coldhaul.sources.files import (
+    child_names, make_folder, path_exists, remove, rename, scan_daily_slice, scan_folders)
 
 log = logging.getLogger(__name__)
 
@@ -53,6 +55,29 @@ def write_staging(df: DataFrame, table: str, fmt: str = "parquet", **options: st
     return seen.get["rows"]
 
 
+def write_file_per_key(df: DataFrame, folder: str, key: str, threads: int = 16) -> int:
+    """CSV files named ``<key>.csv``, as a collector per vehicle leaves them; returns the number of files.
+
+    Spark writes a folder per key and names the files itself; they are then renamed in the file system. A large
+    key is written by several tasks, as ``<key>.csv``, ``<key>-1.csv`` and so on. Rows without a key go to ``none.csv``.
+    """
+    spark, staged = df.sparkSession, scratch_path(df.sparkSession, "per-key")
+    (df.withColumn("_shard", F.col(key)).hint("rebalance", F.col("_shard"))
+     .write.partitionBy("_shard").csv(staged, header=True))
+
+    def name_files(shard: str) -> int:
+        stem = shard.split("=")[1].replace(NULL_PARTITION, "none")
+        parts = [n for n in child_names(spark, f"{staged}/{shard}") if n.endswith(".csv")]
+        for i, part in enumerate(parts):
+            rename(spark, f"{staged}/{shard}/{part}", f"{folder}/{stem}{f'-{i}' if i else ''}.csv")
+        return len(parts)
+
+    make_folder(spark, folder)
+    shards = [n for n in child_names(spark, staged) if n.startswith("_shard=")]
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return sum(pool.map(name_files, shards))
+
+
 def write_partitioned(df: DataFrame, path: str, column: str, dynamic: bool = False) -> None:
     """Overwrite a partitioned table, or only the partitions present if ``dynamic``.
 

@@ -29,8 +29,13 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.mkdirs(p)
+
+
 def rename(spark: SparkSession, path: str, to: str) -> None:
-    """Move a folder to a name that must be free."""
+    """Move a folder or file to a name that must be free."""
     fs, p = _hadoop(spark, path)
     target = _hadoop(spark, to)[1]
     if fs.exists(target) or not fs.rename(p, target):

@@ -70,3 +70,22 @@ def test_gate(spark):
     assert values(orphans(bad, "driver_key_sk", dims["dim_drivers"], "driver_sk")) == []
     with pytest.raises(quality.QualityError):
         quality.enforce(quality.summary({**dims, "fct_trip_operations": bad}))
+
+
+def test_the_gate_reads_each_table_once(spark, tmp_path):
+    columns = {**quality.KEYS, quality.FACT: [*quality.KEYS[quality.FACT], *quality.REFERENCES]}
+    models = {}
+    for name, keys in columns.items():
+        path = str(tmp_path / name)
+        rows = [tuple(f"{k}{i}" if k.endswith("sk") else i for k in keys) for i in (1, 2, None)]
+        schema = ", ".join(f"{k} {'string' if k.endswith('sk') else 'bigint'}" for k in keys)
+        spark.createDataFrame(rows[:2], schema).write.parquet(path)
+        models[name] = spark.read.schema(schema).parquet(path)
+    tests = quality.summary(models)
+    found = {r.test: r.violations for r in tests.collect()}
+    plan = tests._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Scan parquet") == len(columns) == 4
+    assert len(found) == 2 * 8 + 3 and {t: n for t, n in found.items() if n} == {
+        f"relationships_{quality.FACT}_{c}": 2 for c in quality.REFERENCES}
+    empty = quality.summary({n: df.limit(0) for n, df in models.items()})
+    assert {r.violations for r in empty.collect()} == {0} and empty.count() == len(found)

@@ -111,3 +111,15 @@ def test_csv_sources(spark, tmp_path):
         (shards / f"{v}.csv").write_text(f"sensor_id,fuel_amount_l\nS{v},1.5\n")
     out = files.scan_sharded_by_vehicle(spark, str(shards), schemas.strings("sensor_id", "fuel_amount_l"))
     assert values(out, "vehicle_id", "sensor_id") == [(12, "S12"), (3, "S3")]
+
+
+def test_a_file_per_vehicle(spark, tmp_path):
+    rows = [(v, f"S{v}-{i}", "a,b") for v in (3, 12, None) for i in range(4)]
+    df = spark.createDataFrame(rows, "v long, sensor_id string, note string").repartition(3)
+    path = str(tmp_path / "vehicles")
+    assert tables.write_file_per_key(df, path, "v") >= 3
+    names = [n for n in files.child_names(spark, path) if not n.startswith(".")]
+    assert {"3.csv", "12.csv", "none.csv"} <= set(names) and {n.split("-")[0].split(".")[0] for n in names} == {"3", "12", "none"}
+    found = files.scan_sharded_by_vehicle(spark, path, schemas.strings("v", "sensor_id", "note"))
+    assert values(found, "vehicle_id", "sensor_id") == sorted([(v, s) for v, s, _ in rows], key=repr)
+    assert tables.write_file_per_key(df.limit(0), f"{path}-none", "v") == 0
