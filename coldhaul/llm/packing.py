@@ -2,9 +2,10 @@
 
 Documents are tokenized once; only those longer than a sequence are cut. Every partition packs its pieces by best-fit
 decreasing, group by group, and dual-feasible functions give a lower bound of its sequences. A group whose count is that
-bound, before rounding up, is certified: no exchange can save a part of a sequence, and it is final. A group with a gap
+bound, rounded up, is certified: its pieces can't be packed into fewer. It is final, unless the bound of all pieces together
+promises fewer for its share of them, because the deal gave it too many large ones. A group with a gap
 keeps its full sequences and gives up those with room; their pieces are dealt to new partitions, which pack again in larger
-groups, until one group is left.
+groups, until one group is left or an exchange has saved no sequence.
 """
 
 from __future__ import annotations
@@ -27,9 +28,9 @@ from coldhaul.session import cut
 
 CAPACITY = 2048
 END = 0
-#: Pieces packed together, and rounds of repacking at most.
+#: Pieces packed together in the first round, and at most, which bounds a task's memory.
 GROUP = 20_000
-ROUNDS = 6
+MOST = 640_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Longer runs without blanks, or of blanks, go to the other library, whose time does not grow with their square.
 LONG_RUN = 4000
@@ -37,14 +38,17 @@ LONG_RUN = 4000
 
 @functools.cache
 def _encoders(ranks_path: str, pattern: str, tokenizer_path: str):
-    """The tokenizer twice: as ranks, which is several times faster, and as published, for very long words."""
+    """The tokenizer twice, as ranks, which is several times faster, and as published; and the tokens that were added to it."""
+    import json
+
     import tiktoken
     from tokenizers import Tokenizer
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    whole = Tokenizer.from_file(tokenizer_path)
-    whole.encode_special_tokens = True
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), whole
+    with open(tokenizer_path, encoding="utf-8") as file:
+        added = [token["content"] for token in json.load(file).get("added_tokens", [])]
+    return (tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}),
+            Tokenizer.from_file(tokenizer_path), added)
 
 
 def _longest_run(text: str) -> int:
@@ -63,12 +67,13 @@ def _pieces_of(ids: list[int], capacity: int) -> list[tuple[int, int, int]]:
 
 def _tokenize(paths: tuple[str, str, str], capacity: int):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranked, whole = _encoders(*paths)
+        ranked, whole, added = _encoders(*paths)
         for batch in batches:
             out = []
             for text in batch["text"]:
                 text = text or ""
-                if len(text) > LONG_RUN and _longest_run(text) > LONG_RUN:
+                # an added token is one id wherever it stands, which the ranks don't know
+                if any(token in text for token in added) or len(text) > LONG_RUN and _longest_run(text) > LONG_RUN:
                     ids = whole.encode(text, add_special_tokens=False).ids
                 else:
                     ids = ranked.encode_ordinary(text)
@@ -102,7 +107,12 @@ def least_fill(lengths: np.ndarray, capacity: int = CAPACITY) -> Fraction:
 
     The first rounds lengths over C - k up to C and forgets those under k; the second rounds to multiples of 1/k.
     """
-    counts = np.bincount(lengths, minlength=capacity + 1).astype(object)
+    return _least_fill(np.bincount(lengths, minlength=capacity + 1), capacity)
+
+
+def _least_fill(histogram: np.ndarray, capacity: int) -> Fraction:
+    """The same for how many pieces there are of each length."""
+    counts = histogram.astype(object)
     sizes = np.arange(capacity + 1)
     weight = counts * sizes
     below, above = np.cumsum(counts), np.cumsum(weight)
@@ -145,13 +155,13 @@ def best_fit_decreasing(lengths: list[int], capacity: int = CAPACITY) -> list[li
     return bins
 
 
-def _packed(rows: list[tuple], first_id: int, capacity: int, last_round: bool) -> list[tuple]:
-    """rows: pieces. Adds (sequence_id, offset, final)."""
+def _packed(rows: list[tuple], first_id: int, capacity: int, last_round: bool, share: Fraction) -> list[tuple]:
+    """rows: pieces. Adds (sequence_id, offset, final). ``share``: sequences per token that all pieces need by the bound."""
     lengths = [r[3] for r in rows]
     bins = best_fit_decreasing(lengths, capacity)
     room = [capacity - sum(lengths[i] for i in b) for b in bins]
-    certified = last_round or len(bins) == least_fill(np.array(lengths), capacity)
-    given_up = set() if certified else {b for b in range(len(bins)) if room[b]}
+    final = last_round or len(bins) == lower_bound(np.array(lengths), capacity) <= math.ceil(share * sum(lengths))
+    given_up = set() if final else {b for b in range(len(bins)) if room[b]}
     out = []
     for b, members in enumerate(bins):
         offset = 0
@@ -161,7 +171,7 @@ def _packed(rows: list[tuple], first_id: int, capacity: int, last_round: bool) -
     return out
 
 
-def _pack(round_number: int, capacity: int, group: int, last_round: bool):
+def _pack(round_number: int, capacity: int, group: int, last_round: bool, share: Fraction):
     names = [c.split()[0] for c in PIECE.split(", ")] + ["sequence_id", "offset", "final"]
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
@@ -176,39 +186,48 @@ def _pack(round_number: int, capacity: int, group: int, last_round: bool):
             held += zip(ids, *[batch[c].tolist() for c in names[1:5]])
             while len(held) >= group:
                 part, held = held[:group], held[group:]
-                yield frame(_packed(part, next_id, capacity, last_round))
+                yield frame(_packed(part, next_id, capacity, last_round, share))
                 next_id += len(part)
         if held:
-            yield frame(_packed(held, next_id, capacity, last_round))
+            yield frame(_packed(held, next_id, capacity, last_round, share))
 
     return of
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds: int = ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, most: int = MOST) -> DataFrame:
     """Add sequence_id and offset to the pieces: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     ``pieces`` must be a written table. Full pieces are sequences of their own and take no part. A task packs
-    at most ``group`` pieces at once, twice as many in every further round, as fewer are left; the last
-    round packs what one group can hold, or after ``rounds`` whatever is left, group by group. Equal pieces are
-    interchangeable.
+    at most ``group`` pieces at once, twice as many in every further round up to ``most``. Rounds go on while groups
+    have gaps, until one group holds what is left, or until an exchange has saved nothing. Equal pieces are interchangeable.
     """
     schema = f"{PIECE}, sequence_id long, offset long, final boolean"
     full = pieces.filter(F.col("length") == capacity).select(
         "*", (F.monotonically_increasing_id() + F.lit(1 << 62)).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"))
     rest, done = pieces.filter(F.col("length") < capacity), [full]
-    n = rest.count()
-    for number in range(rounds):
-        parts = max(1, -(-n // group))
-        last = parts == 1 or number == rounds - 1
-        result = cut(rest.repartition(parts).mapInPandas(_pack(number, capacity, group, last), schema), "packed")
+    opened, last, number = None, False, 0
+    while True:
+        histogram = np.zeros(capacity + 1, dtype=np.int64)
+        for row in rest.groupBy("length").count().collect():  # one row per length below the capacity
+            histogram[row["length"]] = row["count"]
+        n, tokens = int(histogram.sum()), int((histogram * np.arange(capacity + 1)).sum())
+        if not n:
+            break
+        share = Fraction(math.ceil(_least_fill(histogram, capacity)), max(1, tokens))
+        parts = -(-n // group)
+        last = last or parts == 1
+        result = cut(rest.repartition(parts).mapInPandas(_pack(number, capacity, group, last, share), schema), "packed")
         done.append(result.filter("final").drop("final"))
         if last:
             break
-        rest = result.filter("NOT final").select("doc_id", "piece", "start", "length", "ids_crc32")
-        n, group = rest.count(), 2 * group
-        if not n:
-            break
+        left = result.filter("NOT final")
+        sequences = F.count_if(F.col("offset") == 0)
+        packed, still = result.agg(sequences).first()[0], left.agg(sequences).first()[0]
+        # the next round is the last one if this one did not need fewer sequences than the one before left open
+        last = opened is not None and packed >= opened
+        rest, opened = left.select("doc_id", "piece", "start", "length", "ids_crc32"), still
+        group, number = min(2 * group, most), number + 1
     whole = done[0]
     for part in done[1:]:
         whole = whole.unionByName(part)
@@ -219,6 +238,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is its ids and a closing 0. A null or empty text is the closing id alone. Rows that repeat an id or a text
-    are packed as documents of their own. An empty table gives no rows; other columns are ignored.
+    are packed as documents of their own. A text of any length is tokenized whole, in some 60 bytes a character, and cut into pieces.
+    An empty table gives no rows; other columns are ignored.
     """
     return pack(cut(tokenized(docs, tokenizer, capacity=capacity), "pieces"), capacity)
