@@ -2,7 +2,8 @@
 
 A known word is scored by its log frequency in each language. An unseen word is scored by its character n-grams: the
 longest ones first, falling back to shorter ones where a longer one is unseen, and to nothing in the end. The model holds
-the most frequent words and n-grams of a bounded sample of labelled texts, so its size is bounded too.
+the most frequent words and n-grams of each language in a bounded sample of labelled texts, which gives every language its
+part, so its size is bounded too. A word is a run of characters other than ASCII white space, in learning and in prediction.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from coldhaul.llm.common import WORD
@@ -24,6 +26,8 @@ SAMPLE_ROWS = 20_000
 WORDS = 30_000
 GRAMS = 30_000
 LONGEST = 4
+#: Numbers in a model at most, one per entry and language: 160 MB. With many languages fewer entries are kept.
+MOST_NUMBERS = 20_000_000
 #: Added to every count, so that no frequency is 0.
 SMOOTHING = 0.1
 #: Evidence of one word at most, in nats, and of one unseen word as part of that of a known word.
@@ -71,7 +75,7 @@ class Model:
         self.grams = {g: i for i, g in enumerate(grams)}
         self.word_scores = np.array(list(words.values()), dtype=np.float64).reshape(len(words), len(langs))
         self.gram_scores = np.array(list(grams.values()), dtype=np.float64).reshape(len(grams), len(langs))
-        self.seen: dict[str, int] = {}
+        self.seen: dict[bytes, int] = {}
         self.scores = np.zeros((0, len(langs)))
 
     def grams_of(self, word: str) -> list[int]:
@@ -89,7 +93,7 @@ class Model:
             found.append(row)
         return found
 
-    def remember(self, words: list[str]) -> None:
+    def remember(self, words: list[bytes]) -> None:
         """Score words that were not met before: as known words, or as the mean of their n-grams, or as nothing."""
         if len(self.seen) + len(words) > len(self.scores):
             room = max(2 * len(self.scores), len(self.seen) + len(words), 4096)
@@ -97,7 +101,7 @@ class Model:
         rows, grams, lengths = [], [], []
         for word in words:
             at = self.seen[word] = len(self.seen)
-            bare = _bare(word)
+            bare = _bare(word.decode())
             known = self.words.get(bare)
             if known is not None:
                 self.scores[at] = self.word_scores[known]
@@ -117,7 +121,7 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.langs or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0
-        counts = Counter(text.split())
+        counts = Counter(text.encode().split())  # bytes are split at ASCII white space alone
         new = [w for w in counts if w not in self.seen]
         if new:
             if len(self.seen) + len(new) > CACHE:
@@ -135,33 +139,52 @@ def _gram(size: int):
 
 
 def _table(counts: DataFrame, langs: list[str], most: int) -> dict[str, list[float]]:
-    """For the most frequent keys, the log of their share in each language over the mean, within ``CLIP``."""
+    """For the most frequent keys of each language, the log of their share in each over the mean, within ``CLIP``.
+
+    ``most`` keys in all at most, an equal part for each language.
+    """
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    wide = counts.groupBy("key").agg(F.sum("n").alias("n"), F.map_from_entries(
-        F.collect_list(F.struct("lang", "n"))).alias("by")).orderBy(F.col("n").desc(), "key").limit(most)
+    by_lang = W.partitionBy("lang").orderBy(F.col("n").desc(), "key")
+    chosen = (counts.withColumn("place", F.row_number().over(by_lang)).filter(F.col("place") <= most // len(langs))
+              .select("key").distinct())
+    wide = counts.join(chosen, "key").groupBy("key").agg(F.map_from_entries(
+        F.collect_list(F.struct("lang", "n"))).alias("by"))
     out = {}
-    for row in wide.collect():
+    for row in wide.orderBy("key").collect():  # at most ``most`` rows
         share = np.array([math.log((row["by"].get(x, 0) + SMOOTHING) / (totals.get(x, 0) + 1)) for x in langs])
         out[row["key"]] = np.clip(share - share.mean(), -CLIP, CLIP).tolist()
     return out
 
 
+def quotas(counts: dict[str, int], rows: int) -> dict[str, float]:
+    """The part of each language's rows to learn from: as many of each, those of rare languages all."""
+    out, left = {}, rows
+    for i, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[lang] = min(1.0, left / (len(counts) - i) / n)
+        left -= out[lang] * n
+    return out
+
+
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS, words: int = WORDS, grams: int = GRAMS) -> Model:
     """Learn from the texts and languages of documents that are not held out and have both.
 
-    About ``rows`` of them are learned from, chosen by a hash of id and text. Words and n-grams are counted on the cluster, and the most frequent come to the driver, so
-    the model has at most ``words + 4 * grams`` entries of one number per language.
+    About ``rows`` of them are learned from, as many of each language, chosen by a hash of id and text. Words and n-grams are
+    counted on the cluster, and the most frequent of each language come to the driver, so the model has at most
+    ``words + 4 * grams`` entries of one number per language, and ``MOST_NUMBERS`` numbers.
     """
     labelled = docs.select("doc_id", "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL").filter(
         ~held_out(F.col("doc_id")))
-    n = labelled.select("doc_id", "lang").count()
-    if n > rows:
-        labelled = labelled.filter(F.pmod(F.xxhash64(F.lit("train"), "doc_id", "text"), F.lit(1 << 30)) < int(
-            (1 << 30) * rows / n))
+    # one row per language
+    parts_of = quotas({r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}, rows)
+    if min(parts_of.values(), default=1.0) < 1:
+        below = docs.sparkSession.createDataFrame([(x, int((1 << 30) * part)) for x, part in parts_of.items()], "lang string, _below long")
+        labelled = labelled.join(F.broadcast(below), "lang").filter(
+            F.pmod(F.xxhash64(F.lit("train"), "doc_id", "text"), F.lit(1 << 30)) < F.col("_below")).drop("_below")
     counts = cut(_words(labelled).groupBy("lang", "word").agg(F.count("*").alias("n")), "words")
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     if not langs:
         return Model([], {}, {})
+    words, grams = [min(most, MOST_NUMBERS // ((1 + LONGEST) * len(langs))) for most in (words, grams)]
     known = _table(counts.select("lang", F.col("word").alias("key"), "n"), langs, words)
     marked = counts.select("lang", "n", F.concat(F.lit("<"), "word", F.lit(">")).alias("m"))
     parts: dict[str, list[float]] = {}
@@ -178,7 +201,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     The prediction reads the text alone, all of it. A text that is null or has no letter, or a model that learned nothing,
     gives ``und`` and the score 0; else the score is the share of the best language, and ties go to the first by
-    name. Equal texts get equal results. An empty table gives no rows; other columns are ignored.
+    name. Equal texts get equal results. A text of any length is read whole and takes memory by its distinct words. An empty table
+    gives no rows; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -87,7 +87,7 @@ FROM everything e JOIN goals g ON e.source IS NOT DISTINCT FROM g.source"""
 def op3(shards: int = 16) -> str:
     def descend(n: int, name: str) -> tuple[str, str]:
         steps, node = [], "''"
-        for level, children in enumerate(sharding._levels(sharding.layout(n))):
+        for level, children in enumerate(sharding._levels(sharding.layout(n, shards))):
             rows = ", ".join(f"({_quoted(p)}, {_quoted(c)}, {w}::DOUBLE)" for p, kids in children.items()
                              for c, w in kids.items())
             steps.append(f"{name}{level}(parent, child, weight) AS (VALUES {rows})")

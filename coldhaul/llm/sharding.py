@@ -26,7 +26,7 @@ class Leaf(NamedTuple):
     weight: float = 1.0
 
 
-def layout(shards: int, laid_out: int = 16, racks: int = 2, per_rack: int = 4) -> list[Leaf]:
+def layout(shards: int, laid_out: int, racks: int = 2, per_rack: int = 4) -> list[Leaf]:
     """Shards 0 to ``shards - 1``: the first ``laid_out`` in regions of racks, each later one a region of its own."""
     leaves = []
     for s in range(shards):
@@ -67,23 +67,25 @@ def descend(key: Column, leaves: list[Leaf]) -> Column:
     return F.element_at(F.split(node, "/"), -1).cast("int")
 
 
-def shard_documents(docs: DataFrame, shards: int = 16, buckets: int = BUCKETS) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 16, laid_out: int | None = None, buckets: int = BUCKETS) -> DataFrame:
     """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
-    The law is ``key``: the id and the number of shards decide. ``size`` is the UTF-8 length plus 1, a null text counts
+    The law is ``key``: the id and the number of shards decide. ``laid_out`` is how many shards the tree began with, all of them if
+    not given; those added since are regions of their own, and so is the one that ``grown_shard`` adds. ``size`` is the UTF-8 length plus 1, a null text counts
     as empty. Slots number a shard's rows from 0 without gaps, in the order of a hash of the id, then id, size
     and checksum; equal rows take neighbouring slots in any order. A null id is a key like any other, so rows that
     repeat an id meet in one shard. An empty table gives no rows; other columns are ignored. A hot shard is numbered
     in ``buckets`` parts, so no task holds a whole shard.
     """
+    first = shards if laid_out is None else laid_out
     placed = docs.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
         F.lit("key").alias("law"),
-        descend(F.col("doc_id"), layout(shards)).alias("shard"),
+        descend(F.col("doc_id"), layout(shards, first)).alias("shard"),
         draw(F.col("doc_id")).alias("_at"),
-        descend(F.col("doc_id"), layout(shards + 1)).alias("grown_shard"),
+        descend(F.col("doc_id"), layout(shards + 1, first)).alias("grown_shard"),
         F.lit(1).cast("long").alias("_one"),
     ).withColumn("_bucket", F.floor(F.col("_at") / F.lit(2 ** DRAW_BITS // buckets)).cast("int"))
     numbered = running(placed, ["shard"], "_bucket", ["_at", "doc_id", "size", "text_crc32"], "_one", "slot")

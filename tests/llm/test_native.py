@@ -33,6 +33,18 @@ def test_sharding_is_stable_and_gapless(spark, documents):
     assert sharding.shard_documents(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("shards,laid_out", [(1, None), (5, None), (12, None), (18, 16), (40, None)])
+def test_one_more_shard_takes_rows_only_into_itself(spark, documents, shards, laid_out):
+    docs = documents([(i, f"t{i}") for i in range(3000)])
+    found = sharding.shard_documents(docs, shards, laid_out).collect()
+    assert {r.shard for r in found} == set(range(shards))
+    assert {r.grown_shard for r in found if r.grown_shard != r.shard} == {shards}
+    share = sum(r.grown_shard == shards for r in found) / 3000
+    assert abs(share - 1 / (shards + 1)) < 0.05
+    grown = {r.doc_id: r.shard for r in sharding.shard_documents(docs, shards + 1, laid_out or shards).collect()}
+    assert all(grown[r.doc_id] == r.grown_shard for r in found)
+
+
 def test_a_heavier_subtree_takes_rows_only_into_itself(spark):
     ids = spark.range(4000)
     before = [sharding.Leaf("a", "a1", 0), sharding.Leaf("a", "a2", 1), sharding.Leaf("b", "b1", 2), sharding.Leaf("b", "b1", 3, 2.0)]
