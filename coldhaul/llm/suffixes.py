@@ -1,12 +1,16 @@
 """Suffix-array dedup: byte strings of a fixed length that start more than once are cut out everywhere.
 
 Every window of ``length`` bytes has an anchor: the least hashed ``GRAM``-byte string in it. Equal windows have equal
-anchors, so only passages around anchors that occur more than once are looked at, and passages meet by anchor. A task
-deals its passages into shards, orders the suffixes of each shard up to ``length`` bytes, which with the text is the
-shard's Burrows-Wheeler transform, and merges the shards: the interleave of two suffix orders is
+anchors, so only passages around anchors that occur more than once are looked at, and passages meet by anchor. A task holds each
+distinct passage once, with how often it occurs, deals the passages into shards and orders the suffixes of each shard up to ``length``
+bytes, which with the text is the shard's Burrows-Wheeler transform. The shards are merged: the interleave of two suffix orders is
 refined from blocks of equal 8-byte prefixes to 16, 32 and so on by looking up the blocks of the suffixes that start
 where the known prefix ends. Suffixes are never sorted again; blocks of the last round share prefixes of ``length``
-bytes, and those of two or more starts are the repeated intervals.
+bytes, and those that hold two or more starts, copies counted, are the repeated intervals.
+
+The passages of an anchor that is very frequent differ in the text around it, and would all meet in one task. They are
+folded before: equal ones to one, and the others are trimmed to the windows whose hash occurs twice, which mostly makes them equal.
+What is left meets by anchor and is decided by the same merge, and the verdicts go back to the owners by joins of numbers.
 """
 
 from __future__ import annotations
@@ -27,8 +31,12 @@ GRAM = 32
 #: Bytes of passages in a shard, and in the shards that are merged at once.
 SHARD = 1 << 18
 POOL = 1 << 20
+#: Passages that a task gathers at once, copies counted, and those of one anchor from which on they are folded first.
+ROWS = 100_000
+HOT = 4096
 NO_ID = -(2**63)
 _FACTORS = np.random.default_rng(5).integers(0, 2**64, 4, dtype=np.uint64) | np.uint64(1)
+_WINDOW_FACTORS = np.random.default_rng(6).integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
 
 
 def _anchors_of(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
@@ -91,6 +99,53 @@ def _cut_passages(length: int):
     return of
 
 
+def _mark(passage: bytes, starts: int) -> bytes:
+    return hashlib.blake2b(passage, digest_size=16, salt=starts.to_bytes(8, "little")).digest()
+
+
+def _cut_marked(length: int):
+    """The same with a mark of each passage's bytes."""
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _cut_passages(length)(batches):
+            yield frame.assign(mark=[_mark(p, s) for p, s in zip(frame["passage"], frame["starts"].tolist())])
+
+    return of
+
+
+def _window_hashes(passage: bytes, starts: int, length: int) -> np.ndarray:
+    """A hash of each of the first ``starts`` windows of a passage: a random linear form of its 8-byte words, mixed."""
+    words = np.lib.stride_tricks.as_strided(np.frombuffer(passage, dtype=np.uint8), (len(passage) - 7, 8), (1, 1)).copy().view(
+        "<u8").ravel()
+    hashes = np.zeros(starts, dtype=np.uint64)
+    for k, at in enumerate([*range(0, length - 8, 8), length - 8]):
+        hashes += mixed(words[at:at + starts] + np.uint64(k)) * _WINDOW_FACTORS[k % 64]
+    return mixed(hashes).view(np.int64)
+
+
+def _hash_windows(length: int):
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.drop(columns=["passage", "starts"]).assign(hashes=[
+                _window_hashes(p, s, length) for p, s in zip(batch["passage"], batch["starts"].tolist())])
+
+    return of
+
+
+def _trim(length: int):
+    """Passages cut to the runs of the windows that are kept."""
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for anchor, mark, passage, weight, kept in zip(*[batch[c] for c in ("anchor", "mark", "passage", "weight", "kept")]):
+                kept = np.sort(np.asarray(kept))
+                for run in np.split(kept, np.flatnonzero(np.diff(kept) > 1) + 1):
+                    part, starts = passage[run[0]:run[-1] + length], len(run)
+                    out.append((anchor, mark, int(run[0]), _mark(part, starts), starts, part, weight))
+            yield pd.DataFrame(out, columns=["anchor", "mark", "shift", "part", "starts", "passage", "weight"])
+
+    return of
+
+
 def _levels(length: int) -> list[tuple[int, int]]:
     """(prefix known, step to the suffix looked up) from 8 bytes to ``length``."""
     out, known = [], 8
@@ -110,11 +165,12 @@ def _words(text: np.ndarray) -> np.ndarray:
 class Suffixes:
     """A shard: its text, and the places of its suffixes in the order of their first ``length`` bytes.
 
-    Shards end in ``length`` bytes of padding, whose suffixes stand in no order and count as the least block.
+    ``same`` tells for each suffix in order but the first whether it shares ``length`` bytes with the one before: they are one
+    block of the last round. Shards end in ``length`` bytes of padding, whose suffixes stand in no order and count as the least block.
     """
 
-    def __init__(self, text: np.ndarray, order: np.ndarray, length: int):
-        self.text, self.order, self.length = text, order, length
+    def __init__(self, text: np.ndarray, order: np.ndarray, length: int, same: np.ndarray):
+        self.text, self.order, self.length, self.same = text, order, length, same
 
     def _blocks(self, rank: np.ndarray, step: int) -> np.ndarray:
         """Keys of twice the prefix: a suffix's block, then the block of the suffix ``step`` bytes on."""
@@ -127,7 +183,7 @@ class Suffixes:
     def of(cls, text: bytes, length: int) -> Suffixes:
         data = np.concatenate((np.frombuffer(text, dtype=np.uint8), np.zeros(length, np.uint8)))
         key = np.concatenate((_words(data), np.zeros(8, np.uint64)))
-        shard = cls(data, np.argsort(key[:len(text)], kind="stable"), length)
+        shard = cls(data, np.argsort(key[:len(text)], kind="stable"), length, np.zeros(0, bool))
         for _, step in _levels(length):
             ordered = key[shard.order]
             new = np.concatenate(([True], ordered[1:] != ordered[:-1]))
@@ -137,6 +193,8 @@ class Suffixes:
             shared = np.repeat(size > 1, size)
             inside = shard.order[shared]
             shard.order[shared] = inside[np.argsort(key[inside], kind="stable")]
+        ordered = key[shard.order]
+        shard.same = ordered[1:] == ordered[:-1]
         return shard
 
     def merged(self, other: Suffixes) -> Suffixes:
@@ -146,27 +204,22 @@ class Suffixes:
             mine, theirs = keys[0][self.order], keys[1][other.order]
             at_mine = np.arange(len(mine)) + np.searchsorted(theirs, mine, side="left")
             at_theirs = np.arange(len(theirs)) + np.searchsorted(mine, theirs, side="right")
+            interleaved = np.empty(len(mine) + len(theirs), dtype=mine.dtype)
+            interleaved[at_mine], interleaved[at_theirs] = mine, theirs
+            same = interleaved[1:] == interleaved[:-1]
             if step:
-                interleaved = np.empty(len(mine) + len(theirs), dtype=mine.dtype)
-                interleaved[at_mine], interleaved[at_theirs] = mine, theirs
-                rank = np.cumsum(np.concatenate(([True], interleaved[1:] != interleaved[:-1])))
+                rank = np.cumsum(np.concatenate(([True], ~same)))
                 keys = [self._blocks(rank[at_mine], step), other._blocks(rank[at_theirs], step)]
         order = np.empty(len(self.order) + len(other.order), dtype=np.int64)
         order[at_mine], order[at_theirs] = self.order, other.order + len(self.text)
-        return Suffixes(np.concatenate((self.text, other.text)), order, self.length)
+        return Suffixes(np.concatenate((self.text, other.text)), order, self.length, same)
 
-    def common(self) -> np.ndarray:
-        """For each suffix in order but the first: whether it shares ``length`` bytes with the one before."""
-        same = np.ones(len(self.order) - 1, dtype=bool)
-        words = _words(np.concatenate((self.text, np.zeros(8, np.uint8))))
-        for at in [*range(0, self.length - 8, 8), self.length - 8]:
-            live = np.flatnonzero(same)
-            same[live] = words[self.order[live] + at] == words[self.order[live + 1] + at]
-        return same
 
+def repeated_starts(passages: list[tuple[bytes, int]], weights: list[int], length: int) -> list[np.ndarray]:
+    """For each (passage, starts): which of its first ``starts`` windows of ``length`` bytes start elsewhere too.
 
-def repeated_starts(passages: list[tuple[bytes, int]], length: int) -> list[np.ndarray]:
-    """For each (passage, starts): which of its first ``starts`` windows of ``length`` bytes start elsewhere too."""
+    ``weights``: how often each passage occurs, 2 for more.
+    """
     shards, held, size, first, at = [], [], 0, [], 0
     for passage, _ in passages:
         if size and size + len(passage) > SHARD:
@@ -183,65 +236,83 @@ def repeated_starts(passages: list[tuple[bytes, int]], length: int) -> list[np.n
     merged = shards[0]
     first, starts = np.array(first), np.array([s for _, s in passages])
     counts = np.zeros(len(merged.text) + 1, dtype=np.int64)
-    np.add.at(counts, first, 1)
-    np.add.at(counts, first + starts, -1)
-    valid = np.cumsum(counts)[:-1] > 0
+    np.add.at(counts, first, weights)
+    np.add.at(counts, first + starts, -np.array(weights))
+    times = np.cumsum(counts)[:-1]
     # suffixes that are no window starts only guide the order; the others keep it among themselves
-    real = valid[merged.order]
-    interval = np.cumsum(np.concatenate(([True], ~merged.common())))[real]
-    often = np.bincount(interval, minlength=1)[interval] > 1
+    real = times[merged.order] > 0
+    interval = np.cumsum(np.concatenate(([True], ~merged.same)))[real]
+    often = np.bincount(interval, weights=times[merged.order[real]], minlength=1)[interval] > 1
     twice = np.zeros(len(merged.text), dtype=bool)
     twice[merged.order[real]] = often
     return [twice[f:f + s] for f, s in zip(first.tolist(), starts.tolist())]
 
 
+def _intervals(passages: list[tuple[bytes, int]], weights: list[int], length: int) -> list[list[tuple[int, int]]]:
+    """The [begin, end) ranges of repeated bytes in each passage."""
+    out = []
+    for twice in repeated_starts(passages, weights, length) if passages else []:
+        edges = np.flatnonzero(np.diff(np.concatenate(([False], twice, [False])).astype(np.int8)))
+        out.append([(b, e - 1 + length) for b, e in zip(edges[0::2].tolist(), edges[1::2].tolist())])
+    return out
+
+
 class _Pool:
-    """Passages of whole anchors. A passage is held once; from its second copy on its owners are told at once."""
+    """Passages of whole anchors. A distinct passage is held once, with its owners."""
 
     def __init__(self, length: int):
-        self.length, self.size = length, 0
-        self.first: dict[tuple[bytes, int], tuple | None] = {}
-        self.distinct: dict[int, list[tuple[bytes, int]]] = {}
-
-    def add(self, anchor: int, key: int, hashed: int, first: int, starts: int, passage: bytes) -> list[tuple]:
-        """(id, hash, begin, end) of what is known to repeat by this passage."""
-        whole = starts - 1 + self.length
-        if (passage, starts) not in self.first:
-            self.first[passage, starts] = (key, hashed, first)
-            self.distinct.setdefault(anchor, []).append((passage, starts))
-            self.size += len(passage)
-            return []
-        found = [(key, hashed, first, first + whole)]
-        if (owner := self.first[passage, starts]) is not None:
-            found.append((*owner, owner[2] + whole))
-            self.first[passage, starts] = None
-        return found
+        self.length, self.size, self.rows = length, 0, 0
+        self.owners: dict[tuple[bytes, int], list[tuple]] = {}
+
+    def add(self, key: int, hashed: int, first: int, starts: int, passage: bytes) -> None:
+        owners = self.owners.setdefault((passage, starts), [])
+        self.size += 0 if owners else len(passage)
+        self.rows += 1
+        owners.append((key, hashed, first))
 
     def close(self) -> list[tuple]:
-        """What repeats in part, in passages that differ but have an anchor in common."""
-        pool = [p for found in self.distinct.values() if len(found) > 1 for p in found]
-        out = []
-        for passage, twice in zip(pool, repeated_starts(pool, self.length) if pool else []):
-            if (owner := self.first[passage]) is not None:
-                key, hashed, first = owner
-                edges = np.flatnonzero(np.diff(np.concatenate(([False], twice, [False])).astype(np.int8)))
-                out += [(key, hashed, first + b, first + e - 1 + self.length)
-                        for b, e in zip(edges[0::2].tolist(), edges[1::2].tolist())]
-        return out
+        """(id, hash, begin, end) of what repeats."""
+        passages = list(self.owners)
+        weights = [min(2, len(of)) for of in self.owners.values()]
+        return [(key, hashed, first + b, first + e)
+                for of, found in zip(self.owners.values(), _intervals(passages, weights, self.length))
+                for b, e in found for key, hashed, first in of]
+
+
+def _find_weighted(length: int):
+    """Rows come sorted by anchor: distinct passages, each with its weight."""
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def closed() -> pd.DataFrame:
+            found = _intervals([(h[2], h[3]) for h in held], [h[4] for h in held], length)
+            return pd.DataFrame([(h[0], h[1], b, e) for h, spans in zip(held, found) for b, e in spans],
+                                columns=["anchor", "part", "begin", "end"])
+
+        held, size = [], 0
+        for batch in batches:
+            for row in zip(*[batch[c] for c in ("anchor", "part", "passage", "starts", "weight")]):
+                if size >= POOL and row[0] != held[-1][0]:
+                    yield closed()
+                    held, size = [], 0
+                held.append(row)
+                size += len(row[2])
+        if held:
+            yield closed()
+
+    return of
 
 
 def _find_repeats(length: int):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows come sorted by anchor. Distinct passages of whole anchors are gathered up to ``POOL`` bytes."""
+        """Rows come sorted by anchor. Passages of whole anchors are gathered up to ``POOL`` bytes or ``ROWS`` rows."""
         pool, last = _Pool(length), None
         for batch in batches:
             out = []
             for row in zip(*[batch[c] for c in ("anchor", "_id", "_hash", "first", "starts", "passage")]):
-                if pool.size >= POOL and row[0] != last:
+                if (pool.size >= POOL or pool.rows >= ROWS) and row[0] != last:
                     out += pool.close()
                     pool = _Pool(length)
                 last = row[0]
-                out += pool.add(*row)
+                pool.add(*row[1:])
             if out:
                 yield pd.DataFrame(out, columns=["_id", "_hash", "begin", "end"])
         if out := pool.close():
@@ -256,7 +327,7 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"), F.col("text").cast("binary").alias("bytes"))
 
 
-def with_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+def with_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """Add ``spans`` to ``keyed`` texts: the [begin, end) ranges of the repeated bytes, maybe overlapping, or null.
 
     Both joins with the texts read all their columns, so that the texts are shuffled once for both.
@@ -264,18 +335,48 @@ def with_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     anchors = cut(texts.filter(F.octet_length("bytes") >= length).select("_id", "_hash", "bytes").mapInPandas(
         _find_anchors(length), "_id long, _hash long, anchor long, first int, last int"), "anchors")
     # written, so that the join below reads plain shuffles and the one of a hot anchor can be split
-    twice = cut(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "twice")
+    twice = cut(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select(
+        "anchor", (F.col("n") > hot).alias("hot")), "twice")
     # equal rows have one set of runs, but each brings its passages, so they repeat each other
-    runs = (anchors.join(twice, "anchor").groupBy("_id", "_hash")
+    runs = (anchors.join(twice, "anchor").groupBy("_id", "_hash", "hot")
             .agg(F.collect_set(F.struct("anchor", "first", "last")).alias("runs")))
-    passages = texts.join(runs, ["_id", "_hash"]).mapInPandas(
+    passages = texts.join(runs.filter("NOT hot").drop("hot"), ["_id", "_hash"]).mapInPandas(
         _cut_passages(length), "anchor long, _id long, _hash long, first int, starts int, passage binary")
     found = passages.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(
         _find_repeats(length), "_id long, _hash long, begin int, end int")
+    if not twice.filter("hot").isEmpty():
+        found = found.unionByName(_hot_repeats(texts.join(runs.filter("hot").drop("hot"), ["_id", "_hash"]), length))
     spans = found.groupBy("_id", "_hash").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     return texts.join(spans, ["_id", "_hash"], "left")
 
 
+def _hot_repeats(texts: DataFrame, length: int) -> DataFrame:
+    """(_id, _hash, begin, end) of what repeats around very frequent anchors; ``texts`` have the ``runs`` of those.
+
+    Bytes move once per distinct passage and task, as equal ones combine before the shuffle, and a window with a hash of its own
+    repeats nowhere. The trimmed passages of an anchor, distinct ones only, meet in a task.
+    """
+    cut_out = texts.mapInPandas(_cut_marked(length), "anchor long, _id long, _hash long, first int, starts int, passage binary, mark binary")
+    weight = F.least(F.sum("weight"), F.lit(2)).cast("int").alias("weight")
+    distinct = cut(cut_out.withColumn("weight", F.lit(1)).groupBy("anchor", "mark").agg(
+        F.first("passage").alias("passage"), F.first("starts").alias("starts"), weight), "hot-passages")
+    windows = distinct.mapInPandas(_hash_windows(length), "anchor long, mark binary, weight int, hashes array<long>").select(
+        "anchor", "mark", "weight", F.posexplode("hashes").alias("at", "h"))
+    often = windows.groupBy("h").agg(F.sum("weight").alias("n")).filter("n > 1").select("h")
+    kept = windows.join(often, "h").groupBy("anchor", "mark").agg(F.collect_list("at").alias("kept"))
+    trimmed = cut(distinct.join(kept, ["anchor", "mark"]).mapInPandas(
+        _trim(length), "anchor long, mark binary, shift int, part binary, starts int, passage binary, weight int"), "hot-trimmed")
+    folded = trimmed.groupBy("anchor", "part").agg(
+        F.first("passage").alias("passage"), F.first("starts").alias("starts"), weight)
+    repeated = folded.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(
+        _find_weighted(length), "anchor long, part binary, begin int, end int")
+    inside = trimmed.select("anchor", "mark", "shift", "part").join(repeated, ["anchor", "part"]).select(
+        "anchor", "mark", (F.col("shift") + F.col("begin")).alias("begin"), (F.col("shift") + F.col("end")).alias("end"))
+    owners = cut_out.select("anchor", "mark", "_id", "_hash", "first")
+    return owners.join(inside, ["anchor", "mark"]).select(
+        "_id", "_hash", (F.col("first") + F.col("begin")).alias("begin"), (F.col("first") + F.col("end")).alias("end"))
+
+
 def _merged_spans(spans) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for begin, end in sorted((s["begin"], s["end"]) for s in (spans if spans is not None else ())):
@@ -303,14 +404,15 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame
 
 
-def removal_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def removal_digests(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A byte goes if a string of ``length`` bytes that covers it starts anywhere else, in this text or another; strings are
     judged on the input. A null text counts as empty; shorter texts keep all. Equal rows are documents of their
-    own, so each repeats the other. An empty table gives no rows; other columns are ignored.
+    own, so each repeats the other. A text of any length is read whole, in some 60 bytes of memory per byte, and so far one text is
+    one task's. An empty table gives no rows; other columns are ignored.
     """
-    return with_spans(keyed(docs), length).mapInPandas(
+    return with_spans(keyed(docs), length, hot).mapInPandas(
         _digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 

@@ -4,7 +4,9 @@ import collections
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from coldhaul.llm import graph, neardup, suffixes
 from tests.llm.conftest import prose, rows
@@ -36,9 +38,10 @@ def repeating():
     return given
 
 
-def test_removal_equals_brute_force(spark, documents, repeating):
+@pytest.mark.parametrize("hot", [suffixes.HOT, 5, 1])
+def test_removal_equals_brute_force(spark, documents, repeating, hot):
     want = [(i, *r) for (i, _), r in zip(repeating, removal([(t or "").encode() for _, t in repeating], 200))]
-    found = suffixes.removal_digests(documents(repeating).repartition(3))
+    found = suffixes.removal_digests(documents(repeating).repartition(3), hot=hot)
     assert rows(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(want, key=repr)
     assert suffixes.removal_digests(documents([])).count() == 0
 
@@ -64,7 +67,7 @@ def test_shards_merge_into_one_order():
         merged = merged.merged(suffixes.Suffixes.of(t, 200))
     prefixes = [bytes(merged.text[p:p + 200]) for p in merged.order]
     assert prefixes == sorted(prefixes) and len(prefixes) == sum(map(len, texts))
-    assert merged.common().tolist() == [a == b for a, b in zip(prefixes, prefixes[1:])]
+    assert merged.same.tolist() == [a == b for a, b in zip(prefixes, prefixes[1:])]
 
 
 @pytest.mark.parametrize("shard", [300, 5000])
@@ -74,9 +77,36 @@ def test_repeated_starts_in_small_shards(monkeypatch, shard):
     common = bytes(rng.integers(97, 100, 400, dtype=np.uint8))
     passages = [(p, len(p) - 199) for p in (common[a:a + 260] for a in range(0, 140, 20))]
     passages += [(bytes(rng.integers(97, 123, 300, dtype=np.uint8)), 101)]
-    count = collections.Counter(p[i:i + 200] for p, s in passages for i in range(s))
-    want = [[count[p[i:i + 200]] > 1 for i in range(s)] for p, s in passages]
-    assert [x.tolist() for x in suffixes.repeated_starts(passages, 200)] == want
+    for weights in ([1] * len(passages), [1, 2] * (len(passages) // 2)):
+        count = collections.Counter()
+        for (p, s), n in zip(passages, weights):
+            count.update({p[i:i + 200]: n for i in range(s)})
+        want = [[count[p[i:i + 200]] > 1 for i in range(s)] for p, s in passages]
+        assert [x.tolist() for x in suffixes.repeated_starts(passages, weights, 200)] == want
+
+
+def test_a_boilerplate_in_a_third_of_all_texts_meets_once(spark, documents):
+    """Its passages differ in the text around it; folded and trimmed, few of them reach the task of the anchor."""
+    rng = np.random.default_rng(19)
+    shared = prose(rng, 70, 9000)[:290]
+    given = [(i, f"{prose(rng, 60, 9000)} {shared} {prose(rng, 60, 9000)}" if i % 3 == 0 else prose(rng, 120, 9000)) for i in range(600)]
+    want = [(i, *r) for (i, _), r in zip(given, removal([t.encode() for _, t in given], 200))]
+    docs = documents(given).repartition(6)
+    assert rows(suffixes.removal_digests(docs, hot=50), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(want, key=repr)
+    texts = suffixes.keyed(docs)
+    anchors = texts.select("_id", "_hash", "bytes").mapInPandas(
+        suffixes._find_anchors(200), "_id long, _hash long, anchor long, first int, last int")
+    hot = anchors.groupBy("anchor").count().filter("count > 50").select("anchor")
+    runs = anchors.join(hot, "anchor").groupBy("_id", "_hash").agg(F.collect_set(F.struct("anchor", "first", "last")).alias("runs"))
+    whole = texts.join(runs, ["_id", "_hash"]).toPandas()
+    passages = pd.concat(suffixes._cut_marked(200)(iter([whole])))
+    assert passages["mark"].nunique() > 0.9 * len(passages) > 180
+    # the windows that occur twice lie inside of the shared passage, or a few letters beyond that some texts have in common
+    hashes = [suffixes._window_hashes(p, s, 200).tolist() for p, s in zip(passages["passage"], passages["starts"])]
+    count = collections.Counter(h for of in hashes for h in of)
+    kept = passages.assign(weight=1, kept=[[i for i, h in enumerate(of) if count[h] > 1] for of in hashes])
+    trimmed = pd.concat(suffixes._trim(200)(iter([kept[kept["kept"].map(len) > 0]])))
+    assert len(trimmed) >= 200 and trimmed.groupby("anchor")["part"].nunique().max() < 0.5 * passages.groupby("anchor")["mark"].nunique().max()
 
 
 def jaccard(given, words=5, threshold=0.8):
