@@ -16,6 +16,7 @@ What is left meets by anchor and is decided by the same merge, and the verdicts
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,10 +105,12 @@ def _mark(passage: bytes, starts: int) -> bytes:
 
 
 def _cut_marked(length: int):
-    """The same with a mark of each passage's bytes."""
+    """The same with a mark of each passage's bytes, and the weight of its text."""
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in _cut_passages(length)(batches):
-            yield frame.assign(mark=[_mark(p, s) for p, s in zip(frame["passage"], frame["starts"].tolist())])
+        for batch in batches:
+            frame = next(_cut_passages(length)(iter([batch])))
+            yield frame.assign(mark=[_mark(p, s) for p, s in zip(frame["passage"], frame["starts"].tolist())],
+                               weight=np.repeat(batch["weight"].to_numpy(), batch["runs"].map(len)))
 
     return of
 
@@ -248,12 +251,20 @@ def repeated_starts(passages: list[tuple[bytes, int]], weights: list[int], lengt
     return [twice[f:f + s] for f, s in zip(first.tolist(), starts.tolist())]
 
 
-def _intervals(passages: list[tuple[bytes, int]], weights: list[int], length: int) -> list[list[tuple[int, int]]]:
-    """The [begin, end) ranges of repeated bytes in each passage."""
-    out = []
-    for twice in repeated_starts(passages, weights, length) if passages else []:
-        edges = np.flatnonzero(np.diff(np.concatenate(([False], twice, [False])).astype(np.int8)))
-        out.append([(b, e - 1 + length) for b, e in zip(edges[0::2].tolist(), edges[1::2].tolist())])
+def _intervals(anchors: list[int], passages: list[tuple[bytes, int]], weights: list[int], length: int) -> list[list[tuple[int, int]]]:
+    """The [begin, end) ranges of repeated bytes in each distinct passage; passages of an anchor stand together.
+
+    Windows are equal only if their anchors are. Where all passages of an anchor are copies of one, there is nothing to order: its
+    windows occur as often as it does.
+    """
+    of = Counter(anchors)
+    out: list = [[(0, s - 1 + length)] if of[a] == 1 and w > 1 else [] for a, (_, s), w in zip(anchors, passages, weights)]
+    several = [i for i, a in enumerate(anchors) if of[a] > 1]
+    if several:
+        found = repeated_starts([passages[i] for i in several], [weights[i] for i in several], length)
+        for i, twice in zip(several, found):
+            edges = np.flatnonzero(np.diff(np.concatenate(([False], twice, [False])).astype(np.int8)))
+            out[i] = [(b, e - 1 + length) for b, e in zip(edges[0::2].tolist(), edges[1::2].tolist())]
     return out
 
 
@@ -262,28 +273,27 @@ class _Pool:
 
     def __init__(self, length: int):
         self.length, self.size, self.rows = length, 0, 0
-        self.owners: dict[tuple[bytes, int], list[tuple]] = {}
+        self.owners: dict[tuple[int, bytes, int], list[tuple]] = {}
 
-    def add(self, key: int, hashed: int, first: int, starts: int, passage: bytes) -> None:
-        owners = self.owners.setdefault((passage, starts), [])
+    def add(self, anchor: int, key: int, hashed: int, first: int, starts: int, passage: bytes) -> None:
+        owners = self.owners.setdefault((anchor, passage, starts), [])
         self.size += 0 if owners else len(passage)
         self.rows += 1
         owners.append((key, hashed, first))
 
     def close(self) -> list[tuple]:
         """(id, hash, begin, end) of what repeats."""
-        passages = list(self.owners)
-        weights = [min(2, len(of)) for of in self.owners.values()]
+        found = _intervals([p[0] for p in self.owners], [p[1:] for p in self.owners],
+                           [min(2, len(of)) for of in self.owners.values()], self.length)
         return [(key, hashed, first + b, first + e)
-                for of, found in zip(self.owners.values(), _intervals(passages, weights, self.length))
-                for b, e in found for key, hashed, first in of]
+                for of, spans in zip(self.owners.values(), found) for b, e in spans for key, hashed, first in of]
 
 
 def _find_weighted(length: int):
     """Rows come sorted by anchor: distinct passages, each with its weight."""
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def closed() -> pd.DataFrame:
-            found = _intervals([(h[2], h[3]) for h in held], [h[4] for h in held], length)
+            found = _intervals([h[0] for h in held], [(h[2], h[3]) for h in held], [h[4] for h in held], length)
             return pd.DataFrame([(h[0], h[1], b, e) for h, spans in zip(held, found) for b, e in spans],
                                 columns=["anchor", "part", "begin", "end"])
 
@@ -312,7 +322,7 @@ def _find_repeats(length: int):
                     out += pool.close()
                     pool = _Pool(length)
                 last = row[0]
-                pool.add(*row[1:])
+                pool.add(*row)
             if out:
                 yield pd.DataFrame(out, columns=["_id", "_hash", "begin", "end"])
         if out := pool.close():
@@ -344,21 +354,27 @@ def with_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFr
         _cut_passages(length), "anchor long, _id long, _hash long, first int, starts int, passage binary")
     found = passages.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(
         _find_repeats(length), "_id long, _hash long, begin int, end int")
-    if not twice.filter("hot").isEmpty():
-        found = found.unionByName(_hot_repeats(texts.join(runs.filter("hot").drop("hot"), ["_id", "_hash"]), length))
     spans = found.groupBy("_id", "_hash").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    if not twice.filter("hot").isEmpty():
+        around = texts.join(runs.filter("hot").drop("hot"), ["_id", "_hash"])
+        spans = spans.unionByName(_hot_spans(around, length)).groupBy("_id", "_hash").agg(
+            F.flatten(F.collect_list("spans")).alias("spans"))
     return texts.join(spans, ["_id", "_hash"], "left")
 
 
-def _hot_repeats(texts: DataFrame, length: int) -> DataFrame:
-    """(_id, _hash, begin, end) of what repeats around very frequent anchors; ``texts`` have the ``runs`` of those.
+def _hot_spans(texts: DataFrame, length: int) -> DataFrame:
+    """(_id, _hash, spans) of what repeats around very frequent anchors; ``texts`` have the ``runs`` of those.
 
-    Bytes move once per distinct passage and task, as equal ones combine before the shuffle, and a window with a hash of its own
-    repeats nowhere. The trimmed passages of an anchor, distinct ones only, meet in a task.
+    Of equal texts one stands for all. Passages move once per distinct one and task, as equal ones combine before the shuffle,
+    and a window with a hash of its own repeats nowhere. The trimmed passages of an anchor, distinct ones only, meet in a task.
     """
-    cut_out = texts.mapInPandas(_cut_marked(length), "anchor long, _id long, _hash long, first int, starts int, passage binary, mark binary")
     weight = F.least(F.sum("weight"), F.lit(2)).cast("int").alias("weight")
-    distinct = cut(cut_out.withColumn("weight", F.lit(1)).groupBy("anchor", "mark").agg(
+    ids = cut(texts.select("_id", "_hash", F.sha2("bytes", 256).alias("text")), "hot-texts")
+    leads = ids.groupBy("text").agg(F.min(F.struct("_id", "_hash")).alias("lead"), F.least(F.count("*"), F.lit(2)).alias("weight"))
+    alone = texts.join(leads.select("lead._id", "lead._hash", "weight"), ["_id", "_hash"])
+    cut_out = alone.mapInPandas(_cut_marked(length), "anchor long, _id long, _hash long, first int, starts int, passage binary, "
+                                "mark binary, weight int")
+    distinct = cut(cut_out.groupBy("anchor", "mark").agg(
         F.first("passage").alias("passage"), F.first("starts").alias("starts"), weight), "hot-passages")
     windows = distinct.mapInPandas(_hash_windows(length), "anchor long, mark binary, weight int, hashes array<long>").select(
         "anchor", "mark", "weight", F.posexplode("hashes").alias("at", "h"))
@@ -370,11 +386,13 @@ def _hot_repeats(texts: DataFrame, length: int) -> DataFrame:
         F.first("passage").alias("passage"), F.first("starts").alias("starts"), weight)
     repeated = folded.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(
         _find_weighted(length), "anchor long, part binary, begin int, end int")
-    inside = trimmed.select("anchor", "mark", "shift", "part").join(repeated, ["anchor", "part"]).select(
-        "anchor", "mark", (F.col("shift") + F.col("begin")).alias("begin"), (F.col("shift") + F.col("end")).alias("end"))
+    inside = trimmed.select("anchor", "mark", "shift", "part").join(repeated, ["anchor", "part"]).groupBy("anchor", "mark").agg(
+        F.collect_list(F.struct((F.col("shift") + F.col("begin")).alias("begin"), (F.col("shift") + F.col("end")).alias("end"))).alias("in"))
     owners = cut_out.select("anchor", "mark", "_id", "_hash", "first")
-    return owners.join(inside, ["anchor", "mark"]).select(
-        "_id", "_hash", (F.col("first") + F.col("begin")).alias("begin"), (F.col("first") + F.col("end")).alias("end"))
+    found = owners.join(inside, ["anchor", "mark"]).groupBy("_id", "_hash").agg(F.flatten(F.collect_list(F.transform(
+        "in", lambda x: F.struct((F.col("first") + x["begin"]).alias("begin"), (F.col("first") + x["end"]).alias("end"))))).alias("spans"))
+    members = ids.distinct().join(leads, "text").select("_id", "_hash", F.struct(F.col("lead._id"), F.col("lead._hash")).alias("lead"))
+    return members.join(found.select(F.struct("_id", "_hash").alias("lead"), "spans"), "lead").select("_id", "_hash", "spans")
 
 
 def _merged_spans(spans) -> list[tuple[int, int]]:

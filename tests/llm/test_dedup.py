@@ -98,13 +98,13 @@ def test_a_boilerplate_in_a_third_of_all_texts_meets_once(spark, documents):
         suffixes._find_anchors(200), "_id long, _hash long, anchor long, first int, last int")
     hot = anchors.groupBy("anchor").count().filter("count > 50").select("anchor")
     runs = anchors.join(hot, "anchor").groupBy("_id", "_hash").agg(F.collect_set(F.struct("anchor", "first", "last")).alias("runs"))
-    whole = texts.join(runs, ["_id", "_hash"]).toPandas()
+    whole = texts.join(runs, ["_id", "_hash"]).toPandas().assign(weight=1)
     passages = pd.concat(suffixes._cut_marked(200)(iter([whole])))
     assert passages["mark"].nunique() > 0.9 * len(passages) > 180
     # the windows that occur twice lie inside of the shared passage, or a few letters beyond that some texts have in common
     hashes = [suffixes._window_hashes(p, s, 200).tolist() for p, s in zip(passages["passage"], passages["starts"])]
     count = collections.Counter(h for of in hashes for h in of)
-    kept = passages.assign(weight=1, kept=[[i for i, h in enumerate(of) if count[h] > 1] for of in hashes])
+    kept = passages.assign(kept=[[i for i, h in enumerate(of) if count[h] > 1] for of in hashes])
     trimmed = pd.concat(suffixes._trim(200)(iter([kept[kept["kept"].map(len) > 0]])))
     assert len(trimmed) >= 200 and trimmed.groupby("anchor")["part"].nunique().max() < 0.5 * passages.groupby("anchor")["mark"].nunique().max()
 
