@@ -105,12 +105,18 @@ def _mark(passage: bytes, starts: int) -> bytes:
 
 
 def _cut_marked(length: int):
-    """The same with a mark of each passage's bytes, and the weight of its text."""
+    """One row per distinct passage of a text and anchor: its places, a mark of its bytes, and its weight."""
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            frame = next(_cut_passages(length)(iter([batch])))
-            yield frame.assign(mark=[_mark(p, s) for p, s in zip(frame["passage"], frame["starts"].tolist())],
-                               weight=np.repeat(batch["weight"].to_numpy(), batch["runs"].map(len)))
+            out: dict[tuple, list] = {}
+            for key, hashed, text, runs, weight in zip(*[batch[c] for c in ("_id", "_hash", "bytes", "runs", "weight")]):
+                for r in runs:
+                    passage, starts = text[r["first"]:r["last"] + length], r["last"] - r["first"] + 1
+                    row = out.setdefault((r["anchor"], _mark(passage, starts), key, hashed), [[], starts, passage, 0])
+                    row[0].append(r["first"])
+                    row[3] += weight
+            yield pd.DataFrame([(*k, *v) for k, v in out.items()], columns=[
+                "anchor", "mark", "_id", "_hash", "firsts", "starts", "passage", "weight"])
 
     return of
 
@@ -356,7 +362,9 @@ def with_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFr
         _find_repeats(length), "_id long, _hash long, begin int, end int")
     spans = found.groupBy("_id", "_hash").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     if not twice.filter("hot").isEmpty():
-        around = texts.join(runs.filter("hot").drop("hot"), ["_id", "_hash"])
+        # both written: the runs of few texts are broadcast by their size, and later steps read those texts alone
+        around = cut(texts.select("_id", "_hash", "bytes").join(
+            cut(runs.filter("hot").drop("hot"), "hot-runs"), ["_id", "_hash"]), "hot-texts")
         spans = spans.unionByName(_hot_spans(around, length)).groupBy("_id", "_hash").agg(
             F.flatten(F.collect_list("spans")).alias("spans"))
     return texts.join(spans, ["_id", "_hash"], "left")
@@ -369,11 +377,11 @@ def _hot_spans(texts: DataFrame, length: int) -> DataFrame:
     and a window with a hash of its own repeats nowhere. The trimmed passages of an anchor, distinct ones only, meet in a task.
     """
     weight = F.least(F.sum("weight"), F.lit(2)).cast("int").alias("weight")
-    ids = cut(texts.select("_id", "_hash", F.sha2("bytes", 256).alias("text")), "hot-texts")
+    ids = cut(texts.select("_id", "_hash", F.sha2("bytes", 256).alias("text")), "hot-ids")
     leads = ids.groupBy("text").agg(F.min(F.struct("_id", "_hash")).alias("lead"), F.least(F.count("*"), F.lit(2)).alias("weight"))
     alone = texts.join(leads.select("lead._id", "lead._hash", "weight"), ["_id", "_hash"])
-    cut_out = alone.mapInPandas(_cut_marked(length), "anchor long, _id long, _hash long, first int, starts int, passage binary, "
-                                "mark binary, weight int")
+    cut_out = alone.mapInPandas(_cut_marked(length), "anchor long, mark binary, _id long, _hash long, firsts array<int>, starts int, "
+                                "passage binary, weight int")
     distinct = cut(cut_out.groupBy("anchor", "mark").agg(
         F.first("passage").alias("passage"), F.first("starts").alias("starts"), weight), "hot-passages")
     windows = distinct.mapInPandas(_hash_windows(length), "anchor long, mark binary, weight int, hashes array<long>").select(
@@ -388,9 +396,10 @@ def _hot_spans(texts: DataFrame, length: int) -> DataFrame:
         _find_weighted(length), "anchor long, part binary, begin int, end int")
     inside = trimmed.select("anchor", "mark", "shift", "part").join(repeated, ["anchor", "part"]).groupBy("anchor", "mark").agg(
         F.collect_list(F.struct((F.col("shift") + F.col("begin")).alias("begin"), (F.col("shift") + F.col("end")).alias("end"))).alias("in"))
-    owners = cut_out.select("anchor", "mark", "_id", "_hash", "first")
-    found = owners.join(inside, ["anchor", "mark"]).groupBy("_id", "_hash").agg(F.flatten(F.collect_list(F.transform(
-        "in", lambda x: F.struct((F.col("first") + x["begin"]).alias("begin"), (F.col("first") + x["end"]).alias("end"))))).alias("spans"))
+    owners = cut_out.select("anchor", "mark", "_id", "_hash", "firsts")
+    moved = F.flatten(F.transform("firsts", lambda f: F.transform("in", lambda x: F.struct(
+        (f + x["begin"]).alias("begin"), (f + x["end"]).alias("end")))))
+    found = owners.join(inside, ["anchor", "mark"]).groupBy("_id", "_hash").agg(F.flatten(F.collect_list(moved)).alias("spans"))
     members = ids.distinct().join(leads, "text").select("_id", "_hash", F.struct(F.col("lead._id"), F.col("lead._hash")).alias("lead"))
     return members.join(found.select(F.struct("_id", "_hash").alias("lead"), "spans"), "lead").select("_id", "_hash", "spans")
 
