@@ -32,9 +32,9 @@ GRAM = 32
 #: Bytes of passages in a shard, and in the shards that are merged at once.
 SHARD = 1 << 18
 POOL = 1 << 20
-#: Passages that a task gathers at once, copies counted, and those of one anchor from which on they are folded first.
+#: Passages that a task gathers at once, copies counted, and those of one anchor beyond which they are folded first: some 5 MB.
 ROWS = 100_000
-HOT = 4096
+HOT = 16_384
 NO_ID = -(2**63)
 _FACTORS = np.random.default_rng(5).integers(0, 2**64, 4, dtype=np.uint64) | np.uint64(1)
 _WINDOW_FACTORS = np.random.default_rng(6).integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
@@ -83,18 +83,23 @@ def _find_anchors(length: int):
                 owner, anchor, first, last = _anchors_of(texts[begin:end], length)
                 if len(owner):
                     yield pd.DataFrame({"_id": ids[begin + owner], "_hash": hashes[begin + owner], "anchor": anchor,
-                                        "first": first, "last": last})
+                                        "places": first << 32 | last})
 
     return of
 
 
+def _places(run) -> tuple[int, int]:
+    """The first and the last window of a run, which travel in one number."""
+    return run["places"] >> 32, run["places"] & 0xFFFFFFFF
+
+
 def _cut_passages(length: int):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for key, hashed, text, runs in zip(batch["_id"], batch["_hash"], batch["bytes"], batch["runs"]):
-                out += [(r["anchor"], key, hashed, r["first"], r["last"] - r["first"] + 1,
-                         text[r["first"]:r["last"] + length]) for r in runs]
+                out += [(r["anchor"], key, hashed, first, last - first + 1, text[first:last + length])
+                        for r in runs for first, last in [_places(r)]]
             yield pd.DataFrame(out, columns=["anchor", "_id", "_hash", "first", "starts", "passage"])
 
     return of
@@ -111,9 +116,10 @@ def _cut_marked(length: int):
             out: dict[tuple, list] = {}
             for key, hashed, text, runs, weight in zip(*[batch[c] for c in ("_id", "_hash", "bytes", "runs", "weight")]):
                 for r in runs:
-                    passage, starts = text[r["first"]:r["last"] + length], r["last"] - r["first"] + 1
+                    first, last = _places(r)
+                    passage, starts = text[first:last + length], last - first + 1
                     row = out.setdefault((r["anchor"], _mark(passage, starts), key, hashed), [[], starts, passage, 0])
-                    row[0].append(r["first"])
+                    row[0].append(first)
                     row[3] += weight
             yield pd.DataFrame([(*k, *v) for k, v in out.items()], columns=[
                 "anchor", "mark", "_id", "_hash", "firsts", "starts", "passage", "weight"])
@@ -349,13 +355,13 @@ def with_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFr
     Both joins with the texts read all their columns, so that the texts are shuffled once for both.
     """
     anchors = cut(texts.filter(F.octet_length("bytes") >= length).select("_id", "_hash", "bytes").mapInPandas(
-        _find_anchors(length), "_id long, _hash long, anchor long, first int, last int"), "anchors")
+        _find_anchors(length), "_id long, _hash long, anchor long, places long"), "anchors")
     # written, so that the join below reads plain shuffles and the one of a hot anchor can be split
     twice = cut(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select(
         "anchor", (F.col("n") > hot).alias("hot")), "twice")
     # equal rows have one set of runs, but each brings its passages, so they repeat each other
     runs = (anchors.join(twice, "anchor").groupBy("_id", "_hash", "hot")
-            .agg(F.collect_set(F.struct("anchor", "first", "last")).alias("runs")))
+            .agg(F.collect_set(F.struct("anchor", "places")).alias("runs")))
     passages = texts.join(runs.filter("NOT hot").drop("hot"), ["_id", "_hash"]).mapInPandas(
         _cut_passages(length), "anchor long, _id long, _hash long, first int, starts int, passage binary")
     found = passages.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(

@@ -95,9 +95,9 @@ def test_a_boilerplate_in_a_third_of_all_texts_meets_once(spark, documents):
     assert rows(suffixes.removal_digests(docs, hot=50), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(want, key=repr)
     texts = suffixes.keyed(docs)
     anchors = texts.select("_id", "_hash", "bytes").mapInPandas(
-        suffixes._find_anchors(200), "_id long, _hash long, anchor long, first int, last int")
+        suffixes._find_anchors(200), "_id long, _hash long, anchor long, places long")
     hot = anchors.groupBy("anchor").count().filter("count > 50").select("anchor")
-    runs = anchors.join(hot, "anchor").groupBy("_id", "_hash").agg(F.collect_set(F.struct("anchor", "first", "last")).alias("runs"))
+    runs = anchors.join(hot, "anchor").groupBy("_id", "_hash").agg(F.collect_set(F.struct("anchor", "places")).alias("runs"))
     whole = texts.join(runs, ["_id", "_hash"]).toPandas().assign(weight=1)
     passages = pd.concat(suffixes._cut_marked(200)(iter([whole])))
     assert passages["mark"].nunique() > 0.9 * len(passages) > 180
