@@ -32,9 +32,9 @@ GRAM = 32
 #: Bytes of passages in a shard, and in the shards that are merged at once.
 SHARD = 1 << 18
 POOL = 1 << 20
-#: Passages that a task gathers at once, copies counted, and those of one anchor beyond which they are folded first: some 5 MB.
+#: Passages that a task gathers at once, copies counted, and those of one anchor beyond which they are folded first.
 ROWS = 100_000
-HOT = 16_384
+HOT = 4096
 NO_ID = -(2**63)
 _FACTORS = np.random.default_rng(5).integers(0, 2**64, 4, dtype=np.uint64) | np.uint64(1)
 _WINDOW_FACTORS = np.random.default_rng(6).integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
@@ -140,7 +140,7 @@ def _window_hashes(passage: bytes, starts: int, length: int) -> np.ndarray:
 def _hash_windows(length: int):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.drop(columns=["passage", "starts"]).assign(hashes=[
+            yield batch[["number", "weight"]].assign(hashes=[
                 _window_hashes(p, s, length) for p, s in zip(batch["passage"], batch["starts"].tolist())])
 
     return of
@@ -389,12 +389,16 @@ def _hot_spans(texts: DataFrame, length: int) -> DataFrame:
     cut_out = alone.mapInPandas(_cut_marked(length), "anchor long, mark binary, _id long, _hash long, firsts array<int>, starts int, "
                                 "passage binary, weight int")
     distinct = cut(cut_out.groupBy("anchor", "mark").agg(
-        F.first("passage").alias("passage"), F.first("starts").alias("starts"), weight), "hot-passages")
-    windows = distinct.mapInPandas(_hash_windows(length), "anchor long, mark binary, weight int, hashes array<long>").select(
-        "anchor", "mark", "weight", F.posexplode("hashes").alias("at", "h"))
+        F.first("passage").alias("passage"), F.first("starts").alias("starts"), weight).withColumn(
+        "number", F.monotonically_increasing_id()), "hot-passages")
+    # a window is the written number of its passage and its place in it, in one
+    windows = distinct.mapInPandas(_hash_windows(length), "number long, weight int, hashes array<long>").select(
+        "number", "weight", F.posexplode("hashes").alias("at", "h")).select(
+        "h", "weight", (F.shiftleft("number", 16) + F.col("at")).alias("window"))
     often = windows.groupBy("h").agg(F.sum("weight").alias("n")).filter("n > 1").select("h")
-    kept = windows.join(often, "h").groupBy("anchor", "mark").agg(F.collect_list("at").alias("kept"))
-    trimmed = cut(distinct.join(kept, ["anchor", "mark"]).mapInPandas(
+    kept = windows.select("h", "window").join(often, "h").groupBy(F.shiftright("window", 16).alias("number")).agg(
+        F.collect_list(F.col("window").bitwiseAND(0xFFFF).cast("int")).alias("kept"))
+    trimmed = cut(distinct.join(kept, "number").mapInPandas(
         _trim(length), "anchor long, mark binary, shift int, part binary, starts int, passage binary, weight int"), "hot-trimmed")
     folded = trimmed.groupBy("anchor", "part").agg(
         F.first("passage").alias("passage"), F.first("starts").alias("starts"), weight)
