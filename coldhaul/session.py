@@ -57,9 +57,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back, ending its lineage."""
+    return cut_at(df, name)[0]
+
+
+def cut_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The same with the path, for tables that are removed once what was made of them is written."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def together(*jobs: Callable[[], object]) -> list:
