@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coldhaul.llm.shingles import chunks, mixed
-from coldhaul.session import cut
+from coldhaul.session import cut, cut_at
+from coldhaul.sources.files import remove
 
 LENGTH = 200
 GRAM = 32
@@ -354,23 +355,26 @@ def with_spans(texts: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFr
 
     Both joins with the texts read all their columns, so that the texts are shuffled once for both.
     """
-    anchors = cut(texts.filter(F.octet_length("bytes") >= length).select("_id", "_hash", "bytes").mapInPandas(
+    spark = texts.sparkSession
+    anchors, at_anchors = cut_at(texts.filter(F.octet_length("bytes") >= length).select("_id", "_hash", "bytes").mapInPandas(
         _find_anchors(length), "_id long, _hash long, anchor long, places long"), "anchors")
     # written, so that the join below reads plain shuffles and the one of a hot anchor can be split
-    twice = cut(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select(
+    twice, at_twice = cut_at(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select(
         "anchor", (F.col("n") > hot).alias("hot")), "twice")
     # equal rows have one set of runs, but each brings its passages, so they repeat each other
-    runs = (anchors.join(twice, "anchor").groupBy("_id", "_hash", "hot")
-            .agg(F.collect_set(F.struct("anchor", "places")).alias("runs")))
+    runs = cut(anchors.join(twice, "anchor").groupBy("_id", "_hash", "hot")
+               .agg(F.collect_set(F.struct("anchor", "places")).alias("runs")), "runs")
+    for path in (at_anchors, at_twice):
+        remove(spark, path)
     passages = texts.join(runs.filter("NOT hot").drop("hot"), ["_id", "_hash"]).mapInPandas(
         _cut_passages(length), "anchor long, _id long, _hash long, first int, starts int, passage binary")
     found = passages.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(
         _find_repeats(length), "_id long, _hash long, begin int, end int")
     spans = found.groupBy("_id", "_hash").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-    if not twice.filter("hot").isEmpty():
-        # both written: the runs of few texts are broadcast by their size, and later steps read those texts alone
+    if not runs.filter("hot").isEmpty():
+        # written, as all later steps read these texts alone
         around = cut(texts.select("_id", "_hash", "bytes").join(
-            cut(runs.filter("hot").drop("hot"), "hot-runs"), ["_id", "_hash"]), "hot-texts")
+            runs.filter("hot").drop("hot").hint("merge"), ["_id", "_hash"]), "hot-texts")
         spans = spans.unionByName(_hot_spans(around, length)).groupBy("_id", "_hash").agg(
             F.flatten(F.collect_list("spans")).alias("spans"))
     return texts.join(spans, ["_id", "_hash"], "left")
