@@ -1128,11 +1128,15 @@ def backfill_pipeline(fleet):
     return _lake(fleet, _backfill_end(fleet)).fact()
 
 
+def lake_before_last_day(fleet: FleetData) -> daily.Lake:
+    """All but the last day with trips, loaded as history."""
+    return _lake(fleet, _backfill_end(fleet) - timedelta(days=1))
+
+
 @query
 def daily_pipeline(fleet):
     """Backfill all but the last day with trips, then run that day."""
-    last = _backfill_end(fleet)
-    lake = _lake(fleet, last - timedelta(days=1))
+    lake = lake_before_last_day(fleet)
     daily.daily_run(lake)
     return lake.fact()
 
