@@ -21,15 +21,25 @@ from coldhaul.llm.common import WORD, bound
 NONE, UNKNOWN = "none", "unknown"
 # Notices of licence families, as their licences ask to state them.
 TEMPLATES = {
+    "AGPL": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+        "Licensed under the GNU AGPL version 3.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
         "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "SPDX-License-Identifier: Apache-2.0",
     ],
     "BSD": [
         "Released under the BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met",
+        "SPDX-License-Identifier: BSD-2-Clause",
+        "SPDX-License-Identifier: BSD-3-Clause",
+        "BSD 2-Clause License", "BSD 3-Clause License",
     ],
     "CC-BY": [
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -46,26 +56,48 @@ TEMPLATES = {
     "CC0": [
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
         "Released into the public domain under CC0 1.0 Universal.",
+        "SPDX-License-Identifier: CC0-1.0",
+    ],
+    "EPL": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
     ],
     "GPL": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
         "Licensed under the GNU GPL version 2.",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
+    ],
+    "ISC": [
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.",
+        "SPDX-License-Identifier: ISC",
     ],
     "LGPL": [
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "Licensed under the GNU LGPL version 3.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
     ],
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files, to deal in the Software without restriction",
         "Licensed under the MIT License.",
+        "SPDX-License-Identifier: MIT",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
+        "SPDX-License-Identifier: MPL-2.0",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Released under the Unlicense.",
+        "SPDX-License-Identifier: Unlicense",
     ],
     "proprietary": [
         "All rights reserved.",

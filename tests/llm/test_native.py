@@ -144,6 +144,33 @@ def test_licences(spark, documents):
     assert licenses.scan(empty, licenses.train(empty)).count() == 0
 
 
+def test_near_families_and_other_notices(spark, documents):
+    """What stands beside the templates: relatives, headers by name, wordings and licences the model does not know."""
+    rng = np.random.default_rng(6)
+    plain = [(i, "\n".join(prose(rng, 30) for _ in range(5))) for i in range(60)]
+    said = [("AGPL", "You can redistribute it under the terms of the GNU Affero General Public License as published by the Free Software "
+             "Foundation, either version 3 of the License, or any later version."),
+            ("GPL", "You can redistribute it under the terms of the GNU General Public License as published by the Free Software Foundation, "
+             "either version 2 of the License, or any later version."),
+            ("ISC", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, "
+             "provided that the above copyright notice and this permission notice appear in all copies."),
+            ("MIT", "// SPDX-License-Identifier: MIT"), ("Unlicense", "# This is free and unencumbered software released into the public domain."),
+            ("EPL", "The materials are made available under the terms of the Eclipse Public License 2.0 which is available at"), ("BSD", "BSD 3-Clause License")]
+    docs = documents([*plain, *[(100 + i, f"{prose(rng, 20)}\n{t}\n{prose(rng, 20)}") for i, (_, t) in enumerate(said)],
+                      (200, "Licensed under the Foobar Public Charter, version 2.0."), (201, "SPDX-License-Identifier: Zlib"),
+                      (202, "\n".join(f"licensed {i}" for i in range(500)) + "\nReleased under the MIT License."),
+                      (203, "Released under the MIT License."), (203, "Released under the MIT License.")])
+    found = [r for r in licenses.scan(docs, licenses.train(docs)).collect()]
+    by = {r.doc_id: r for r in found}
+    wrong = [(f, t, by[100 + i]) for i, (f, t) in enumerate(said) if by[100 + i].licence != f]
+    assert not wrong
+    # a licence without a template is confirmed as none that has one
+    assert by[200].families == by[201].families == []
+    # lines on end that hold a word of a notice hide none, and repeated rows are scanned each
+    assert by[202].families == ["MIT"] and [r.licence for r in found if r.doc_id == 203] == ["MIT", "MIT"]
+    assert all(by[i].licence == "none" for i, _ in plain)
+
+
 def test_licences_without_usual_words(spark, documents):
     rng = np.random.default_rng(4)
     plain = [(i, "\n".join(prose(rng, 30) for _ in range(5))) for i in range(60)]
