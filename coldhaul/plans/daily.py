@@ -208,14 +208,11 @@ def backfill_run(lake: Lake, until: date) -> None:
 # ---- the daily stages; each returns the rows it processed ----
 
 def bronze_day(lake: Lake, day: date) -> int:
-    rows = 0
-    for kind in TOPICS:
-        rows += copy_partition_forward(lake.spark, lake.path("landing", kind),
-                                       lake.path("bronze", kind), schemas.ENVELOPE, "ingest_date", day)
-    for name in ("trips", "trip_cargo"):
-        rows += copy_partition_forward(lake.spark, lake.path("landing", name),
-                                       lake.path("bronze", name), schemas.RAW[name], "dt", day)
-    return rows
+    def copy(name: str, schema: T.StructType, column: str) -> int:
+        return copy_partition_forward(lake.spark, lake.path("landing", name), lake.path("bronze", name), schema, column, day)
+
+    return sum(together(*[partial(copy, kind, schemas.ENVELOPE, "ingest_date") for kind in TOPICS],
+                        *[partial(copy, name, schemas.RAW[name], "dt") for name in ("trips", "trip_cargo")]))
 
 
 def _bronze(lake: Lake, name: str, schema: T.StructType, day: date) -> DataFrame:
@@ -223,13 +220,13 @@ def _bronze(lake: Lake, name: str, schema: T.StructType, day: date) -> DataFrame
 
 
 def silver_day(lake: Lake, day: date) -> int:
-    rows = 0
-    days = {day}
-    for kind in TOPICS:
+    def pings(kind: str) -> tuple[int, set[date | None]]:
         arrived = cut(clean_pings(_bronze(lake, kind, schemas.ENVELOPE, day), kind)
                       .withColumn("dt", F.to_date("ts")), "arrivals")
-        rows += arrived.count()
-        days |= merge_pings(lake, kind, arrived)
+        return arrived.count(), merge_pings(lake, kind, arrived)
+
+    merged = together(*[partial(pings, kind) for kind in TOPICS])
+    rows, days = sum(n for n, _ in merged), {day}.union(*[of for _, of in merged])
     event_days = lake.spark.createDataFrame([(d,) for d in sorted(d for d in days if d)], "event_day date")
     replace_partition(event_days, lake.path("control", "event_days"), "dt", day)
     trips = silver.silver_trips(_bronze(lake, "trips", schemas.RAW["trips"], day),
