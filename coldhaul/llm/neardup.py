@@ -2,8 +2,10 @@
 
 Equal texts form a class, and one of each class goes on. Its signature is cut into bands; classes that share a band's
 hash are linked to the least of them, and the links' components are the candidate groups. A group is split into
-blocks of bounded weight, every two blocks of a group meet in a task, and there the full n-gram sets decide. A task
-returns counts and the local components, never pairs, so a group of copies costs rows in proportion to its members.
+blocks of bounded weight. Two blocks of a group meet in a task, each with those texts only that share a band with one
+of the other, and there the full n-gram sets decide: a chain of candidates costs rows in proportion to its links, not to
+the square of its blocks. A task returns counts and the local components, never pairs, so a group of copies costs rows
+in proportion to its members.
 """
 
 from __future__ import annotations
@@ -189,16 +191,36 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumn("_id", F.coalesce("doc_id", F.lit(NO_ID)))
 
 
+def block_members(texts: DataFrame, groups: DataFrame) -> DataFrame:
+    """(text_md5, group, _id, copies, blocks, block, bands) of the texts in groups; bands only where there are several blocks."""
+    members = texts.join(groups, "text_md5").select("text_md5", "group", "_id", "copies", "bands", F.greatest(
+        F.col("n_grams"), F.lit(LEAST_WEIGHT)).alias("weight"))
+    blocks = members.groupBy("group").agg(F.ceil(F.sum("weight") / BLOCK_WEIGHT).cast("int").alias("blocks"))
+    return members.join(blocks, "group").select(
+        "text_md5", "group", "_id", "copies", "blocks", F.pmod(F.xxhash64("text_md5"), F.col("blocks")).cast("int").alias("block"),
+        F.when(F.col("blocks") > 1, F.col("bands")).alias("bands"))
+
+
+def meeting_blocks(members: DataFrame) -> DataFrame:
+    """(text_md5, others): of the texts in groups of several blocks, the blocks with a text that shares a band with it.
+
+    The blocks of a band are gathered, never its texts, so a band costs a row as long as its group has blocks.
+    """
+    rows = members.filter("blocks > 1").select("text_md5", "block", F.explode("bands").alias("band"))
+    held = rows.groupBy("band").agg(F.sort_array(F.collect_set("block")).alias("held"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return rows.join(held, "band").groupBy("text_md5").agg(
+        F.array_distinct(F.flatten(F.collect_set("held"))).alias("others"))
+
+
 def verified_links(docs: DataFrame, texts: DataFrame, groups: DataFrame, words: int = WORDS,
                    threshold: float = THRESHOLD) -> DataFrame:
     """(text_md5, links, root): per text and task, the documents of other texts that it reaches, and a local component."""
-    members = texts.join(groups, "text_md5").select("text_md5", "group", "_id", "copies", F.greatest(
-        F.col("n_grams"), F.lit(LEAST_WEIGHT)).alias("weight"))
-    blocks = members.groupBy("group").agg(F.ceil(F.sum("weight") / BLOCK_WEIGHT).cast("int").alias("blocks"))
-    members = members.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("text_md5"), F.col("blocks")).cast("int"))
+    members = cut(block_members(texts, groups), "members")
+    placed = members.drop("bands").join(meeting_blocks(members), "text_md5", "left").withColumn(
+        "others", F.when(F.col("blocks") > 1, F.coalesce("others", F.array().cast("array<int>"))).otherwise(F.array(F.lit(0))))
     read = _keyed(docs.select("doc_id", "text", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("text_md5")))
-    held = read.select("_id", "text_md5", "text").join(members, ["_id", "text_md5"])
-    tasks = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    held = read.select("_id", "text_md5", "text").join(placed, ["_id", "text_md5"])
+    tasks = held.withColumn("other", F.explode("others")).select(
         "group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         "text_md5", "text", "copies", "block")
     return (tasks.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high")
@@ -224,7 +246,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
         F.min("_id").alias("_id"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n_grams").alias("n_grams"),
         F.first("bands").alias("bands")), "texts")
     groups = cut(candidate_groups(texts.select("text_md5", "bands")), "groups")
-    links = cut(verified_links(docs, texts.drop("bands"), groups, words, threshold), "links")
+    links = cut(verified_links(docs, texts, groups, words, threshold), "links")
     roots = components(links.select(F.col("text_md5").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("text_md5").agg(F.sum("links").alias("links"))
     linked = cut(texts.select("text_md5", "first_id", "copies")

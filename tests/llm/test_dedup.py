@@ -158,6 +158,28 @@ def test_classes_and_links_equal_brute_force(spark, documents, near, monkeypatch
         assert neardup.near_duplicates(documents([])).count() == 0
 
 
+def test_a_chain_of_candidates_makes_no_quadratic_work(spark, documents, monkeypatch):
+    """Neighbours share bands but miss the threshold; a text goes to the blocks of its neighbours, not to all of its group's."""
+    monkeypatch.setattr(neardup, "BLOCK_WEIGHT", 2000)
+    rng = np.random.default_rng(23)
+    words = [f"c{int(x)}" for x in rng.permutation(12 * 600 + 200)]
+    given = [(i, " ".join(words[12 * i:12 * i + 104])) for i in range(600)]
+    given += [(1000 + i, given[40 * i][1] + " end") for i in range(15)]
+    want = jaccard(given)
+    docs = documents(given).repartition(3)
+    texts = neardup._keyed(neardup.signatures(docs)).groupBy("text_md5").agg(
+        F.min("_id").alias("_id"), F.count("*").alias("copies"), F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands"))
+    groups = neardup.candidate_groups(texts.select("text_md5", "bands"))
+    members = neardup.block_members(texts, groups).cache()
+    blocks = members.groupBy("group").agg(F.max("blocks").alias("blocks"), F.count("*").alias("n")).collect()
+    every = sum(r.n * r.blocks for r in blocks if r.blocks > 1)
+    sent = neardup.meeting_blocks(members).agg(F.sum(F.size("others"))).first()[0]
+    assert max(r.blocks for r in blocks) > 30
+    assert sent < 8 * sum(r.n for r in blocks if r.blocks > 1) < every
+    assert rows(neardup.near_duplicates(docs), "doc_id", "class_id", "n_links") == sorted(want, key=repr)
+    assert sum(links > 0 for _, _, links in want) == 30
+
+
 def test_pairs_at_exactly_the_threshold_are_linked(spark, documents):
     rng = np.random.default_rng(16)
     given = []
