@@ -219,7 +219,8 @@ def verified_links(docs: DataFrame, texts: DataFrame, groups: DataFrame, words:
     placed = members.drop("bands").join(meeting_blocks(members), "text_md5", "left").withColumn(
         "others", F.when(F.col("blocks") > 1, F.coalesce("others", F.array().cast("array<int>"))).otherwise(F.array(F.lit(0))))
     read = _keyed(docs.select("doc_id", "text", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("text_md5")))
-    held = read.select("_id", "text_md5", "text").join(placed, ["_id", "text_md5"])
+    # one kind of join at every size: the members grow with the documents, so their texts come by shuffle in the end
+    held = read.select("_id", "text_md5", "text").join(placed.hint("merge"), ["_id", "text_md5"])
     tasks = held.withColumn("other", F.explode("others")).select(
         "group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         "text_md5", "text", "copies", "block")
