@@ -706,6 +706,12 @@ def complete(sql: str, needs: dict[str, list[str]]) -> str:
     return f"WITH {pieces},\n{body[5:]}" if body.startswith("WITH ") else f"WITH {pieces}\n{body}"
 
 
+# the stored star answers as the fact does
+QUERIES |= {stored: QUERIES[asked] for stored, asked in (
+    ("stored_by_name", "q1_1_by_name"), ("stored_mileage_wear", "q2_2_mileage_wear"),
+    ("stored_by_corridor", "q5_2_by_corridor"))}
+
+
 def oracle_sql() -> dict[str, str]:
     needs = {name: _named(sql) for name, sql in PIECES.items()}
     return {name: complete(sql, needs) for name, sql in QUERIES.items()}

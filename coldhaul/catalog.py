@@ -17,6 +17,7 @@ from coldhaul.operators.asof import any_long, match_trips, trip_windows
 from coldhaul.operators.ordered import (
     dedupe_by_key, dedupe_full_row, drop_null_keys, resequence, top_rows)
 from coldhaul.plans import bi, control, daily, gold, silver
+from coldhaul.plans.star import StarStore
 from coldhaul.session import cut, scratch_path, together
 from coldhaul.sinks import tables
 from coldhaul.sources import files
@@ -1237,6 +1238,34 @@ def q5_2_by_corridor(fleet):
     return bi.net_profit_by_corridor(fact(fleet), route_dim(fleet))
 
 
+def stored_star(fleet: FleetData) -> StarStore:
+    """The stored star of the fleet; the fact is written once, as the store reads it once per role."""
+    root = scratch_path(fleet.spark, "star")
+    store = StarStore(fleet.spark, root, root.rsplit("/", 1)[1].replace("-", "_"),
+                      int(fleet.spark.conf.get("spark.sql.shuffle.partitions")))
+    store.write(cut(fact(fleet), "fact"), {
+        "driver": driver_dim(fleet), "vehicle": vehicle_dim(fleet), "route": route_dim(fleet)})
+    return store
+
+
+@query
+def stored_by_name(fleet):
+    star = stored_star(fleet)
+    return bi.aggressive_by_name(star.sums("driver"), star.dim("driver"))
+
+
+@query
+def stored_mileage_wear(fleet):
+    star = stored_star(fleet)
+    return bi.mileage_wear(star.sums("vehicle"), star.dim("vehicle"))
+
+
+@query
+def stored_by_corridor(fleet):
+    star = stored_star(fleet)
+    return bi.net_profit_by_corridor(star.sums("route"), star.dim("route"))
+
+
 @query
 def live_map(fleet):
     return bi.live_map(batch_status(fleet))

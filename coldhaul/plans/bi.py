@@ -2,12 +2,13 @@
 
 Measures are summed per surrogate key before a dimension is joined: the shuffle then
 carries one row per key and task, a busy driver or route cannot skew the join, and the
-join and the second aggregation run on a key-sized table.
+join and the second aggregation run on a key-sized table. Questions that sum per key take
+the fact, or the sums per key and day of it that ``star.StarStore`` keeps bucketed by key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coldhaul.functions.columns import (
@@ -16,11 +17,28 @@ from coldhaul.operators.ordered import top_rows
 
 TICK_LIMIT = 50
 MINUTES = "decimal(24,6)"
+# what the questions sum per surrogate key, over the fact's columns
+MEASURES = {
+    "driver_key_sk": {"speeding": "speeding_ticks", "drift": "drift_ticks"},
+    "vehicle_key_sk": {"battery": "battery_fault_ticks", "engine": "engine_fault_ticks"},
+    "route_key_sk": {
+        "delay": f"cast(delivery_delay_min AS {MINUTES})", "delays": "cast(delivery_delay_min IS NOT NULL AS int)",
+        "lag": f"cast(loading_lag_min AS {MINUTES})", "lags": "cast(loading_lag_min IS NOT NULL AS int)",
+        "cost": "fuel_cost_egp", "litres": "total_fuel_consumed_l",
+        "revenue": "base_cargo_type_fees + weight_surcharge_fees"},
+}
 
 
-def _sums(fact: DataFrame, key: str, **measures: Column) -> DataFrame:
-    return fact.groupBy(key).agg(F.count(F.lit(1)).alias("trips"),
-                                 *[F.sum(m).alias(n) for n, m in measures.items()])
+def sums_of(fact: DataFrame, *keys: str) -> DataFrame:
+    """Trips and all measures of the first key, per value of the keys."""
+    return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("trips"), *[
+        F.sum(F.expr(m)).alias(n) for n, m in MEASURES[keys[0]].items()])
+
+
+def _sums(fact: DataFrame, key: str, *measures: str) -> DataFrame:
+    if "trips" in fact.columns:
+        return fact.groupBy(key).agg(*[F.sum(n).alias(n) for n in ("trips", *measures)])
+    return sums_of(fact, key).select(key, "trips", *measures)
 
 
 def _with_driver(sums: DataFrame, drivers: DataFrame) -> DataFrame:
@@ -41,8 +59,7 @@ def _with_route(sums: DataFrame, routes: DataFrame) -> DataFrame:
 # ---- drivers ----
 
 def _aggressive(fact: DataFrame, drivers: DataFrame) -> DataFrame:
-    return _with_driver(_sums(fact, "driver_key_sk", speeding=F.col("speeding_ticks"),
-                              drift=F.col("drift_ticks")), drivers)
+    return _with_driver(_sums(fact, "driver_key_sk", "speeding", "drift"), drivers)
 
 
 def dangerous_drivers(fact: DataFrame, drivers: DataFrame, limit: int = 5) -> DataFrame:
@@ -72,21 +89,21 @@ def vehicles_at_risk(fact: DataFrame, limit: int = TICK_LIMIT) -> DataFrame:
 
 def risk_list(fact: DataFrame, vehicles: DataFrame, limit: int = TICK_LIMIT) -> DataFrame:
     """Vehicles whose ticks over all trips exceed the limit."""
-    return (_with_vehicle(_sums(fact, "vehicle_key_sk", ticks=F.col("battery_fault_ticks")), vehicles)
-            .groupBy("vehicle_id", "model").agg(F.sum("ticks").alias("battery_fault_ticks"))
+    return (_with_vehicle(_sums(fact, "vehicle_key_sk", "battery"), vehicles)
+            .groupBy("vehicle_id", "model").agg(F.sum("battery").alias("battery_fault_ticks"))
             .where(F.col("battery_fault_ticks") > limit)
             .orderBy(F.desc("battery_fault_ticks"), "vehicle_id"))
 
 
 def risk_band(fact: DataFrame, limit: int = TICK_LIMIT) -> DataFrame:
-    band = F.when(F.col("ticks") > limit, "At risk").otherwise("Healthy")
-    return (_sums(fact, "vehicle_key_sk", ticks=F.col("battery_fault_ticks"))
+    band = F.when(F.col("battery") > limit, "At risk").otherwise("Healthy")
+    return (_sums(fact, "vehicle_key_sk", "battery")
             .groupBy(band.alias("risk_band")).agg(F.count(F.lit(1)).alias("vehicles")))
 
 
 def mileage_wear(fact: DataFrame, vehicles: DataFrame) -> DataFrame:
-    ticks, trips = F.sum("ticks"), F.sum("trips")
-    return (_with_vehicle(_sums(fact, "vehicle_key_sk", ticks=F.col("engine_fault_ticks")), vehicles)
+    ticks, trips = F.sum("engine"), F.sum("trips")
+    return (_with_vehicle(_sums(fact, "vehicle_key_sk", "engine"), vehicles)
             .groupBy("model", mileage_bracket("current_mileage").alias("mileage_bracket"))
             .agg(rounded_ratio(ticks, trips, 1).alias("avg_engine_fault_ticks"),
                  (ticks.cast("double") / trips).alias("avg_engine_fault"))
@@ -112,11 +129,10 @@ def breach_by_distance(fact: DataFrame) -> DataFrame:
 # ---- routes ----
 
 def corridors(fact: DataFrame, routes: DataFrame, limit: int | None = 15) -> DataFrame:
-    delay = F.col("delivery_delay_min").cast(MINUTES)
-    sums = _sums(fact, "route_key_sk", delay=delay, known=F.when(delay.isNotNull(), 1).otherwise(0))
+    sums = _sums(fact, "route_key_sk", "delay", "delays")
     totals = (_with_route(sums, routes).groupBy("origin_governorate", "destination_governorate")
               .agg(F.sum("trips").alias("trip_volume"),
-                   rounded_ratio(F.sum("delay"), F.nullif(F.sum("known"), F.lit(0)), 1)
+                   rounded_ratio(F.sum("delay"), F.nullif(F.sum("delays"), F.lit(0)), 1)
                    .alias("avg_delay_min")))
     if limit is None:
         return totals
@@ -125,10 +141,9 @@ def corridors(fact: DataFrame, routes: DataFrame, limit: int | None = 15) -> Dat
 
 
 def loading_lag(fact: DataFrame, routes: DataFrame) -> DataFrame:
-    lag = F.col("loading_lag_min").cast(MINUTES)
-    sums = _sums(fact, "route_key_sk", lag=lag, known=F.when(lag.isNotNull(), 1).otherwise(0))
+    sums = _sums(fact, "route_key_sk", "lag", "lags")
     return (_with_route(sums, routes).groupBy("origin_governorate")
-            .agg(rounded_ratio(F.sum("lag"), F.nullif(F.sum("known"), F.lit(0)), 1)
+            .agg(rounded_ratio(F.sum("lag"), F.nullif(F.sum("lags"), F.lit(0)), 1)
                  .alias("avg_loading_lag_min"), F.sum("trips").alias("trips"))
             .orderBy(F.desc("avg_loading_lag_min"), "origin_governorate"))
 
@@ -136,8 +151,7 @@ def loading_lag(fact: DataFrame, routes: DataFrame) -> DataFrame:
 # ---- fuel and finance ----
 
 def fuel_cost_by_governorate(fact: DataFrame, routes: DataFrame) -> DataFrame:
-    sums = _sums(fact, "route_key_sk", cost=F.col("fuel_cost_egp"),
-                 litres=F.col("total_fuel_consumed_l"))
+    sums = _sums(fact, "route_key_sk", "cost", "litres")
     return (_with_route(sums, routes).groupBy("origin_governorate")
             .agg(F.round(F.sum("cost"), 0).alias("fuel_cost_egp"),
                  F.round(F.sum("litres"), 0).alias("liters"))
@@ -149,10 +163,7 @@ def total_fuel_cost(fact: DataFrame) -> DataFrame:
 
 
 def _profit(fact: DataFrame, routes: DataFrame) -> DataFrame:
-    return _with_route(_sums(
-        fact, "route_key_sk",
-        revenue=F.col("base_cargo_type_fees") + F.col("weight_surcharge_fees"),
-        cost=F.col("fuel_cost_egp")), routes)
+    return _with_route(_sums(fact, "route_key_sk", "revenue", "cost"), routes)
 
 
 def net_profit(fact: DataFrame, routes: DataFrame, limit: int = 15) -> DataFrame:
