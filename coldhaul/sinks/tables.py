@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
 import logging
-from collections.abc import Iterable
+import os
+import re
+import uuid
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,12 +20,16 @@ from coldhaul.session import cut, scratch_path
 from coldhaul.sinks.key_map import KeyMap, bucket_of
 from coldhaul.sinks.schema_log import beside, declare, declared, read_table
 from coldhaul.sources.files import (
-    child_names, make_folder, path_exists, remove, rename, scan_daily_slice, scan_folders)
+    child_names, make_folder, mounted_path, path_exists, remove, rename, scan_daily_slice, scan_folders)
 
 log = logging.getLogger(__name__)
 
 #: The folder value that Hive-style layouts give to rows without a partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: How many rows of a key share a file, about.
+ROWS_PER_FILE = 1_000_000
+#: The characters that Spark escapes in folder names.
+_UNSAFE = re.compile(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -55,12 +64,21 @@ def write_staging(df: DataFrame, table: str, fmt: str = "parquet", **options: st
     return seen.get["rows"]
 
 
-def write_file_per_key(df: DataFrame, folder: str, key: str, threads: int = 16) -> int:
+def write_file_per_key(df: DataFrame, folder: str, key: str, threads: int = 16,
+                       rows_per_file: int = ROWS_PER_FILE) -> int:
     """CSV files named ``<key>.csv``, as a collector per vehicle leaves them; returns the number of files.
 
-    Spark writes a folder per key and names the files itself; they are then renamed in the file system. A large
-    key is written by several tasks, as ``<key>.csv``, ``<key>-1.csv`` and so on. Rows without a key go to ``none.csv``.
+    A large key is written by several tasks, as ``<key>.csv``, ``<key>-1.csv`` and so on. Rows without a key go to
+    ``none.csv``. On a mounted file system the tasks write the files under their names, and the folder appears when all are
+    there; elsewhere Spark writes a folder per key, and the files are renamed one by one.
     """
+    local = mounted_path(df.sparkSession, folder)
+    if local is None:
+        return _files_by_rename(df, folder, key, threads)
+    return _files_by_task(df, folder, local, key, rows_per_file)
+
+
+def _files_by_rename(df: DataFrame, folder: str, key: str, threads: int) -> int:
     spark, staged = df.sparkSession, scratch_path(df.sparkSession, "per-key")
     (df.withColumn("_shard", F.col(key)).hint("rebalance", F.col("_shard"))
      .write.partitionBy("_shard").csv(staged, header=True))
@@ -78,6 +96,48 @@ def write_file_per_key(df: DataFrame, folder: str, key: str, threads: int = 16)
         return sum(pool.map(name_files, shards))
 
 
+def _files_by_task(df: DataFrame, folder: str, local: str, key: str, rows_per_file: int) -> int:
+    """Each file is written by one task, in a draft folder first, so a task that runs again overwrites its own files."""
+    spark, draft = df.sparkSession, f"{folder.rstrip('/')}.{uuid.uuid4().hex}.tmp"
+    if path_exists(spark, folder):
+        raise FileExistsError(folder)
+    stem = F.coalesce(F.nullif(F.col(key).cast("string"), F.lit("")), F.lit("none"))
+    rows = df.select(stem.alias("stem"), F.to_csv(F.struct(*[F.col(c) for c in df.columns])).alias("line"))
+    header = spark.range(1).select(F.to_csv(F.struct(*[F.lit(c).alias(f"c{i}") for i, c in enumerate(df.columns)]))).first()[0]
+    # at most a row per full file
+    large = (rows.groupBy("stem").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows_per_file)
+             .select("stem", F.ceil(F.col("n") / rows_per_file).alias("pieces")))
+    piece = F.coalesce(F.pmod(F.xxhash64("line"), "pieces"), F.lit(0))
+    placed = (rows.join(F.broadcast(large), "stem", "left").select("stem", piece.alias("piece"), F.col("line").cast("binary").alias("line"))
+              .repartition("stem", "piece").sortWithinPartitions("stem", "piece"))
+    make_folder(spark, draft)
+    at = f"{local.rstrip('/')}{draft[len(folder.rstrip('/')):]}"
+    write = _named_writer(at, header.encode())
+    written = placed.mapInPandas(write, "files long").agg(F.sum("files")).first()[0] or 0
+    if sum(n.endswith(".csv") for n in os.listdir(at)) != written:
+        raise FileExistsError(f"two keys of {folder} give one file name")
+    rename(spark, draft, folder)
+    return written
+
+
+def _named_writer(folder: str, header: bytes):
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (r for b in batches for r in zip(b["stem"], b["piece"], b["line"]))
+        # a draft folder of its own: tasks that create files in one folder wait for each other
+        own, count = f"{folder}/_{uuid.uuid4().hex}.tmp", 0
+        os.mkdir(own)
+        for (stem, piece), group in itertools.groupby(rows, key=lambda r: r[:2]):
+            name = _UNSAFE.sub(lambda m: f"%{ord(m[0]):02X}", stem) + (f"-{piece}" if piece else "") + ".csv"
+            with open(f"{own}/{name}", "wb") as out:
+                out.write(header + b"\n")
+                out.writelines(line + b"\n" for _, _, line in group)
+            os.replace(f"{own}/{name}", f"{folder}/{name}")
+            count += 1
+        os.rmdir(own)
+        yield pd.DataFrame({"files": [count]})
+    return write
+
+
 def write_partitioned(df: DataFrame, path: str, column: str, dynamic: bool = False) -> None:
     """Overwrite a partitioned table, or only the partitions present if ``dynamic``.
 

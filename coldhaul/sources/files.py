@@ -42,6 +42,13 @@ def rename(spark: SparkSession, path: str, to: str) -> None:
         raise FileExistsError(to)
 
 
+def mounted_path(spark: SparkSession, path: str) -> str | None:
+    """The path as tasks can open it themselves, if it lies on a mounted file system."""
+    fs, p = _hadoop(spark, path)
+    uri = fs.makeQualified(p).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a folder; none if it is missing."""
     fs, p = _hadoop(spark, path)
@@ -122,9 +129,15 @@ def scan_daily_slice(spark: SparkSession, path: str, schema: T.StructType, colum
 
 
 def scan_sharded_by_vehicle(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """One CSV per vehicle, the vehicle number taken from the file name; null under another name."""
-    return (spark.read.schema(schema).csv(f"{folder}/*.csv", header=True, enforceSchema=False)
-            .withColumn("vehicle_id", F.regexp_extract(
+    """One CSV per vehicle, the vehicle number taken from the file name; null under another name.
+
+    The folder is listed once: a pattern would be expanded to a path per file, and each be listed again.
+    """
+    rows = spark.read.schema(schema).option("pathGlobFilter", "*.csv").csv(folder, header=True, enforceSchema=False)
+    # the names stay in the JVM
+    if not len(rows._jdf.inputFiles()):
+        raise FileNotFoundError(f"no CSV files under {folder}")
+    return (rows.withColumn("vehicle_id", F.regexp_extract(
                 F.col("_metadata.file_name"), r"^(\d+)", 1).try_cast("bigint")))
 
 

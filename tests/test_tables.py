@@ -123,3 +123,34 @@ def test_a_file_per_vehicle(spark, tmp_path):
     found = files.scan_sharded_by_vehicle(spark, path, schemas.strings("v", "sensor_id", "note"))
     assert values(found, "vehicle_id", "sensor_id") == sorted([(v, s) for v, s, _ in rows], key=repr)
     assert tables.write_file_per_key(df.limit(0), f"{path}-none", "v") == 0
+
+
+def test_files_per_key_are_written_by_the_tasks(spark, tmp_path, monkeypatch):
+    rows = [(v, f"S{i}", n) for v in ("7", "a/b", "", None) for i, n in enumerate(['say "x"', "a,b", None, "two\nlines"])]
+    df = spark.createDataFrame(rows, "v string, sensor_id string, note string")
+    df = df.unionByName(spark.range(50).selectExpr("'9' AS v", "concat('S', id) AS sensor_id", "'n' AS note"))
+    monkeypatch.setattr(tables, "rename", lambda *a, done=[]: (done.append(a), files.rename(*a), len(done) > 1 and pytest.fail("a rename per file")))
+    path = str(tmp_path / "named")
+    written = tables.write_file_per_key(df, path, "v", rows_per_file=10)
+    names = files.child_names(spark, path)
+    assert written == len(names) > 4 and {"7.csv", "a%2Fb.csv", "none.csv", "9.csv", "9-1.csv"} <= set(names)
+    plain = str(tmp_path / "plain")
+    df.drop("v").write.csv(plain, header=True)
+    reader = spark.read.schema("sensor_id string, note string")
+    named = spark.read.schema("v string, sensor_id string, note string").csv(path, header=True, multiLine=True).drop("v")
+    assert values(named) == values(reader.csv(plain, header=True, multiLine=True))
+    with pytest.raises(FileExistsError):
+        tables.write_file_per_key(df, path, "v")
+    clash = spark.createDataFrame([("3",)] * 30 + [("3-1",)], "v string").selectExpr("v", "uuid() AS u")
+    with pytest.raises(FileExistsError):
+        tables.write_file_per_key(clash.localCheckpoint(), str(tmp_path / "clash"), "v", rows_per_file=10)
+
+
+def test_shards_are_listed_once(spark, tmp_path):
+    (tmp_path / "3.csv").write_text("sensor_id\nS3\n")
+    (tmp_path / "notes.txt").write_text("sensor_id\nS4\n")
+    out = files.scan_sharded_by_vehicle(spark, str(tmp_path), schemas.strings("sensor_id"))
+    assert values(out, "vehicle_id", "sensor_id") == [(3, "S3")]
+    with pytest.raises(FileNotFoundError):
+        (tmp_path / "empty").mkdir()
+        files.scan_sharded_by_vehicle(spark, f"{tmp_path}/empty", schemas.strings("sensor_id"))
