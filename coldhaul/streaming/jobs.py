@@ -10,7 +10,8 @@ the fuel memory compares with the reading that arrived before, which an aggregat
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta, timezone
 from functools import partial
 
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from coldhaul.functions.rules import RECENT_WINDOW
-from coldhaul.session import cut, scratch_path
+from coldhaul.session import cut, cut_at, scratch_path
 from coldhaul.sinks.tables import folder_of
 from coldhaul.sources.files import child_names, read_text, remove, write_text
 from coldhaul.streaming import live, series
@@ -194,28 +195,36 @@ def _write_state(rows: DataFrame, table: str, schema: str, batch_id: int) -> Non
 
 # ---- steps of a micro-batch ----
 
+@contextmanager
+def landed(rows: DataFrame, session: SparkSession) -> Iterator[DataFrame]:
+    """The rows of a micro-batch, written once and read in a session that is not the stream's own.
+
+    A stream plans its batches, and all that is made of them, with the number of partitions of its state and without adaptive
+    execution: each shuffle would cost the square of that number in files, however few rows a batch brings.
+    """
+    at, path = cut_at(rows, "micro-batch")
+    try:
+        yield session.read.schema(at.schema).parquet(path)
+    finally:
+        remove(session, path)
+
+
 def incident_step(windows: WindowStore, out: str, clock: Clock = wall_clock) -> Callable[[DataFrame, int], None]:
     """The incidents of one micro-batch of quick messages."""
     def step(batch: DataFrame, batch_id: int) -> None:
-        pings = quick_from_messages(batch).persist()
-        try:
+        with landed(quick_from_messages(batch), windows.spark) as pings:
             write_feed(live.quick_incidents(pings, windows.for_pings(pings)), out, "quick", batch_id, clock)
-        finally:
-            pings.unpersist()
     return step
 
 
 def slow_step(windows: WindowStore, out: str, clock: Clock = wall_clock) -> Callable[[DataFrame, int], None]:
     """The incidents of one micro-batch of slow messages, and the last fuel reading of its vehicles."""
     def step(batch: DataFrame, batch_id: int) -> None:
-        pings = slow_from_messages(batch).persist()
-        try:
-            known = read_state(batch.sparkSession, f"{out}/fuel", FUEL_SCHEMA, batch_id)
+        with landed(slow_from_messages(batch), windows.spark) as pings:
+            known = read_state(windows.spark, f"{out}/fuel", FUEL_SCHEMA, batch_id)
             drops = live.fuel_drop_step(pings, known)
             write_feed(live.slow_incidents(drops, windows.for_pings(pings)), out, "slow", batch_id, clock)
             _write_state(live.last_fuel(pings), f"{out}/fuel", FUEL_SCHEMA, batch_id)
-        finally:
-            pings.unpersist()
     return step
 
 
@@ -243,9 +252,9 @@ def _back(spark: SparkSession, now: datetime, window: str) -> datetime:
 def attach_step(windows: WindowStore, out: str) -> Callable[[DataFrame, int], None]:
     """The slow pings of one micro-batch with the trip that is active by the windows published when it runs."""
     def step(batch: DataFrame, batch_id: int) -> None:
-        pings = slow_from_messages(batch)
-        live.attach_trip(pings, windows.for_pings(pings)).write.mode("overwrite").parquet(
-            f"{out}/{series.Range(batch_id, batch_id, 0).folder}")
+        with landed(slow_from_messages(batch), windows.spark) as pings:
+            live.attach_trip(pings, windows.for_pings(pings)).write.mode("overwrite").parquet(
+                f"{out}/{series.Range(batch_id, batch_id, 0).folder}")
     return step
 
 
