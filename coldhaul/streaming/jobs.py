@@ -228,14 +228,16 @@ def slow_step(windows: WindowStore, out: str, clock: Clock = wall_clock) -> Call
     return step
 
 
-def status_step(out: str, as_of: Clock = wall_clock, window: str = RECENT_WINDOW) -> Callable[[DataFrame, int], None]:
+def status_step(out: str, as_of: Clock = wall_clock, window: str = RECENT_WINDOW,
+                session: SparkSession | None = None) -> Callable[[DataFrame, int], None]:
     """The positions that moved, and the colours of the vehicles with a recent incident.
 
     ``as_of`` gives the time to colour by; if it gives none, that of the newest incident counts. This step is the only writer of
-    both tables; an incident colours its vehicle from the next batch on, ten seconds later at most.
+    both tables; an incident colours its vehicle from the next batch on, ten seconds later at most. The feed is read in
+    ``session`` if given, which spares the stream's own settings (:func:`landed`).
     """
     def step(moved: DataFrame, batch_id: int) -> None:
-        spark = moved.sparkSession
+        spark = session or moved.sparkSession
         _write_state(moved, f"{out}/positions", POSITION_SCHEMA, batch_id)
         now = as_of() or newest_detection(spark, out)
         worst = spark.createDataFrame([], FEED_SCHEMA) if now is None else live.recent(
@@ -276,7 +278,7 @@ def _alerts(quick: DataFrame, slow: DataFrame, store: WindowStore, out: str, clo
     positions = live.position_state(quick_from_messages(quick))
     return {"slow": start("slow", once(slow), slow_step(store, out, clock), "append"),
             "quick": start("quick", once(quick), incident_step(store, out, clock), "append"),
-            "status": start("status", positions, status_step(out, as_of, window), "update")}
+            "status": start("status", positions, status_step(out, as_of, window, store.spark), "update")}
 
 
 def start_alerts(quick: DataFrame, slow: DataFrame, windows: DataFrame, out: str,

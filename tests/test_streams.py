@@ -313,7 +313,7 @@ def test_triggers_and_waiting_for_any(spark, monkeypatch):
 
 def test_a_batch_is_worked_on_outside_the_streams_own_settings(spark, monkeypatch):
     seen, path, inbox = [], scratch_path(spark, "settings"), scratch_path(spark, "settings-inbox")
-    for name in ("quick_incidents", "slow_incidents"):
+    for name in ("quick_incidents", "slow_incidents", "highest_severity"):
         def spy(first, *rest, name=name, made=getattr(live, name)):
             seen.append((name, first.sparkSession.conf.get("spark.sql.adaptive.enabled")))
             return made(first, *rest)
@@ -321,7 +321,7 @@ def test_a_batch_is_worked_on_outside_the_streams_own_settings(spark, monkeypatc
     kept = []
     monkeypatch.setattr(jobs, "remove", lambda s, p, gone=jobs.remove: (kept.append(p), gone(s, p)))
     replay(spark, path, inbox)
-    assert {n for n, _ in seen} == {"quick_incidents", "slow_incidents"} and {on for _, on in seen} == {"true"}
+    assert {n for n, _ in seen} == {"quick_incidents", "slow_incidents", "highest_severity"} and {on for _, on in seen} == {"true"}
     batches = [p for p in kept if "micro-batch" in p]
     assert batches and not any(files.path_exists(spark, p) for p in batches)
     assert values(jobs.read_feed(spark, path), "vehicle_id", "trip_id", "incident_type") == sorted(FEED, key=repr)
