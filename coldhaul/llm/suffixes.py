@@ -10,6 +10,7 @@ bytes, and those that hold two or more starts, copies counted, are the repeated
 
 The passages of an anchor that is very frequent differ in the text around it, and would all meet in one task. They are
 folded before: equal ones to one, and the others are trimmed to the windows whose hash occurs twice, which mostly makes them equal.
+Windows are counted in cells of a few neighbours, and one by one only where cells differ in part.
 What is left meets by anchor and is decided by the same merge, and the verdicts go back to the owners by joins of numbers.
 """
 
@@ -36,6 +37,8 @@ POOL = 1 << 20
 #: Passages that a task gathers at once, copies counted, and those of one anchor beyond which they are folded first.
 ROWS = 100_000
 HOT = 4096
+#: Windows around a frequent anchor that are compared as one first.
+CELL = 8
 NO_ID = -(2**63)
 _FACTORS = np.random.default_rng(5).integers(0, 2**64, 4, dtype=np.uint64) | np.uint64(1)
 _WINDOW_FACTORS = np.random.default_rng(6).integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
@@ -138,11 +141,40 @@ def _window_hashes(passage: bytes, starts: int, length: int) -> np.ndarray:
     return mixed(hashes).view(np.int64)
 
 
-def _hash_windows(length: int):
+def _anchor_place(passage: bytes, starts: int, anchor: int) -> int:
+    """Where the anchor of a passage stands: all its windows hold it, and the first of equal ones is theirs."""
+    last = len(passage) - starts + 1 - GRAM
+    words = np.lib.stride_tricks.as_strided(np.frombuffer(passage, dtype=np.uint8), (len(passage) - 7, 8), (1, 1)).copy().view(
+        "<u8").ravel()
+    grams = last - starts + 2
+    hashes = words[starts - 1:starts - 1 + grams] * _FACTORS[0]
+    for k in range(1, GRAM // 8):
+        hashes += words[starts - 1 + 8 * k:starts - 1 + 8 * k + grams] * _FACTORS[k]
+    return starts - 1 + int(np.flatnonzero(mixed(hashes).view(np.int64) == anchor)[0])
+
+
+def _cells_of(passage: bytes, starts: int, anchor: int, length: int) -> list[tuple[int, int, np.ndarray]]:
+    """(key, first window, window hashes) of each cell: the windows that begin as many ``CELL`` bytes before the anchor.
+
+    The key is a hash of the bytes that all windows of a whole cell share, so equal windows lie in cells of one key.
+    """
+    place = _anchor_place(passage, starts, anchor)
+    hashes = _window_hashes(passage, starts, length)
+    shared = length - CELL + 1
+    keys = _window_hashes(passage, len(passage) - shared + 1, shared)
+    cells = (place - np.arange(starts)) // CELL
+    edges = [0, *(np.flatnonzero(np.diff(cells)) + 1).tolist(), starts]
+    return [(int(keys[place - int(cells[b]) * CELL]), b, hashes[b:e]) for b, e in zip(edges, edges[1:])]
+
+
+def _hash_cells(length: int):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch[["number", "weight"]].assign(hashes=[
-                _window_hashes(p, s, length) for p, s in zip(batch["passage"], batch["starts"].tolist())])
+            rows = [(number, weight, key, at, hashes)
+                    for number, weight, anchor, passage, starts in zip(*[batch[c].tolist() for c in (
+                        "number", "weight", "anchor", "passage", "starts")])
+                    for key, at, hashes in _cells_of(passage, starts, anchor, length)]
+            yield pd.DataFrame(rows, columns=["number", "weight", "key", "at", "hashes"])
 
     return of
 
@@ -395,13 +427,10 @@ def _hot_spans(texts: DataFrame, length: int) -> DataFrame:
     distinct = cut(cut_out.groupBy("anchor", "mark").agg(
         F.first("passage").alias("passage"), F.first("starts").alias("starts"), weight).withColumn(
         "number", F.monotonically_increasing_id()), "hot-passages")
-    # a window is the written number of its passage and its place in it, in one
-    windows = distinct.mapInPandas(_hash_windows(length), "number long, weight int, hashes array<long>").select(
-        "number", "weight", F.posexplode("hashes").alias("at", "h")).select(
-        "h", "weight", (F.shiftleft("number", 16) + F.col("at")).alias("window"))
-    often = windows.groupBy("h").agg(F.sum("weight").alias("n")).filter("n > 1").select("h")
-    kept = windows.select("h", "window").join(often, "h").groupBy(F.shiftright("window", 16).alias("number")).agg(
-        F.collect_list(F.col("window").bitwiseAND(0xFFFF).cast("int")).alias("kept"))
+    cells = distinct.mapInPandas(_hash_cells(length), "number long, weight int, key long, at int, hashes array<long>")
+    kept = cells.join(_kept_windows(cells.select("key", "hashes", "weight")), ["key", "hashes"]).select("number", F.expr(
+        "transform(filter(sequence(0, size(hashes) - 1), i -> array_contains(kept, hashes[i])), i -> at + i)").alias("kept")).groupBy(
+        "number").agg(F.flatten(F.collect_list("kept")).alias("kept"))
     trimmed = cut(distinct.join(kept, "number").mapInPandas(
         _trim(length), "anchor long, mark binary, shift int, part binary, starts int, passage binary, weight int"), "hot-trimmed")
     folded = trimmed.groupBy("anchor", "part").agg(
@@ -418,6 +447,22 @@ def _hot_spans(texts: DataFrame, length: int) -> DataFrame:
     return members.join(found.select(F.struct("_id", "_hash").alias("lead"), "spans"), "lead").select("_id", "_hash", "spans")
 
 
+def _kept_windows(cells: DataFrame) -> DataFrame:
+    """(key, hashes, kept): of each distinct cell the window hashes that occur twice; cells without any are left out.
+
+    Equal cells combine before the shuffle, and all windows of one that occurs twice repeat. Only cells that differ from another
+    of their key, as those that an edit of a near copy touches in part, are compared window by window.
+    """
+    weight = F.least(F.sum("weight"), F.lit(2)).cast("int").alias("weight")
+    distinct = cells.groupBy("key", "hashes").agg(weight)
+    alike = distinct.groupBy("key").agg(F.count("*").alias("contents"), F.sum("weight").alias("n")).filter("n > 1").drop("n")
+    distinct = cut(distinct.join(alike, "key"), "hot-cells")
+    windows = distinct.filter("contents > 1").select("key", "hashes", "weight", F.explode("hashes").alias("h"))
+    often = windows.groupBy("key", "h").agg(F.sum("weight").alias("n")).filter("n > 1").drop("n")
+    single = windows.filter("weight = 1").join(often, ["key", "h"]).groupBy("key", "hashes").agg(F.collect_set("h").alias("kept"))
+    return distinct.filter("weight > 1").select("key", "hashes", F.col("hashes").alias("kept")).unionByName(single)
+
+
 def _merged_spans(spans) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for begin, end in sorted((s["begin"], s["end"]) for s in (spans if spans is not None else ())):

@@ -46,6 +46,47 @@ def test_removal_equals_brute_force(spark, documents, repeating, hot):
     assert suffixes.removal_digests(documents([])).count() == 0
 
 
+def test_near_copies_meet_in_cells_not_window_by_window(spark, documents, monkeypatch):
+    """A group of near copies gives a few rows per passage, and the windows of those cells only that an edit touches in part."""
+    rng = np.random.default_rng(23)
+    base = prose(rng, 70, 9000)[:380]
+    places = rng.integers(0, len(base), 240).tolist()
+    given = [(i, base[:p] + "#" + base[p + 1:]) for i, p in enumerate(places)]
+    want = [(i, *r) for (i, _), r in zip(given, removal([t.encode() for _, t in given], 200))]
+    seen = {}
+
+    def cells(rows):
+        seen["windows"] = rows.agg(F.sum(F.size("hashes"))).first()[0]
+        seen["cells"] = rows.count()
+        distinct = rows.groupBy("key", "hashes").count()
+        several = distinct.groupBy("key").count().filter("count > 1").select("key")
+        seen["compared"] = distinct.join(several, "key").agg(F.sum(F.size("hashes"))).first()[0]
+        return whole(rows)
+
+    whole = suffixes._kept_windows
+    monkeypatch.setattr(suffixes, "_kept_windows", cells)
+    found = suffixes.removal_digests(documents(given).repartition(3), hot=5)
+    assert rows(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(want, key=repr)
+    assert seen["windows"] > 10_000
+    assert seen["cells"] < seen["windows"] / 4 and seen["compared"] < seen["windows"] / 3
+
+
+def test_equal_windows_lie_in_cells_of_one_key():
+    rng = np.random.default_rng(29)
+    texts = [t.encode() for t in (prose(rng, 200, 9000), "ab" * 400, "x" * 500, "né" * 300)]
+    texts += [b"?" * 5 + texts[0][40:] + b"!", texts[0][3:300]]
+    keys = collections.defaultdict(set)
+    owner, anchor, first, last = suffixes._anchors_of(texts, 200)
+    for o, a, f, e in zip(owner.tolist(), anchor.tolist(), first.tolist(), last.tolist()):
+        passage = texts[o][f:e + 200]
+        cells = suffixes._cells_of(passage, e - f + 1, a, 200)
+        assert sum(len(h) for _, _, h in cells) == e - f + 1 and cells[0][1] == 0
+        for key, at, hashes in cells:
+            for i in range(len(hashes)):
+                keys[passage[at + i:at + i + 200]].add(key)
+    assert len(keys) > 300 and all(len(k) == 1 for k in keys.values())
+
+
 def test_texts_without_repeats(spark, documents, repeating):
     docs = documents(repeating)
     out = suffixes.without_repeats(docs)
