@@ -15,19 +15,40 @@ FUEL_CHUNK_MINUTES = 10
 LITRES = "decimal(28,6)"
 
 
-def trip_cargo_agg(trip_cargo: DataFrame, cargo: DataFrame) -> DataFrame:
+CARRIED = {"weight_kg": F.sum, "price_egp": F.sum}
+BOUNDS = {"min_temp": F.min, "max_temp": F.max}
+
+
+def trip_cargo_summary(trip_cargo: DataFrame, cargo: DataFrame, measures: dict = CARRIED | BOUNDS) -> DataFrame:
+    """Per trip: the smallest type name of its cargo, and its measures.
+
+    Items are gathered per trip and type first, by hash and map-side: the minimum of names alone would sort them all.
+    """
+    known = cargo.select("cargo_id", "cargo_type", *[
+        reading(c).alias(c) if c in CARRIED else c for c in measures])
+    per_type = trip_cargo.join(known, "cargo_id", "left").groupBy("trip_id", "cargo_type").agg(
+        *[of(c).alias(c) for c, of in measures.items()])
+    return per_type.groupBy("trip_id").agg(
+        F.min("cargo_type").alias("cargo_type"), *[of(c).alias(c) for c, of in measures.items()])
+
+
+def cargo_totals(summary: DataFrame) -> DataFrame:
     """Per trip: the smallest cargo type name, total weight and value."""
-    return (trip_cargo.join(cargo, "cargo_id", "left").groupBy("trip_id").agg(
-        F.min("cargo_type").alias("cargo_type"),
-        amount(F.sum(reading("weight_kg"))).alias("total_cargo_weight_kg"),
-        amount(F.sum(reading("price_egp"))).alias("total_cargo_value_egp")))
+    return summary.select("trip_id", "cargo_type", amount(F.col("weight_kg")).alias("total_cargo_weight_kg"),
+                          amount(F.col("price_egp")).alias("total_cargo_value_egp"))
 
 
-def trip_thermal_bounds(trip_cargo: DataFrame, cargo: DataFrame) -> DataFrame:
+def thermal_bounds(summary: DataFrame) -> DataFrame:
     """Per trip: lowest minimum, highest maximum and smallest type name of its cargo."""
-    return (trip_cargo.join(cargo, "cargo_id", "left").groupBy("trip_id").agg(
-        F.min("min_temp").alias("min_temp"), F.max("max_temp").alias("max_temp"),
-        F.min("cargo_type").alias("cargo_type")))
+    return summary.select("trip_id", "min_temp", "max_temp", "cargo_type")
+
+
+def trip_cargo_agg(trip_cargo: DataFrame, cargo: DataFrame) -> DataFrame:
+    return cargo_totals(trip_cargo_summary(trip_cargo, cargo, CARRIED))
+
+
+def trip_thermal_bounds(trip_cargo: DataFrame, cargo: DataFrame) -> DataFrame:
+    return thermal_bounds(trip_cargo_summary(trip_cargo, cargo, BOUNDS))
 
 
 def bounded_trips(trips: DataFrame, bounds: DataFrame) -> DataFrame:

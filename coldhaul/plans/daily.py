@@ -22,6 +22,7 @@ from coldhaul import schemas
 from coldhaul.functions.columns import number
 from coldhaul.operators import quality, rollup
 from coldhaul.operators.asof import any_long, match_trips, trip_windows
+from coldhaul.operators.joins import keep_known
 from coldhaul.operators.ordered import dedupe_full_row, drop_null_keys
 from coldhaul.plans import gold, silver
 from coldhaul.plans.control import UNKNOWN_ROWS, ControlTable
@@ -173,18 +174,20 @@ def backfill_run(lake: Lake, until: date) -> None:
                                 dims["routes"])
     write_partitioned(_by_start(trips), lake.path("silver", "trips"), "start_date")
     trips = lake.read("silver", "trips")
-    bridge = silver.silver_trip_cargo(landed("trip_cargo").where(known), trips, dims["cargo"])
     write_overwrite(trips.limit(0).select("start_date", F.col("actual_end_time").alias("last_end")),
                     lake.path("control", "trip_ends"))
     lake.note_ends(trips)
     starts = trips.select("trip_id", "start_date")
+    # trips are single, so the join that adds the start is also the check of the trip
+    bridge = keep_known(silver.typed_trip_cargo(landed("trip_cargo").where(known)), {"cargo_id": dims["cargo"]})
     write_partitioned(bridge.join(starts, "trip_id"), lake.path("silver", "trip_cargo"), "start_date")
     bridge = lake.read("silver", "trip_cargo")
 
-    bounds = rollup.trip_thermal_bounds(bridge, dims["cargo"])
-    windows = cut(trip_windows(trips), "windows")
-    parts = _parts(lake.read("silver", "quick"), lake.read("silver", "slow"), windows, bounds)
-    cargo_agg = rollup.trip_cargo_agg(bridge, dims["cargo"])
+    # the bridge is the largest table: one pass gives both its totals and the bounds of the trips
+    windows, summary = together(partial(cut, trip_windows(trips), "windows"),
+                                partial(cut, rollup.trip_cargo_summary(bridge, dims["cargo"]), "cargo-of-trips"))
+    parts = _parts(lake.read("silver", "quick"), lake.read("silver", "slow"), windows, rollup.thermal_bounds(summary))
+    cargo_agg = rollup.cargo_totals(summary)
     models = {"dim_vehicles": gold.dim_vehicles(dims["vehicles"]),
               "dim_drivers": gold.dim_drivers(dims["drivers"]),
               "dim_routes": gold.dim_routes(dims["routes"]), "dim_date": gold.dim_date(lake.spark)}

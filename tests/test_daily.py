@@ -104,3 +104,13 @@ def test_days_read_their_partitions_only(spark, kind):
     assert f"dt={SECOND}" not in plan
     plan = lake.read("silver", "trips").where(F.col("start_date") < F.lit(SECOND))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(start_date" in plan
+
+
+def test_backfill_passes_once_over_the_cargo_of_trips(spark, monkeypatch):
+    """Totals and bounds come from one summary of the bridge, the largest table."""
+    made, summary = [], daily.rollup.trip_cargo_summary
+    monkeypatch.setattr(daily.rollup, "trip_cargo_summary", lambda *args: made.append(args) or summary(*args))
+    lake = landed(spark)
+    daily.backfill_run(lake, SECOND)
+    assert len(made) == 1
+    assert {r.trip_id: r.total_cargo_weight_kg for r in lake.read("staging", "trip_cargo_agg").collect()} == {1: 4, 2: 4, 3: 4}

@@ -85,3 +85,20 @@ def test_cargo_rollup_rounds_once_and_keeps_cargoless_lines(spark):
         (1, -100.0, 8.0, "Chilled"), (2, None, None, None)]
     assert values(rollup.fill_missing_measures(spark.range(1).withColumnRenamed("id", "trip_id")).select(
         F.col("door_open_ticks"), F.col("total_distance_km"))) == [(0, Decimal("0.00"))]
+
+
+def test_cargo_items_are_not_sorted_for_the_smallest_name(spark):
+    bridge = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (1, None), (None, 1), (2, 2)], "trip_id bigint, cargo_id bigint")
+    cargo = spark.createDataFrame([(1, None, 5.0, 1.0, 1.005, 1.0), (2, "Chilled", 8.0, 0.0, 0.1, None)],
+                                  "cargo_id bigint, cargo_type string, max_temp double, min_temp double, weight_kg double, price_egp double")
+    summary = rollup.trip_cargo_summary(bridge, cargo)
+    assert values(rollup.cargo_totals(summary)) == values(rollup.trip_cargo_agg(bridge, cargo)) == [
+        (1, "Chilled", Decimal("1.21"), Decimal("1.00")), (2, "Chilled", Decimal("0.10"), None),
+        (None, None, Decimal("1.01"), Decimal("1.00"))]
+    assert values(rollup.thermal_bounds(summary)) == values(rollup.trip_thermal_bounds(bridge, cargo)) == [
+        (1, 0.0, 8.0, "Chilled"), (2, 0.0, 8.0, "Chilled"), (None, 1.0, 5.0, None)]
+    for made in (summary, rollup.trip_cargo_agg(bridge, cargo), rollup.trip_thermal_bounds(bridge, cargo)):
+        plan = made._jdf.queryExecution().sparkPlan().toString()
+        # items are added up by hash; only the rows per trip and type are ordered
+        items = plan[plan.rindex("SortAggregate"):] if "SortAggregate" in plan else plan
+        assert "HashAggregate(keys=[trip_id" in items and "cargo_type" in items.split("HashAggregate", 1)[1].split("functions", 1)[0]
